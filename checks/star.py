@@ -40,7 +40,10 @@ def fact(spark: SparkSession, sf_dir: str) -> DataFrame:
         )
     )
     line = F.col("l_orderkey") + F.col("l_linenumber")
-    rows = table(spark, sf_dir, "lineitem").join(headers, F.col("l_orderkey") == order)
+    # Both sides grow with the data, so neither is ever broadcast.
+    rows = table(spark, sf_dir, "lineitem").join(
+        headers.hint("merge"), F.col("l_orderkey") == order
+    )
     collector = F.when(
         F.col("in_debt") | (line % 11 == 0), -F.col("customer")
     ).otherwise(F.col("customer"))

@@ -4,6 +4,7 @@ from tillroll.functions.dates import (
     date_label,
     has_known_date,
     month_index,
+    month_of_known,
     month_start,
     padded_month,
 )
@@ -27,6 +28,7 @@ __all__ = [
     "loses_digits",
     "measure",
     "month_index",
+    "month_of_known",
     "month_start",
     "padded_month",
     "percent",

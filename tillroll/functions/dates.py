@@ -4,35 +4,33 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-# The two accepted spellings of a date.
-SLASH_DATE = "^[0-9]{1,2}/[0-9]{1,2}/[0-9]{4}$"
-HYPHEN_DATE = "^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}$"
+# The two accepted spellings of a date, with a month between 1 and 12.
+MONTH = "(0?[1-9]|1[0-2])"
+SLASH_DATE = f"^{MONTH}/[0-9]{{1,2}}/[0-9]{{4}}$"
+HYPHEN_DATE = f"^[0-9]{{4}}-{MONTH}-[0-9]{{1,2}}$"
 
 
 def has_known_date(trans_dt: Column) -> Column:
-    return F.coalesce(trans_dt.rlike(f"{SLASH_DATE}|{HYPHEN_DATE}"), F.lit(False))
+    """True if the text has one of the accepted spellings; null for null."""
+    return trans_dt.rlike(f"{SLASH_DATE}|{HYPHEN_DATE}")
 
 
-def _year_and_month(trans_dt: Column) -> tuple[Column, Column]:
-    """Both pieces as text, cut by position of the separator; the caller checks the spelling."""
-    slash = F.contains(trans_dt, F.lit("/"))
-    year = F.when(slash, F.substring_index(trans_dt, "/", -1)).otherwise(
-        F.substring_index(trans_dt, "-", 1)
-    )
+def month_of_known(trans_dt: Column) -> Column:
+    """First day of the month of a text that passed ``has_known_date``.
+
+    The pieces are cut by position, without another look at the pattern.
+    """
+    slash = trans_dt.contains("/")
+    year = F.when(slash, F.substring_index(trans_dt, "/", -1)).otherwise(F.substring(trans_dt, 1, 4))
     month = F.when(slash, F.substring_index(trans_dt, "/", 1)).otherwise(
-        F.substring_index(F.substring_index(trans_dt, "-", 2), "-", -1)
+        F.substring_index(F.substring(trans_dt, 6, 2), "-", 1)
     )
-    return year, month
+    return F.concat_ws("-", year, month, F.lit("1")).try_cast("date")
 
 
 def month_start(trans_dt: Column) -> Column:
-    """First day of the transaction's month; null for any other spelling or a month outside 1-12."""
-    year, month = _year_and_month(trans_dt)
-    number = month.try_cast("int")
-    return F.when(
-        has_known_date(trans_dt) & number.between(1, 12),
-        F.make_date(year.try_cast("int"), number, F.lit(1)),
-    )
+    """First day of the transaction's month; null for any other spelling."""
+    return F.when(has_known_date(trans_dt), month_of_known(trans_dt))
 
 
 def date_label(month: Column) -> Column:

@@ -33,11 +33,9 @@ def customer_type(collector_key: Column, null_as: str = LOYALTY) -> Column:
     if null_as not in CUSTOMER_TYPES:
         raise ValueError(f"null_as must be one of {CUSTOMER_TYPES}, not {null_as!r}")
     number = collector_key.try_cast("double")
-    return (
-        F.when(number < 0, F.lit(NON_LOYALTY))
-        .when(number > 0, F.lit(LOYALTY))
-        .otherwise(F.lit(null_as))
-    )
+    if null_as == NON_LOYALTY:
+        return F.when(number > 0, F.lit(LOYALTY)).otherwise(F.lit(NON_LOYALTY))
+    return F.when(number < 0, F.lit(NON_LOYALTY)).otherwise(F.lit(LOYALTY))
 
 
 def count_not_null(name: str, nan_as_null: bool = False) -> Column:

@@ -34,23 +34,20 @@ def distinct_by_type(
     shuffle of (keys, value), without copies for each grouping set.
     """
     keys = list(keys)
-    columns = list(distinct.values())
-    # The sums ride on the copy made for the first counted column.
-    first = columns[0]
+    kind_of = "customer_type"
+    columns = [*distinct.values(), *([kind_of] if sums else [])]
     copies = df.select(
-        *keys, "customer_type", *sums, *(F.col(c).cast("string").alias(c) for c in columns)
-    ).unpivot([*keys, "customer_type", *sums], columns, "_column", "_value")
-
-    def of_type(kind: str) -> Column:
-        return F.col("customer_type") == kind
-
+        *keys,
+        F.col(kind_of).alias("_kind"),
+        *sums,
+        *(F.col(column).cast("string").alias(column) for column in columns),
+    ).unpivot([*keys, "_kind", *sums], columns, "_column", "_value")
+
+    # One row per value. The sums go with the copy whose value is the type itself: it shrinks to a
+    # row per type before the shuffle, so the many other rows carry no sums.
     per_value = copies.groupBy(*keys, "_column", "_value").agg(
-        *(F.bool_or(of_type(kind)).alias(f"_in_{kind}") for kind in CUSTOMER_TYPES),
-        *(
-            F.sum(F.when((F.col("_column") == first) & of_type(kind), F.col(name))).alias(f"_{name}_{kind}")
-            for kind in CUSTOMER_TYPES
-            for name in sums
-        ),
+        *(F.bool_or(F.col("_kind") == kind).alias(f"_in_{kind}") for kind in CUSTOMER_TYPES),
+        *(F.sum(F.when(F.col("_column") == kind_of, F.col(name))).alias(name) for name in sums),
     )
 
     def counted(column: str, kind: str | None) -> Column:
@@ -59,7 +56,13 @@ def distinct_by_type(
 
     per_key = per_value.groupBy(*keys).agg(
         *(F.bool_or(f"_in_{kind}").alias(f"_in_{kind}") for kind in CUSTOMER_TYPES),
-        *(F.sum(f"_{name}_{kind}").alias(f"_{name}_{kind}") for kind in CUSTOMER_TYPES for name in sums),
+        *(
+            F.sum(F.when(F.col("_value") == kind, F.col(name)) if kind else F.col(name)).alias(
+                f"_{name}_{kind}"
+            )
+            for kind in (*CUSTOMER_TYPES, None)
+            for name in sums
+        ),
         *(
             counted(column, kind).alias(f"_{name}_{kind}")
             for kind in (*CUSTOMER_TYPES, None)
@@ -67,26 +70,12 @@ def distinct_by_type(
         ),
     )
 
-    def row(kind: str) -> Column:
+    def row(kind: str | None) -> Column:
         return F.struct(
-            F.lit(kind).alias("customer_type"),
-            F.col(f"_in_{kind}").alias("_present"),
+            F.lit(kind or overall).alias(kind_of),
+            (F.col(f"_in_{kind}") if kind else F.lit(True)).alias("_present"),
             *(F.col(f"_{name}_{kind}").alias(name) for name in (*sums, *distinct)),
         )
 
-    def added(name: str) -> Column:
-        parts = [F.col(f"_{name}_{kind}") for kind in CUSTOMER_TYPES]
-        total = sum((F.coalesce(part, F.lit(0)) for part in parts[1:]), F.coalesce(parts[0], F.lit(0)))
-        return F.when(F.coalesce(*parts).isNotNull(), total)
-
-    together = F.struct(
-        F.lit(overall).alias("customer_type"),
-        F.lit(True).alias("_present"),
-        *(added(name).alias(name) for name in sums),
-        *(F.col(f"_{name}_None").alias(name) for name in distinct),
-    )
-    return (
-        per_key.select(*keys, F.inline(F.array(*(row(kind) for kind in CUSTOMER_TYPES), together)))
-        .filter("_present")
-        .drop("_present")
-    )
+    rows = F.array(*(row(kind) for kind in (*CUSTOMER_TYPES, None)))
+    return per_key.select(*keys, F.inline(rows)).filter("_present").drop("_present")

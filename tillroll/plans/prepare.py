@@ -4,7 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from tillroll.functions import customer_type, loses_digits, measure, month_start
+from tillroll.functions import (
+    customer_type,
+    has_known_date,
+    loses_digits,
+    measure,
+    month_of_known,
+    month_start,
+)
 from tillroll.operators.lookup import BROADCAST_BYTES, lookup, profile
 from tillroll.schema import LOYALTY, MEASURE_PRECISION, MEASURE_SCALE
 
@@ -38,9 +45,10 @@ def clean(
     )
 
 
-def with_month(fact: DataFrame) -> DataFrame:
-    """Add the first day of each row's month; null where the date text is not understood."""
-    return fact.withColumn("month", month_start(F.col("trans_dt")))
+def dated(fact: DataFrame) -> DataFrame:
+    """The rows whose date text is understood, with the first day of their month."""
+    known = fact.filter(has_known_date(F.col("trans_dt")))
+    return known.withColumn("month", month_of_known(F.col("trans_dt")))
 
 
 def enrich(

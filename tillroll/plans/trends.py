@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from tillroll.functions import date_label, exact, month_index, percent
 from tillroll.operators.distinct import distinct_by_type
 from tillroll.operators.grouping import to_long
-from tillroll.plans.prepare import with_month
+from tillroll.plans.prepare import dated
 from tillroll.schema import CUSTOMER_TYPES, MEASURE_LABELS, OVERALL
 
 DISTINCT = {"transactions": "trans_key", "collectors": "collector_key"}
@@ -24,8 +24,7 @@ EPOCH = date(1970, 1, 1)
 
 def monthly(fact: DataFrame) -> DataFrame:
     """The four measures per month and customer type, of the rows whose month is known."""
-    dated = with_month(fact).filter(F.col("month").isNotNull())
-    return distinct_by_type(dated, ["month"], DISTINCT, list(ADDITIVE)).select(
+    return distinct_by_type(dated(fact), ["month"], DISTINCT, list(ADDITIVE)).select(
         "customer_type",
         "month",
         *(exact(F.col(name)).alias(name) for name in ADDITIVE),
@@ -109,13 +108,12 @@ def trailing_distinct(fact: DataFrame, months: int = 12, distinct: Mapping[str,
     kinds = (*CUSTOMER_TYPES, OVERALL)
     labels = {column: MEASURE_LABELS[name] for name, column in distinct.items()}
     columns = list(labels)
-    dated = with_month(fact).filter(F.col("month").isNotNull())
 
     def of_type(kind: str) -> Column:
         return F.lit(True) if kind == OVERALL else F.col("customer_type") == kind
 
     seen = (
-        dated.select("customer_type", month_index(F.col("month")).alias("at"), *columns)
+        dated(fact).select("customer_type", month_index(F.col("month")).alias("at"), *columns)
         .unpivot(["customer_type", "at"], columns, "column", "value")
         .groupBy("column", "value", "at")
         .agg(*(F.bool_or(of_type(kind)).alias(kind) for kind in kinds))
