@@ -9,8 +9,21 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 
+# The columns used, so that no job has to read the files' own schema first.
+TABLES = {
+    "lineitem": "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, "
+    "l_quantity double, l_extendedprice double",
+    "orders": "o_orderkey long, o_custkey long, o_orderdate timestamp_ntz",
+    "customer": "c_custkey long, c_acctbal double",
+    "supplier": "s_suppkey long, s_nationkey int",
+    "nation": "n_nationkey int, n_regionkey int",
+    "region": "r_regionkey int, r_name string",
+    "part": "p_partkey long, p_brand string, p_type string",
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(TABLES[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def _text(number: Column) -> Column:

@@ -55,41 +55,52 @@ def profile(dimensions: Mapping[str, DataFrame]) -> dict[str, Profile]:
     return {row["key"]: Profile(row["bytes"], row["repeated_keys"]) for row in rows}
 
 
+def _hot_keys(rows: DataFrame, key: str) -> DataFrame:
+    """Keys above the hot share, in one column ``_hot``; there are at most ``1 / HOT_SHARE``."""
+    counts = rows.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("rows"))
+    all_rows = counts.agg(F.sum("rows")).scalar()
+    return counts.filter(F.col("rows") > all_rows * F.lit(HOT_SHARE)).select(F.col(key).alias("_hot"))
+
+
 def lookup(
     fact: DataFrame,
     dimension: DataFrame,
     key: str,
     measured: Profile,
     broadcast_limit: int = BROADCAST_BYTES,
+    counted: DataFrame | None = None,
 ) -> DataFrame:
     """Every fact row with the dimension's columns, which are null where the key has no match.
 
-    A dimension within the limit is broadcast, so the fact is not shuffled. A larger one is
-    joined by shuffle for the ordinary keys only: rows of hot keys would pile up in a few tasks,
-    so they get their (at most 1000) dimension rows by broadcast, and rows without a key get none.
+    A dimension within the limit is broadcast, so the fact is not shuffled. For a larger one the
+    fact is shuffled by key, but not the rows of hot keys and of none, which would pile up in a
+    few tasks: hot keys get their (at most 1000) dimension rows by broadcast, and all these rows
+    are spread over the tasks by a hash of the whole row. Keys are counted on ``counted``, a
+    cheaper table with the same keys, or else on the fact.
     """
     if measured.repeated_keys:
         raise DuplicateKeys(f"{measured.repeated_keys} values of {key} repeat in the dimension")
     if measured.fits_broadcast(broadcast_limit):
         return fact.join(F.broadcast(dimension), key, "left")
 
-    counts = fact.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("rows"))
-    all_rows = counts.agg(F.sum("rows")).scalar()
-    hot = counts.filter(F.col("rows") > all_rows * F.lit(HOT_SHARE)).select(key)
-    hot_dimension = hot.join(dimension, key, "left")
-
-    is_hot = F.col("hot_key").isNotNull()
-    marked = fact.join(
-        F.broadcast(hot.select(F.col(key).alias("hot_key"))), F.col(key) == F.col("hot_key"), "left"
+    columns = [name for name in dimension.columns if name != key]
+    keyed = dimension.withColumnRenamed(key, "_key")
+    hot = _hot_keys(fact if counted is None else counted, key)
+    hot_rows = hot.join(keyed, F.col("_hot") == F.col("_key"), "left").select(
+        "_hot", *(F.col(name).alias(f"_hot_{name}") for name in columns)
     )
-    settled = (
-        marked.filter(is_hot | F.col(key).isNull())
-        .drop("hot_key")
-        .join(F.broadcast(hot_dimension), key, "left")
+    marked = fact.join(F.broadcast(hot_rows), F.col(key) == F.col("_hot"), "left")
+
+    ordinary = F.when(F.col("_hot").isNull(), F.col(key))
+    # Fixed for each row, so that a task that is run again sends its rows to the same places.
+    spread = F.when(ordinary.isNull(), F.xxhash64(*fact.columns)).otherwise(F.lit(0))
+    placed = marked.withColumns({"_ordinary": ordinary, "_spread": spread})
+    cold_rows = keyed.withColumn("_at", F.lit(0).cast("long"))
+    joined = placed.join(
+        cold_rows.hint("merge"),
+        (F.col("_ordinary") == F.col("_key")) & (F.col("_spread") == F.col("_at")),
+        "left",
     )
-    ordinary = (
-        marked.filter(~is_hot & F.col(key).isNotNull())
-        .drop("hot_key")
-        .join(dimension.hint("merge"), key, "left")
+    return joined.select(
+        *fact.columns, *(F.coalesce(F.col(f"_hot_{name}"), F.col(name)).alias(name) for name in columns)
     )
-    return settled.unionByName(ordinary)

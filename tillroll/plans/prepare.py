@@ -61,10 +61,10 @@ def enrich(
     location = location.select("store_location_key", "province", "store_num")
     product = product.select("product_key", "category", "department")
     measured = profile({"store_location_key": location, "product_key": product})
-    with_store = lookup(
-        fact, location, "store_location_key", measured["store_location_key"], broadcast_limit
-    )
-    return lookup(with_store, product, "product_key", measured["product_key"], broadcast_limit)
+    rows = fact
+    for key, dimension in (("store_location_key", location), ("product_key", product)):
+        rows = lookup(rows, dimension, key, measured[key], broadcast_limit, counted=fact)
+    return rows
 
 
 def prepare_wide(
