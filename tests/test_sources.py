@@ -1,0 +1,125 @@
+import pytest
+
+import micro
+from micro import rows
+from tillroll import sources
+from tillroll.schema import FACT, PRODUCT
+
+
+@pytest.fixture(scope="module")
+def folder(tmp_path_factory):
+    return micro.write(tmp_path_factory.mktemp("delivery"))
+
+
+def test_csv_has_text_columns_and_null_for_empty(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('x,y\n1,\n"",b\n')
+    df = sources.read_csv(spark, str(tmp_path / "a.csv"))
+    assert df.dtypes == [("x", "string"), ("y", "string")]
+    assert rows(df) == [("1", None), (None, "b")]
+
+
+def test_lines_split_like_plain_text(spark, tmp_path):
+    (tmp_path / "a.txt").write_text('a,b\n"c,d",\n')
+    fields = sources.split_lines(spark, str(tmp_path / "a.txt"))
+    assert [row.fields for row in fields.collect()] == [["a", "b"], ['"c', 'd"', ""]]
+    assert sources.split_lines(spark, str(tmp_path / "a.txt"), "|").first().fields == ["a,b"]
+
+
+def test_has_rows(spark, folder, tmp_path):
+    (tmp_path / "empty.txt").write_text("")
+    assert sources.has_rows(spark, f"{folder}/location.csv")
+    assert not sources.has_rows(spark, str(tmp_path / "empty.txt"))
+    assert not sources.has_rows(spark, str(tmp_path / "missing.txt"))
+
+
+def test_discovery_lists_below_subfolders(spark, tmp_path):
+    (tmp_path / "deep" / "er").mkdir(parents=True)
+    (tmp_path / "deep" / "er" / "a.csv").write_text("12345")
+    (tmp_path / "b.txt").write_text("1")
+    listed = sources.discover(spark, str(tmp_path))
+    assert rows(listed, "name", "bytes") == [("b.txt", 1), ("deep/er/a.csv", 5)]
+    assert rows(sources.discover(spark, f"file:{tmp_path}/", "*.csv"), "name") == [("deep/er/a.csv",)]
+    # Only the listing is read.
+    assert "content" not in listed._jdf.queryExecution().executedPlan().toString()
+
+
+def test_roles_by_name(spark, folder):
+    routed = sources.route(sources.discover(spark, folder))
+    assert rows(routed, "name", "role") == [
+        ("location.csv", "location"), ("product.csv", "product"),
+        ("trans_fact_1.csv", "fact"), ("trans_fact_10.csv", "fact"),
+    ]
+
+
+def test_first_matching_rule_decides(spark):
+    files = spark.createDataFrame([("product_location.csv",), ("x",)], "name string")
+    assert rows(sources.route(files)) == [("product_location.csv", "location"), ("x", "fact")]
+
+
+def test_conform_reads_each_header_by_name(spark, folder):
+    paths = [f"{folder}/trans_fact_1.csv", f"{folder}/trans_fact_10.csv", f"{folder}/trans_fact_1.csv"]
+    df = sources.conform(spark, paths)
+    assert df.columns == FACT.names
+    assert df.count() == 9
+    last = ("3", "101", "-1", "1/2-2015", "7.00", "1", "T7")
+    assert last in rows(df)
+    assert rows(df) == rows(sources.conform(spark, paths[1::-1]))
+
+
+def test_conform_makes_one_scan_per_header(spark, tmp_path):
+    paths = []
+    for i in range(6):
+        name = tmp_path / f"f{i}.csv"
+        name.write_text(micro.FACT_1 if i % 2 else micro.FACT_10)
+        paths.append(str(name))
+    df = sources.conform(spark, paths)
+    assert df._jdf.queryExecution().executedPlan().toString().count("FileScan csv") == 2
+    assert df.count() == 3 * 9
+
+
+def test_conform_reads_only_the_columns_asked_for(spark, folder):
+    df = sources.conform(spark, [f"{folder}/trans_fact_10.csv"]).select("sales")
+    assert "ReadSchema: struct<sales:string>" in df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_header_spelling_and_extra_columns(spark, tmp_path):
+    (tmp_path / "p.csv").write_text(" Category,extra,PRODUCT_KEY,department\nMilk,1,100,Dairy\n")
+    df = sources.conform(spark, [str(tmp_path / "p.csv")], PRODUCT)
+    assert rows(df) == [("100", "Milk", "Dairy")]
+
+
+def test_unknown_or_ambiguous_headers_are_refused(spark, folder, tmp_path):
+    with pytest.raises(sources.UnknownHeader, match="product.csv"):
+        sources.conform(spark, [f"{folder}/trans_fact_1.csv", f"{folder}/product.csv"])
+    both = tmp_path / "both.csv"
+    both.write_text(micro.FACT_1.splitlines()[0] + ",trans_id\n")
+    with pytest.raises(sources.UnknownHeader, match="trans_key"):
+        sources.conform(spark, [str(both)])
+    with pytest.raises(ValueError, match="no input files"):
+        sources.conform(spark, [])
+
+
+def test_a_folder_of_mixed_headers_fails_instead_of_swapping_columns(spark, tmp_path):
+    (tmp_path / "a.csv").write_text(micro.FACT_1)
+    (tmp_path / "b.csv").write_text(micro.FACT_10)
+    with pytest.raises(Exception, match="header does not conform"):
+        sources.conform(spark, [str(tmp_path)]).collect()
+
+
+def test_inputs_need_every_role(spark, folder, tmp_path):
+    fact, location, product = sources.read_inputs(spark, folder)
+    assert (fact.count(), location.count(), product.count()) == (9, 4, 3)
+    (tmp_path / "trans_fact.csv").write_text(micro.FACT_1)
+    with pytest.raises(ValueError, match="no location and no product"):
+        sources.read_inputs(spark, str(tmp_path))
+
+
+def test_several_files_of_a_dimension_are_combined(spark, tmp_path):
+    micro.write(tmp_path)
+    (tmp_path / "location_new.csv").write_text("province,store_num,store_location_key\nBC,801,5\n")
+    assert sources.read_inputs(spark, str(tmp_path))[1].count() == 5
+
+
+def test_empty_relation(spark):
+    df = sources.empty(spark, FACT)
+    assert df.schema == FACT and df.isEmpty()

@@ -7,6 +7,7 @@ from contextlib import ExitStack
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tillroll.operators import sum_by
 from tillroll.plans import reports, rollups, trends
 from tillroll.plans.prepare import clean
 from tillroll.schema import LOYALTY
@@ -54,7 +55,9 @@ def publish_all(
     kept = written(clean(fact, null_as), new_folder(spark, "fact"))
     with ExitStack() as stack:
         stores = stack.enter_context(cached(rollups.store_sales(kept, location)))
-        categories = stack.enter_context(cached(rollups.category_sales(kept, product)))
+        by_product = rollups.category_sales(kept, product)
+        by_category = sum_by(by_product, ["department", "category"], sales="sales")
+        categories = stack.enter_context(cached(by_category))
         months = stack.enter_context(cached(trends.monthly(kept)))
         return publish(all_reports(kept, stores, categories, months), write)
 

@@ -83,6 +83,8 @@ def lookup(
     if measured.fits_broadcast(broadcast_limit):
         return fact.join(F.broadcast(dimension), key, "left")
 
+    if fact.select(key).dtypes != dimension.select(key).dtypes:
+        raise TypeError(f"{key} has another type in the dimension than in the fact")
     columns = [name for name in dimension.columns if name != key]
     keyed = dimension.withColumnRenamed(key, "_key")
     hot = _hot_keys(fact if counted is None else counted, key)
@@ -93,9 +95,10 @@ def lookup(
 
     ordinary = F.when(F.col("_hot").isNull(), F.col(key))
     # Fixed for each row, so that a task that is run again sends its rows to the same places.
-    spread = F.when(ordinary.isNull(), F.xxhash64(*fact.columns)).otherwise(F.lit(0))
+    # An ordinary row goes where its dimension row goes: a constant there would be folded away.
+    spread = F.when(ordinary.isNull(), F.xxhash64(*fact.columns)).otherwise(F.xxhash64(F.col(key)))
     placed = marked.withColumns({"_ordinary": ordinary, "_spread": spread})
-    cold_rows = keyed.withColumn("_at", F.lit(0).cast("long"))
+    cold_rows = keyed.withColumn("_at", F.xxhash64("_key"))
     joined = placed.join(
         cold_rows.hint("merge"),
         (F.col("_ordinary") == F.col("_key")) & (F.col("_spread") == F.col("_at")),

@@ -13,14 +13,14 @@ from tillroll.operators.grouping import sum_by
 
 
 def store_sales(fact: DataFrame, location: DataFrame) -> DataFrame:
-    """Sales of a cleaned fact by customer type, province and store number."""
+    """Sales of a cleaned fact per store key and customer type, with province and store number."""
     by_key = sum_by(fact, ["store_location_key", "customer_type"], sales="sales")
-    placed = by_key.join(location, "store_location_key", "left")
-    return sum_by(placed, ["customer_type", "province", "store_num"], sales="sales")
+    return by_key.join(location, "store_location_key", "left").select(
+        "customer_type", "province", "store_num", "sales"
+    )
 
 
 def category_sales(fact: DataFrame, product: DataFrame) -> DataFrame:
-    """Sales of a cleaned fact by department and category."""
+    """Sales of a cleaned fact per product key, with department and category."""
     by_key = sum_by(fact, ["product_key"], sales="sales")
-    placed = by_key.join(product, "product_key", "left")
-    return sum_by(placed, ["department", "category"], sales="sales")
+    return by_key.join(product, "product_key", "left").select("department", "category", "sales")
