@@ -5,7 +5,7 @@ import pytest
 import micro
 from checks.oracles import PUBLISHED
 from micro import rows
-from tillroll import __main__ as cli, job, sinks
+from tillroll import __main__ as cli, job, sinks, sizing
 
 
 class Recorder:
@@ -73,3 +73,22 @@ def test_command_line(monkeypatch):
         cli.parse(["--input", "in"])
     with pytest.raises(SystemExit):
         cli.parse(["--input", "in", "--output", "o", "--jdbc-url", "jdbc:x"])
+
+
+def test_settings_grow_with_the_delivery_and_stay_bounded():
+    def sized(bytes_):
+        return tuple(int(value) for value in sizing.settings_for(bytes_).values())
+
+    small, medium, large = sized(0), sized(10**12), sized(10**14)
+    assert small == (128 * sizing.MIB, 200)
+    assert medium == (128 * sizing.MIB, 931)
+    assert 900 * sizing.MIB < large[0] <= 1024 * sizing.MIB and large[1] == 40_000
+
+
+def test_settings_given_explicitly_are_kept(spark):
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        assert sizing.apply(spark, 10**14).keys() == {"spark.sql.files.maxPartitionBytes"}
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "8"
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)

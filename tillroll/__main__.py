@@ -6,11 +6,13 @@ import argparse
 import os
 from functools import partial
 
-from pyspark.sql import SparkSession
+from pyspark.sql import SparkSession, functions as F
 
+from tillroll import sizing
 from tillroll.job import run
 from tillroll.schema import CUSTOMER_TYPES, LOYALTY
 from tillroll.sinks import write_files, write_jdbc
+from tillroll.sources import discover
 
 
 def parse(arguments: list[str] | None = None) -> argparse.Namespace:
@@ -51,6 +53,8 @@ def main() -> None:
         write = partial(write_jdbc, options=jdbc_options(args))
     spark = SparkSession.builder.appName("tillroll").getOrCreate()
     try:
+        delivered = discover(spark, args.input).agg(F.sum("bytes").alias("bytes")).first()
+        sizing.apply(spark, delivered["bytes"] or 0)
         run(spark, args.input, write, args.unknown_customers)
     finally:
         spark.stop()

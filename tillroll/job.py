@@ -59,6 +59,9 @@ def publish_all(
         by_category = sum_by(by_product, ["department", "category"], sales="sales")
         categories = stack.enter_context(cached(by_category))
         months = stack.enter_context(cached(trends.monthly(kept)))
+        # Filled before the reports start, so that no two of them fill the same table.
+        for shared in (stores, categories, months):
+            shared.count()
         return publish(all_reports(kept, stores, categories, months), write)
 
 

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tillroll.functions import date_label, exact, month_index, percent
 from tillroll.operators.distinct import distinct_by_type
-from tillroll.operators.grouping import to_long
+from tillroll.operators.grouping import to_long, with_overall
 from tillroll.plans.prepare import dated
 from tillroll.schema import CUSTOMER_TYPES, MEASURE_LABELS, OVERALL
 
@@ -101,61 +101,64 @@ def trailing_distinct(fact: DataFrame, months: int = 12, distinct: Mapping[str,
     """Distinct transactions and collectors of the months ending with each month.
 
     Distinct counts of months cannot be added up. A value seen in a month counts for that month
-    and the ``months - 1`` after it; stretches of one value that overlap are cut, so that they
-    count once. Only the beginnings (+1) and ends (-1) of the stretches are kept and summed by
-    month, and their running sum is the count. The work grows with the fact, not with ``months``.
+    and the ``months - 1`` after it; where two such stretches of a value overlap, the later one
+    begins when the earlier one ends. The stretches that begin (+1) and end (-1) are counted per
+    month, and the running sum is the result. The work grows with the fact, not with ``months``.
     """
     kinds = (*CUSTOMER_TYPES, OVERALL)
     labels = {column: MEASURE_LABELS[name] for name, column in distinct.items()}
-    columns = list(labels)
 
     def of_type(kind: str) -> Column:
         return F.lit(True) if kind == OVERALL else F.col("customer_type") == kind
 
     seen = (
-        dated(fact).select("customer_type", month_index(F.col("month")).alias("at"), *columns)
-        .unpivot(["customer_type", "at"], columns, "column", "value")
+        dated(fact)
+        .select("customer_type", month_index(F.col("month")).alias("at"), *labels)
+        .unpivot(["customer_type", "at"], list(labels), "column", "value")
         .groupBy("column", "value", "at")
         .agg(*(F.bool_or(of_type(kind)).alias(kind) for kind in kinds))
     )
 
-    # Values are spread by key; one value has at most one row per month.
+    # A value has at most one row per month, so none makes a large window partition.
     earlier = (
         Window.partitionBy("column", "value")
         .orderBy("at")
         .rowsBetween(Window.unboundedPreceding, -1)
     )
-    before = {
-        kind: F.last(F.when(F.col(kind), F.col("at")), ignorenulls=True).over(earlier) for kind in kinds
-    }
-    stretches = seen.select("column", "value", "at", *kinds, *(before[k].alias(f"before_{k}") for k in kinds))
 
-    def change(kind: str, at: Column, step: int, counts: Column) -> Column:
+    def begin(kind: str) -> Column:
+        before = F.last(F.when(F.col(kind), F.col("at")), ignorenulls=True).over(earlier)
+        return F.when(F.col(kind), F.greatest(F.col("at"), before + F.lit(months)))
+
+    begins = [f"begin_{kind}" for kind in kinds]
+    # A null value, whose rows form one window partition, is seen but not counted.
+    stretches = (
+        seen.select("column", "value", "at", *(begin(kind).alias(f"begin_{kind}") for kind in kinds))
+        .groupBy("column", "at", *begins)
+        .agg(F.count("value").alias("values"))
+    )
+
+    def change(kind: str, at: Column, step: Column, has_rows: bool) -> Column:
         return F.struct(
-            F.when(F.col(kind), F.lit(kind)).alias("customer_type"),
+            F.when(F.col(f"begin_{kind}").isNotNull(), F.lit(kind)).alias("customer_type"),
             at.alias("at"),
-            F.when(counts, F.lit(step)).otherwise(F.lit(0)).cast("long").alias("step"),
+            step.alias("step"),
+            F.lit(has_rows).alias("has_rows"),
         )
 
-    counts = F.col("value").isNotNull()
-    changes = []
-    for kind in kinds:
-        begin = F.greatest(F.col("at"), F.col(f"before_{kind}") + F.lit(months))
-        changes.append(change(kind, begin, 1, counts))
-        changes.append(change(kind, F.col("at") + F.lit(months), -1, counts))
-        # A month in which the kind has rows gets a result row, even if nothing begins in it.
-        changes.append(change(kind, F.col("at"), 0, counts))
-    marked = F.transform(
-        F.array(*changes),
-        lambda c, i: F.struct(
-            c["customer_type"].alias("customer_type"),
-            c["at"].alias("at"),
-            c["step"].alias("step"),
-            (i % 3 == 2).alias("has_rows"),
-        ),
-    )
+    values, at = F.col("values"), F.col("at")
+    changes = [
+        one
+        for kind in kinds
+        for one in (
+            change(kind, F.col(f"begin_{kind}"), values, False),
+            change(kind, at + F.lit(months), -values, False),
+            # Months in which the type has rows are the months of the result.
+            change(kind, at, F.lit(0).cast("long"), True),
+        )
+    ]
     steps = (
-        stretches.select("column", F.inline(marked))
+        stretches.select("column", F.inline(F.array(*changes)))
         .filter(F.col("customer_type").isNotNull())
         .groupBy("customer_type", "column", "at")
         .agg(F.sum("step").alias("step"), F.bool_or("has_rows").alias("has_rows"))
@@ -176,5 +179,7 @@ def trailing_distinct(fact: DataFrame, months: int = 12, distinct: Mapping[str,
 
 def trailing(fact: DataFrame, months: int = 12) -> DataFrame:
     """All four measures of the months ending with each month."""
-    sums = trailing_sums(monthly_long(monthly(fact)), months)
-    return sums.unionByName(trailing_distinct(fact, months))
+    labels = {name: MEASURE_LABELS[name] for name in ADDITIVE}
+    sums = with_overall(dated(fact), ["month"], **{name: name for name in ADDITIVE})
+    long = to_long(sums, ["customer_type", "month"], labels)
+    return trailing_sums(long, months).unionByName(trailing_distinct(fact, months))

@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame
 
+REPORTS_AT_ONCE = 4
+
 
 def write_jdbc(
     df: DataFrame, table: str, options: Mapping[str, str], mode: str = "overwrite"
@@ -21,8 +24,16 @@ def write_files(df: DataFrame, table: str, folder: str, format: str = "parquet")
     df.write.format(format).mode("overwrite").save(f"{folder.rstrip('/')}/{table}")
 
 
-def publish(reports: Mapping[str, DataFrame], write: Callable[[DataFrame, str], None]) -> list[str]:
-    """Write each report under its name; returns the names in the order written."""
-    for name, report in reports.items():
-        write(report, name)
+def publish(
+    reports: Mapping[str, DataFrame],
+    write: Callable[[DataFrame, str], None],
+    at_once: int = REPORTS_AT_ONCE,
+) -> list[str]:
+    """Write each report under its name, several at a time; returns the names.
+
+    Most reports are small jobs that leave a cluster idle when run one after the other.
+    """
+    with ThreadPoolExecutor(at_once) as pool:
+        for finished in [pool.submit(write, report, name) for name, report in reports.items()]:
+            finished.result()
     return list(reports)
