@@ -47,7 +47,7 @@ def distinct_by_type(
     # row per type before the shuffle, so the many other rows carry no sums.
     per_value = copies.groupBy(*keys, "_column", "_value").agg(
         *(F.bool_or(F.col("_kind") == kind).alias(f"_in_{kind}") for kind in CUSTOMER_TYPES),
-        *(F.sum(F.when(F.col("_column") == kind_of, F.col(name))).alias(name) for name in sums),
+        *(F.expr(f"sum(`{name}`) FILTER (WHERE _column = '{kind_of}')").alias(name) for name in sums),
     )
 
     def counted(column: str, kind: str | None) -> Column:
