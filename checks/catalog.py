@@ -146,6 +146,7 @@ def empty_relation(spark, sf_dir):
 
 @query
 def cached_reuse(spark, sf_dir):
+    storage.shared_folder(spark)
     with storage.cached(_clean(spark, sf_dir)) as fact:
         rows = fact.count()
         totals = op.sum_by(fact, ["customer_type"], total="sales")

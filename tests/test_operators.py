@@ -154,7 +154,9 @@ def test_cached_releases_the_same_table(spark):
 
 
 def test_shared_folder_comes_from_the_session(spark):
-    assert storage.new_folder(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir").rstrip("/") + "/x-")
+    assert storage.new_folder(spark, "x").startswith(storage.shared_folder(spark) + "/x-")
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    assert not named or storage.shared_folder(spark) == named.rstrip("/")
     assert storage.new_folder(spark, "x") != storage.new_folder(spark, "x")
 
 

@@ -106,6 +106,43 @@ def test_a_folder_of_mixed_headers_fails_instead_of_swapping_columns(spark, tmp_
         sources.conform(spark, [str(tmp_path)]).collect()
 
 
+def test_files_without_lines_are_passed_over(spark, tmp_path):
+    (tmp_path / "a b.csv").write_text(micro.FACT_1)
+    (tmp_path / "b.csv").write_text("")
+    (tmp_path / "c.csv").write_text("\n" + micro.FACT_10)
+    paths = [str(tmp_path / name) for name in ("a b.csv", "b.csv", "c.csv")]
+    assert sources.conform(spark, paths).count() == 9
+    with pytest.raises(ValueError, match="no lines"):
+        sources.conform(spark, paths[1:2])
+
+
+def test_one_lookup_per_folder(spark, tmp_path):
+    for name, text in micro.FILES.items():
+        folder = tmp_path / name.removesuffix(".csv")
+        folder.mkdir()
+        (folder / "part-0.csv").write_text(text)
+    (tmp_path / "trans_fact_1" / "part-1.csv").write_text(micro.FACT_1)
+    fact, location, product = sources.read_inputs(spark, str(tmp_path), by_folder=True)
+    assert (fact.count(), location.count(), product.count()) == (16, 4, 3)
+    (tmp_path / "trans_fact_1" / "location.csv").write_text(micro.LOCATION)
+    with pytest.raises(ValueError, match="several roles"):
+        sources.read_inputs(spark, str(tmp_path), by_folder=True)
+
+
+def test_quoted_headers(spark, tmp_path):
+    (tmp_path / "p.csv").write_text('"category","product_key","department"\n"Milk, fresh","100","Dairy"\n')
+    assert rows(sources.conform(spark, [str(tmp_path / "p.csv")], PRODUCT)) == [("100", "Milk, fresh", "Dairy")]
+
+
+def test_a_header_that_changes_before_the_scan_is_noticed(spark, tmp_path):
+    path = tmp_path / "a.csv"
+    path.write_text(micro.FACT_1)
+    df = sources.conform(spark, [str(path)])
+    path.write_text(micro.FACT_10)
+    with pytest.raises(Exception, match="header does not conform"):
+        df.collect()
+
+
 def test_inputs_need_every_role(spark, folder, tmp_path):
     fact, location, product = sources.read_inputs(spark, folder)
     assert (fact.count(), location.count(), product.count()) == (9, 4, 3)

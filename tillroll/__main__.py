@@ -32,6 +32,11 @@ def parse(arguments: list[str] | None = None) -> argparse.Namespace:
         default=LOYALTY,
         help="customer type of rows whose collector key is missing or zero",
     )
+    parser.add_argument(
+        "--headers-by-folder",
+        action="store_true",
+        help="look up one header per folder instead of one per file",
+    )
     return parser.parse_args(arguments)
 
 
@@ -55,7 +60,7 @@ def main() -> None:
     try:
         delivered = discover(spark, args.input).agg(F.sum("bytes").alias("bytes")).first()
         sizing.apply(spark, delivered["bytes"] or 0)
-        run(spark, args.input, write, args.unknown_customers)
+        run(spark, args.input, write, args.unknown_customers, args.headers_by_folder)
     finally:
         spark.stop()
 

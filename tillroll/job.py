@@ -70,6 +70,7 @@ def run(
     root: str,
     write: Callable[[DataFrame, str], None],
     null_as: str = LOYALTY,
+    by_folder: bool = False,
 ) -> list[str]:
     """Publish every report of the files below ``root``."""
-    return publish_all(*read_inputs(spark, root), write, null_as)
+    return publish_all(*read_inputs(spark, root, by_folder=by_folder), write, null_as)

@@ -113,10 +113,10 @@ def conform(
 ) -> DataFrame:
     """One relation of the declared columns from files in any column order and known spelling.
 
-    A path is a file, or a folder whose files share a header. Paths with equal headers become
-    one scan, so the plan grows with the number of different headers, not of files. Every file's
-    own header is checked again when it is scanned, so a folder of mixed headers fails instead of
-    swapping columns.
+    A path is a file, or a folder whose files share a header; the header is looked up once per
+    path. Paths with equal headers become one scan, so the plan grows with the number of different
+    headers, not of files. Every file's own header is checked again when it is scanned, so a folder
+    of mixed headers fails instead of swapping columns. Files without any line are passed over.
     """
     paths = list(dict.fromkeys(paths))
     if not paths:
@@ -125,7 +125,10 @@ def conform(
         headers = list(pool.map(lambda path: _header(spark, path), paths))
     groups: dict[tuple[str, ...], list[str]] = defaultdict(list)
     for path, header in zip(paths, headers):
-        groups[header].append(path)
+        if header:
+            groups[header].append(path)
+    if not groups:
+        raise ValueError(f"no lines in {paths}")
 
     scans = []
     for header, members in groups.items():
@@ -146,11 +149,22 @@ def read_inputs(
     root: str,
     rules: Sequence[tuple[str, str]] = ROLE_RULES,
     glob: str | None = None,
+    by_folder: bool = False,
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Discover, route and conform a delivery: (fact, location, product)."""
-    listed = route(discover(spark, root, glob), rules).select("role", "path")
+    """Discover, route and conform a delivery: (fact, location, product).
+
+    With ``by_folder`` the files of a role in one folder must share a header, which is looked up
+    once per folder: for deliveries of very many files.
+    """
+    listed = route(discover(spark, root, glob), rules)
+    unit = F.regexp_replace("path", "/[^/]*$", "") if by_folder else F.col("path")
+    units = listed.select(unit.alias("path"), "role").distinct()
     paths: dict[str, list[str]] = defaultdict(list)
-    for row in listed.toLocalIterator():
+    roles: dict[str, str] = {}
+    # The scans need every path on the driver; there is one row per file or folder.
+    for row in units.orderBy("path").collect():
+        if roles.setdefault(row.path, row.role) != row.role:
+            raise ValueError(f"{row.path} holds files of several roles")
         paths[row.role].append(row.path)
     missing = [role for role in ("fact", "location", "product") if not paths[role]]
     if missing:

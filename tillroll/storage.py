@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
@@ -26,11 +27,18 @@ def cached(df: DataFrame, level: StorageLevel = StorageLevel.MEMORY_AND_DISK) ->
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder all executors share, as the session names it."""
-    folder = spark.conf.get(CHECKPOINT_SETTING, None)
-    if not folder:
+    """The folder all executors share, as the session names it.
+
+    Only where none is named and driver and executors are one process is a temporary one made.
+    """
+    context = spark.sparkContext
+    folder = spark.conf.get(CHECKPOINT_SETTING, None) or context.getCheckpointDir()
+    if folder:
+        return folder.rstrip("/")
+    if not context.master.startswith("local"):
         raise ValueError(f"set {CHECKPOINT_SETTING} to a folder that all executors share")
-    return folder.rstrip("/")
+    context.setCheckpointDir(tempfile.mkdtemp(prefix="tillroll-"))
+    return context.getCheckpointDir()
 
 
 def new_folder(spark: SparkSession, name: str) -> str:
