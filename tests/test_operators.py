@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 from checks import star
 from micro import rows
 from tillroll import operators as op, storage
-from tillroll.operators.lookup import HOT_SHARE, Profile
+from tillroll.operators.lookup import HOT_SHARE, Profile, _hot_keys
 from tillroll.plans import prepare, trends
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -37,12 +37,13 @@ def test_lookup_refuses_repeated_keys(spark):
         op.lookup(fact, dimension, "k", op.profile({"k": dimension})["k"])
 
 
-def test_large_lookup_equals_broadcast_on_skewed_keys(spark, skewed):
+@pytest.mark.parametrize("share", [HOT_SHARE, 0.2, 1.0])
+def test_large_lookup_equals_broadcast_on_skewed_keys(spark, skewed, share):
     key = "store_location_key"
     location = star.location(spark, SF_DIR)
     measured = op.profile({key: location})[key]
     small = op.lookup(skewed, location, key, measured)
-    large = op.lookup(skewed, location, key, measured, broadcast_limit=0)
+    large = op.lookup(skewed, location, key, measured, 0, hot_share=share)
     columns = ["trans_key", "product_key", key, "sales", "province", "store_num"]
     assert rows(large, *columns) == rows(small, *columns)
     assert "BroadcastHashJoin" in plan(small) and "SortMergeJoin" in plan(large)
@@ -53,7 +54,7 @@ def test_large_lookup_spreads_hot_keys_and_missing_keys(spark, skewed):
     location = star.location(spark, SF_DIR)
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
-        joined = op.lookup(skewed, location, key, op.profile({key: location})[key], broadcast_limit=0)
+        joined = op.lookup(skewed, location, key, op.profile({key: location})[key], 0, hot_share=0.1)
         sizes = joined.groupBy(F.spark_partition_id()).count().select("count")
         sizes = [row[0] for row in sizes.collect()]
     finally:
@@ -64,12 +65,10 @@ def test_large_lookup_spreads_hot_keys_and_missing_keys(spark, skewed):
 
 def test_hot_keys_are_few_whatever_the_data(spark):
     keys = spark.range(5000).select((F.col("id") % 1000).cast("string").alias("k"))
-    from tillroll.operators.lookup import _hot_keys
-
-    assert _hot_keys(keys, "k").count() == 0
+    assert _hot_keys(keys, "k", 0.001).count() == 0
     one_hot = keys.unionByName(keys.limit(50).select(F.lit("7").alias("k")))
-    assert rows(_hot_keys(one_hot, "k")) == [("7",)]
-    assert 1 / HOT_SHARE <= 1000
+    assert rows(_hot_keys(one_hot, "k", 0.001)) == [("7",)]
+    assert 1 / HOT_SHARE <= 100_001
 
 
 def test_two_large_lookups_pass_once_over_the_fact_besides_counting(spark):

@@ -6,6 +6,7 @@ import micro
 from checks.oracles import PUBLISHED
 from micro import rows
 from tillroll import __main__ as cli, job, sinks, sizing
+from tillroll.operators import DuplicateKeys
 
 
 class Recorder:
@@ -65,6 +66,15 @@ def test_every_report_is_published_to_its_own_table(spark, tmp_path):
     assert spark.sparkContext._jsc.sc().getPersistentRDDs().size() == cached
 
 
+def test_repeated_dimension_keys_stop_the_batch(spark, tmp_path):
+    micro.write(tmp_path)
+    (tmp_path / "location_2.csv").write_text("store_location_key,province,store_num\n1,QC,999\n")
+    written = []
+    with pytest.raises(DuplicateKeys, match="store_location_key"):
+        job.run(spark, str(tmp_path), lambda df, name: written.append(name))
+    assert not written
+
+
 def test_command_line(monkeypatch):
     monkeypatch.setenv("SECRET", "s")
     args = cli.parse(["--input", "in", "--jdbc-url", "jdbc:x", "--jdbc-user", "u", "--jdbc-password-env", "SECRET"])

@@ -7,7 +7,7 @@ from contextlib import ExitStack
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillroll.operators import sum_by
+from tillroll.operators import profile, require_unique, sum_by
 from tillroll.plans import reports, rollups, trends
 from tillroll.plans.prepare import clean
 from tillroll.schema import LOYALTY
@@ -51,6 +51,7 @@ def publish_all(
     family then reads only its columns. The small tables that several reports share are kept by
     the executors.
     """
+    require_unique(profile({"store_location_key": location, "product_key": product}))
     spark = fact.sparkSession
     kept = written(clean(fact, null_as), new_folder(spark, "fact"))
     with ExitStack() as stack:

@@ -2,7 +2,7 @@
 
 from tillroll.operators.distinct import count_distinct, distinct_by_type
 from tillroll.operators.grouping import pivot_types, sum_by, to_long, with_overall
-from tillroll.operators.lookup import DuplicateKeys, lookup, profile
+from tillroll.operators.lookup import DuplicateKeys, lookup, profile, require_unique
 from tillroll.operators.ranking import ranked, top_n
 
 __all__ = [
@@ -13,6 +13,7 @@ __all__ = [
     "pivot_types",
     "profile",
     "ranked",
+    "require_unique",
     "sum_by",
     "to_long",
     "top_n",

@@ -11,8 +11,9 @@ from pyspark.sql import DataFrame, functions as F
 # Largest dimension sent whole to every executor.
 BROADCAST_BYTES = 96 * 1024 * 1024
 
-# A key is hot if more than this share of the fact rows holds it, so at most 1000 keys are hot.
-HOT_SHARE = 0.001
+# A key is hot if more than this share of the fact rows holds it: at most 100,000 keys are hot, and
+# no other key brings more than a gigabyte of a 100 TB fact to one task.
+HOT_SHARE = 0.00001
 
 
 class DuplicateKeys(ValueError):
@@ -55,11 +56,17 @@ def profile(dimensions: Mapping[str, DataFrame]) -> dict[str, Profile]:
     return {row["key"]: Profile(row["bytes"], row["repeated_keys"]) for row in rows}
 
 
-def _hot_keys(rows: DataFrame, key: str) -> DataFrame:
-    """Keys above the hot share, in one column ``_hot``; there are at most ``1 / HOT_SHARE``."""
+def require_unique(measured: Mapping[str, Profile]) -> None:
+    for key, one in measured.items():
+        if one.repeated_keys:
+            raise DuplicateKeys(f"{one.repeated_keys} values of {key} repeat in the dimension")
+
+
+def _hot_keys(rows: DataFrame, key: str, hot_share: float) -> DataFrame:
+    """Keys above the hot share, in one column ``_hot``; there are fewer than ``1 / hot_share``."""
     counts = rows.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("rows"))
     all_rows = counts.agg(F.sum("rows")).scalar()
-    return counts.filter(F.col("rows") > all_rows * F.lit(HOT_SHARE)).select(F.col(key).alias("_hot"))
+    return counts.filter(F.col("rows") > all_rows * F.lit(hot_share)).select(F.col(key).alias("_hot"))
 
 
 def lookup(
@@ -69,17 +76,17 @@ def lookup(
     measured: Profile,
     broadcast_limit: int = BROADCAST_BYTES,
     counted: DataFrame | None = None,
+    hot_share: float = HOT_SHARE,
 ) -> DataFrame:
     """Every fact row with the dimension's columns, which are null where the key has no match.
 
     A dimension within the limit is broadcast, so the fact is not shuffled. For a larger one the
     fact is shuffled by key, but not the rows of hot keys and of none, which would pile up in a
-    few tasks: hot keys get their (at most 1000) dimension rows by broadcast, and all these rows
-    are spread over the tasks by a hash of the whole row. Keys are counted on ``counted``, a
-    cheaper table with the same keys, or else on the fact.
+    few tasks: hot keys, of which there are fewer than ``1 / hot_share``, get their dimension rows
+    by broadcast, and all these rows are spread over the tasks by a hash of the whole row. Keys are
+    counted on ``counted``, a cheaper table with the same keys, or else on the fact.
     """
-    if measured.repeated_keys:
-        raise DuplicateKeys(f"{measured.repeated_keys} values of {key} repeat in the dimension")
+    require_unique({key: measured})
     if measured.fits_broadcast(broadcast_limit):
         return fact.join(F.broadcast(dimension), key, "left")
 
@@ -87,7 +94,7 @@ def lookup(
         raise TypeError(f"{key} has another type in the dimension than in the fact")
     columns = [name for name in dimension.columns if name != key]
     keyed = dimension.withColumnRenamed(key, "_key")
-    hot = _hot_keys(fact if counted is None else counted, key)
+    hot = _hot_keys(fact if counted is None else counted, key, hot_share)
     hot_rows = hot.join(keyed, F.col("_hot") == F.col("_key"), "left").select(
         "_hot", *(F.col(name).alias(f"_hot_{name}") for name in columns)
     )

@@ -22,9 +22,9 @@ def top_n(
 ) -> DataFrame:
     """Rows ranked at most ``k`` in their partition; ties at the border are all kept.
 
-    Spark cuts each task's rows to the k best before they meet, so a partition's rows (or all
-    rows, without a partition) are never gathered. ``drop_null_keys`` names columns whose null
-    group does not compete.
+    For k up to 1000 Spark cuts each task's rows to the k best before they meet, so a partition's
+    rows (or all rows, without a partition) are not gathered. ``drop_null_keys`` names columns
+    whose null group does not compete.
     """
     if drop_null_keys:
         df = df.dropna(subset=list(drop_null_keys))

@@ -12,7 +12,7 @@ from tillroll.functions import (
     month_of_known,
     month_start,
 )
-from tillroll.operators.lookup import BROADCAST_BYTES, lookup, profile
+from tillroll.operators.lookup import BROADCAST_BYTES, HOT_SHARE, lookup, profile
 from tillroll.schema import LOYALTY, MEASURE_PRECISION, MEASURE_SCALE
 
 WIDE_COLUMNS = (
@@ -56,6 +56,7 @@ def enrich(
     location: DataFrame,
     product: DataFrame,
     broadcast_limit: int = BROADCAST_BYTES,
+    hot_share: float = HOT_SHARE,
 ) -> DataFrame:
     """Add store and product columns to every fact row; null where a key has no match."""
     location = location.select("store_location_key", "province", "store_num")
@@ -63,7 +64,7 @@ def enrich(
     measured = profile({"store_location_key": location, "product_key": product})
     rows = fact
     for key, dimension in (("store_location_key", location), ("product_key", product)):
-        rows = lookup(rows, dimension, key, measured[key], broadcast_limit, counted=fact)
+        rows = lookup(rows, dimension, key, measured[key], broadcast_limit, fact, hot_share)
     return rows
 
 

@@ -2,7 +2,8 @@
 
 Sums add up, so a report over a rollup equals the report over the wide table. The fact is summed
 by join key before it meets a dimension: only one row per key and customer type is shuffled and
-joined, whatever the sizes of the dimension and of the hottest key.
+joined, whatever the sizes of the dimension and of the hottest key. Dimension keys must be unique
+(``operators.require_unique``).
 """
 
 from __future__ import annotations
