@@ -1,6 +1,6 @@
 """Relational operators: functions from DataFrames to DataFrames."""
 
-from tillroll.operators.distinct import count_distinct, distinct_by_type
+from tillroll.operators.distinct import count_distinct, distinct_by_type, per_value
 from tillroll.operators.grouping import pivot_types, sum_by, to_long, with_overall
 from tillroll.operators.lookup import DuplicateKeys, lookup, profile, require_unique
 from tillroll.operators.ranking import ranked, top_n
@@ -10,6 +10,7 @@ __all__ = [
     "count_distinct",
     "distinct_by_type",
     "lookup",
+    "per_value",
     "pivot_types",
     "profile",
     "ranked",

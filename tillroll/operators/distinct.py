@@ -19,63 +19,74 @@ def count_distinct(df: DataFrame, column: str, keys: Sequence[str] = (), name: s
     return values.groupBy(*keys).agg(F.count(column).alias(name))
 
 
-def distinct_by_type(
-    df: DataFrame,
-    keys: Sequence[str],
-    distinct: Mapping[str, str],
-    sums: Sequence[str] = (),
-    overall: str = OVERALL,
+def per_value(
+    df: DataFrame, keys: Sequence[str], columns: Sequence[str], sums: Sequence[str] = ()
 ) -> DataFrame:
-    """Distinct counts (result name = column) and sums, by type and for all customers together.
+    """One row per key and value of each column, flagged with the customer types it was seen under.
 
-    A value seen under both types counts once in the overall row, so that row cannot be added up
-    from the others. Instead every value is reduced to one row that says under which types it was
-    seen, and all rows of the result are counted from those: one pass over the input and one
-    shuffle of (keys, value), without copies for each grouping set.
+    Result: the keys, ``_column``, ``_value``, a flag ``_in_<type>`` per customer type, and the sums.
+    The sums stand on the rows of a further column, the customer type itself: its copies shrink to a
+    row per type before the shuffle, and the many other rows carry none.
     """
-    keys = list(keys)
     kind_of = "customer_type"
-    columns = [*distinct.values(), *([kind_of] if sums else [])]
+    columns = [*columns, *([kind_of] if sums else [])]
     copies = df.select(
         *keys,
         F.col(kind_of).alias("_kind"),
         *sums,
         *(F.col(column).cast("string").alias(column) for column in columns),
     ).unpivot([*keys, "_kind", *sums], columns, "_column", "_value")
-
-    # One row per value. The sums go with the copy whose value is the type itself: it shrinks to a
-    # row per type before the shuffle, so the many other rows carry no sums.
-    per_value = copies.groupBy(*keys, "_column", "_value").agg(
+    return copies.groupBy(*keys, "_column", "_value").agg(
         *(F.bool_or(F.col("_kind") == kind).alias(f"_in_{kind}") for kind in CUSTOMER_TYPES),
         *(F.expr(f"sum(`{name}`) FILTER (WHERE _column = '{kind_of}')").alias(name) for name in sums),
     )
 
+
+def distinct_by_type(
+    df: DataFrame,
+    keys: Sequence[str],
+    distinct: Mapping[str, str],
+    sums: Sequence[str] = (),
+    overall: str = OVERALL,
+) -> DataFrame:
+    """Distinct counts (result name = column) and sums, by type and for all customers together.
+
+    A value seen under both types counts once in the overall row, so that row cannot be added up
+    from the others. All rows are counted from ``per_value``: one pass over the input and one
+    shuffle of (keys, value), without copies for each grouping set.
+    """
+
     def counted(column: str, kind: str | None) -> Column:
         seen = (F.col("_column") == column) & F.col("_value").isNotNull()
         return F.count_if(seen & F.col(f"_in_{kind}") if kind else seen)
 
-    per_key = per_value.groupBy(*keys).agg(
-        *(F.bool_or(f"_in_{kind}").alias(f"_in_{kind}") for kind in CUSTOMER_TYPES),
-        *(
-            F.sum(F.when(F.col("_value") == kind, F.col(name)) if kind else F.col(name)).alias(
-                f"_{name}_{kind}"
-            )
-            for kind in (*CUSTOMER_TYPES, None)
-            for name in sums
-        ),
-        *(
-            counted(column, kind).alias(f"_{name}_{kind}")
-            for kind in (*CUSTOMER_TYPES, None)
-            for name, column in distinct.items()
-        ),
+    kinds = (*CUSTOMER_TYPES, None)
+    per_key = (
+        per_value(df, keys, list(distinct.values()), sums)
+        .groupBy(*keys)
+        .agg(
+            *(F.bool_or(f"_in_{kind}").alias(f"_in_{kind}") for kind in CUSTOMER_TYPES),
+            *(
+                F.sum(F.when(F.col("_value") == kind, F.col(name)) if kind else F.col(name)).alias(
+                    f"_{name}_{kind}"
+                )
+                for kind in kinds
+                for name in sums
+            ),
+            *(
+                counted(column, kind).alias(f"_{name}_{kind}")
+                for kind in kinds
+                for name, column in distinct.items()
+            ),
+        )
     )
 
     def row(kind: str | None) -> Column:
         return F.struct(
-            F.lit(kind or overall).alias(kind_of),
+            F.lit(kind or overall).alias("customer_type"),
             (F.col(f"_in_{kind}") if kind else F.lit(True)).alias("_present"),
             *(F.col(f"_{name}_{kind}").alias(name) for name in (*sums, *distinct)),
         )
 
-    rows = F.array(*(row(kind) for kind in (*CUSTOMER_TYPES, None)))
+    rows = F.array(*(row(kind) for kind in kinds))
     return per_key.select(*keys, F.inline(rows)).filter("_present").drop("_present")

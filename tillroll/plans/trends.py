@@ -1,19 +1,18 @@
 """Monthly trends and comparisons between months.
 
-``monthly`` scans the fact; everything else but ``trailing_distinct`` works on its result, which
-has one row per month and customer type.
+``monthly`` and ``trailing`` scan the fact; everything else works on the result of ``monthly``,
+which has one row per month and customer type.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping
 from datetime import date
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tillroll.functions import date_label, exact, month_index, percent
-from tillroll.operators.distinct import distinct_by_type
-from tillroll.operators.grouping import to_long, with_overall
+from tillroll.operators.distinct import distinct_by_type, per_value
+from tillroll.operators.grouping import to_long
 from tillroll.plans.prepare import dated
 from tillroll.schema import CUSTOMER_TYPES, MEASURE_LABELS, OVERALL
 
@@ -97,45 +96,36 @@ def trailing_sums(long: DataFrame, months: int = 12) -> DataFrame:
     )
 
 
-def trailing_distinct(fact: DataFrame, months: int = 12, distinct: Mapping[str, str] = DISTINCT) -> DataFrame:
-    """Distinct transactions and collectors of the months ending with each month.
+def trailing(fact: DataFrame, months: int = 12) -> DataFrame:
+    """All four measures of the months ending with each month.
 
     Distinct counts of months cannot be added up. A value seen in a month counts for that month
     and the ``months - 1`` after it; where two such stretches of a value overlap, the later one
     begins when the earlier one ends. The stretches that begin (+1) and end (-1) are counted per
-    month, and the running sum is the result. The work grows with the fact, not with ``months``.
+    month, and the running sum is the result. One pass over the fact, whose work does not grow
+    with ``months``.
     """
     kinds = (*CUSTOMER_TYPES, OVERALL)
-    labels = {column: MEASURE_LABELS[name] for name, column in distinct.items()}
-
-    def of_type(kind: str) -> Column:
-        return F.lit(True) if kind == OVERALL else F.col("customer_type") == kind
-
-    seen = (
-        dated(fact)
-        .select("customer_type", month_index(F.col("month")).alias("at"), *labels)
-        .unpivot(["customer_type", "at"], list(labels), "column", "value")
-        .groupBy("column", "value", "at")
-        .agg(*(F.bool_or(of_type(kind)).alias(kind) for kind in kinds))
-    )
+    rows = dated(fact).withColumn("at", month_index(F.col("month")))
+    seen = per_value(rows, ["at"], list(DISTINCT.values()), ADDITIVE)
 
     # A value has at most one row per month, so none makes a large window partition.
     earlier = (
-        Window.partitionBy("column", "value")
+        Window.partitionBy("_column", "_value")
         .orderBy("at")
         .rowsBetween(Window.unboundedPreceding, -1)
     )
 
     def begin(kind: str) -> Column:
-        before = F.last(F.when(F.col(kind), F.col("at")), ignorenulls=True).over(earlier)
-        return F.when(F.col(kind), F.greatest(F.col("at"), before + F.lit(months)))
+        present = F.lit(True) if kind == OVERALL else F.col(f"_in_{kind}")
+        before = F.last(F.when(present, F.col("at")), ignorenulls=True).over(earlier)
+        return F.when(present, F.greatest(F.col("at"), before + F.lit(months))).alias(f"begin_{kind}")
 
-    begins = [f"begin_{kind}" for kind in kinds]
-    # A null value, whose rows form one window partition, is seen but not counted.
+    # Null values, one row per month, are seen but not counted.
     stretches = (
-        seen.select("column", "value", "at", *(begin(kind).alias(f"begin_{kind}") for kind in kinds))
-        .groupBy("column", "at", *begins)
-        .agg(F.count("value").alias("values"))
+        seen.select("_column", "_value", "at", *ADDITIVE, *map(begin, kinds))
+        .groupBy("_column", "at", *(f"begin_{kind}" for kind in kinds))
+        .agg(F.count("_value").alias("values"), *(F.sum(name).alias(name) for name in ADDITIVE))
     )
 
     def change(kind: str, at: Column, step: Column, has_rows: bool) -> Column:
@@ -144,6 +134,7 @@ def trailing_distinct(fact: DataFrame, months: int = 12, distinct: Mapping[str,
             at.alias("at"),
             step.alias("step"),
             F.lit(has_rows).alias("has_rows"),
+            *(F.when(F.lit(has_rows), F.col(name)).alias(name) for name in ADDITIVE),
         )
 
     values, at = F.col("values"), F.col("at")
@@ -158,28 +149,37 @@ def trailing_distinct(fact: DataFrame, months: int = 12, distinct: Mapping[str,
         )
     ]
     steps = (
-        stretches.select("column", F.inline(F.array(*changes)))
+        stretches.select("_column", F.inline(F.array(*changes)))
         .filter(F.col("customer_type").isNotNull())
-        .groupBy("customer_type", "column", "at")
-        .agg(F.sum("step").alias("step"), F.bool_or("has_rows").alias("has_rows"))
+        .groupBy("customer_type", "_column", "at")
+        .agg(
+            F.bool_or("has_rows").alias("has_rows"),
+            *(F.sum(name).alias(name) for name in ("step", *ADDITIVE)),
+        )
     )
-    running = F.sum("step").over(Window.partitionBy("customer_type", "column").orderBy("at"))
-    label = F.create_map(*(F.lit(text) for pair in labels.items() for text in pair))
+
+    series = Window.partitionBy("customer_type", "_column").orderBy("at")
+    window = series.rangeBetween(1 - months, 0)
+    running = F.sum("step").over(series).cast("double")
+
+    def result(name: str, total: Column) -> Column:
+        return F.struct(total.alias("total"), F.lit(MEASURE_LABELS[name]).alias("measure"))
+
+    by_column = [
+        (F.col("_column") == column, F.array(result(name, F.col("running"))))
+        for name, column in DISTINCT.items()
+    ]
+    measures = F.array(*(result(name, F.col(name)) for name in ADDITIVE))
+    for is_column, counts in by_column:
+        measures = F.when(is_column, counts).otherwise(measures)
     return (
-        steps.withColumn("total", running.cast("double"))
+        steps.withColumns(
+            {"running": running, **{name: exact(F.sum(name).over(window)) for name in ADDITIVE}}
+        )
         .filter("has_rows")
         .select(
             "customer_type",
             F.add_months(F.lit(EPOCH), F.col("at") - month_index(F.lit(EPOCH))).alias("month"),
-            "total",
-            label[F.col("column")].alias("measure"),
+            F.inline(measures),
         )
     )
-
-
-def trailing(fact: DataFrame, months: int = 12) -> DataFrame:
-    """All four measures of the months ending with each month."""
-    labels = {name: MEASURE_LABELS[name] for name in ADDITIVE}
-    sums = with_overall(dated(fact), ["month"], **{name: name for name in ADDITIVE})
-    long = to_long(sums, ["customer_type", "month"], labels)
-    return trailing_sums(long, months).unionByName(trailing_distinct(fact, months))
