@@ -92,7 +92,7 @@ def test_settings_grow_with_the_delivery_and_stay_bounded():
     small, medium, large = sized(0), sized(10**12), sized(10**14)
     assert small == (128 * sizing.MIB, 200)
     assert medium == (128 * sizing.MIB, 931)
-    assert 900 * sizing.MIB < large[0] <= 1024 * sizing.MIB and large[1] == 40_000
+    assert 200 * sizing.MIB < large[0] <= 256 * sizing.MIB and large[1] == 20_000
 
 
 def test_settings_given_explicitly_are_kept(spark):

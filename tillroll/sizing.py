@@ -6,12 +6,14 @@ from pyspark.sql import SparkSession
 
 MIB = 1024 * 1024
 
-# Scan tasks read 128 MiB each until there would be too many of them.
-SMALLEST_SPLIT, LARGEST_SPLIT, MOST_SPLITS = 128 * MIB, 1024 * MIB, 100_000
+# Scan tasks read 128 MiB each until there would be too many of them. A task's distinct keys must
+# still fit its memory, also when it reads the same bytes of the much denser Parquet copy.
+SMALLEST_SPLIT, LARGEST_SPLIT, MOST_SPLITS = 128 * MIB, 256 * MIB, 400_000
 
-# The largest shuffle carries the transaction and collector keys, about a quarter of the input.
+# The largest shuffle carries the transaction and collector keys, about a quarter of the input. More
+# reducers would cost the driver more for keeping track of blocks than smaller tasks save.
 SHUFFLED_SHARE = 0.25
-REDUCER_BYTES, FEWEST_REDUCERS, MOST_REDUCERS = 256 * MIB, 200, 40_000
+REDUCER_BYTES, FEWEST_REDUCERS, MOST_REDUCERS = 256 * MIB, 200, 20_000
 
 
 def settings_for(input_bytes: int) -> dict[str, str]:
