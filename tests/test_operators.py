@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 from checks import star
 from micro import rows
 from tillroll import operators as op, storage
-from tillroll.operators.lookup import HOT_SHARE, Profile, _hot_keys
+from tillroll.operators.lookup import BUILD_BYTES, HOT_SHARE, Profile, _hot_keys
 from tillroll.plans import prepare, trends
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -46,7 +46,15 @@ def test_large_lookup_equals_broadcast_on_skewed_keys(spark, skewed, share):
     large = op.lookup(skewed, location, key, measured, 0, hot_share=share)
     columns = ["trans_key", "product_key", key, "sales", "province", "store_num"]
     assert rows(large, *columns) == rows(small, *columns)
-    assert "BroadcastHashJoin" in plan(small) and "SortMergeJoin" in plan(large)
+    assert "BroadcastHashJoin" in plan(small) and "ShuffledHashJoin" in plan(large)
+
+
+def test_very_large_dimensions_are_sorted(spark, skewed):
+    key = "store_location_key"
+    huge = Profile(BUILD_BYTES * 8 + 1, 0)
+    joined = op.lookup(skewed, star.location(spark, SF_DIR), key, huge)
+    assert "SortMergeJoin [_ordinary" in plan(joined)
+    assert joined.count() == 6000
 
 
 def test_large_lookup_spreads_hot_keys_and_missing_keys(spark, skewed):

@@ -11,6 +11,10 @@ from pyspark.sql import DataFrame, functions as F
 # Largest dimension sent whole to every executor.
 BROADCAST_BYTES = 96 * 1024 * 1024
 
+# Largest part of a dimension that one task of a shuffled lookup holds in a hash table; beyond it
+# both sides are sorted.
+BUILD_BYTES = 128 * 1024 * 1024
+
 # A key is hot if more than this share of the fact rows holds it: at most 100,000 keys are hot, and
 # no other key brings more than a gigabyte of a 100 TB fact to one task.
 HOT_SHARE = 0.00001
@@ -106,8 +110,10 @@ def lookup(
     spread = F.when(ordinary.isNull(), F.xxhash64(*fact.columns)).otherwise(F.xxhash64(F.col(key)))
     placed = marked.withColumns({"_ordinary": ordinary, "_spread": spread})
     cold_rows = keyed.withColumn("_at", F.xxhash64("_key"))
+    # Dimension keys are unique, so its rows spread evenly and the fact need not be sorted.
+    tasks = int(fact.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     joined = placed.join(
-        cold_rows.hint("merge"),
+        cold_rows.hint("shuffle_hash" if measured.bytes <= tasks * BUILD_BYTES else "merge"),
         (F.col("_ordinary") == F.col("_key")) & (F.col("_spread") == F.col("_at")),
         "left",
     )
