@@ -164,6 +164,15 @@ def test_trailing_values_equal_looking_back_from_each_month(fact, months):
     same(trends.labelled(trends.trailing(fact, months)), expected)
 
 
+def test_measures_keep_a_finer_scale(spark, star):
+    fact = star[0].withColumn("sales", F.lit("0.125"))
+    fine = prepare.clean(fact, scale=3)
+    assert rows(reports.totals_wide(fine), "customer_type", "sales")[-1] == ("Overall", 9 * 0.125)
+    last = overall_sales(trends.trailing_sums(trends.monthly_long(trends.monthly(fine))), "total")
+    assert ("02-01-2016", 0.25) in last and ("02-01-2015", 0.625) in last
+    assert prepare.quality(prepare.enrich(fact, *star[1:])).first().inexact_sales == 9
+
+
 def test_quality(star):
     counts = prepare.quality(prepare.enrich(*star)).first().asDict()
     assert counts == {
