@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
@@ -11,6 +10,8 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
+WAREHOUSE_SETTING = "spark.sql.warehouse.dir"
+WORK_FOLDER = "_tillroll_work"
 
 
 @contextmanager
@@ -27,18 +28,9 @@ def cached(df: DataFrame, level: StorageLevel = StorageLevel.MEMORY_AND_DISK) ->
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder all executors share, as the session names it.
-
-    Only where none is named and driver and executors are one process is a temporary one made.
-    """
-    context = spark.sparkContext
-    folder = spark.conf.get(CHECKPOINT_SETTING, None) or context.getCheckpointDir()
-    if folder:
-        return folder.rstrip("/")
-    if not context.master.startswith("local"):
-        raise ValueError(f"set {CHECKPOINT_SETTING} to a folder that all executors share")
-    context.setCheckpointDir(tempfile.mkdtemp(prefix="tillroll-"))
-    return context.getCheckpointDir()
+    """The folder all executors share, as the session names it; else one below its warehouse."""
+    folder = spark.conf.get(CHECKPOINT_SETTING, None) or spark.sparkContext.getCheckpointDir()
+    return (folder or f"{spark.conf.get(WAREHOUSE_SETTING).rstrip('/')}/{WORK_FOLDER}").rstrip("/")
 
 
 def new_folder(spark: SparkSession, name: str) -> str:
