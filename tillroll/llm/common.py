@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tillroll.storage import new_folder, written
@@ -38,3 +39,17 @@ def words(text: Column) -> Column:
 def same(left: Column, right: Column) -> Column:
     """Equality that also holds between nulls."""
     return left.eqNullSafe(right)
+
+
+def byte_chunks(batch: pa.RecordBatch, limit: int) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
+    """Slices of a batch with the UTF-8 bytes of their ``text``, of ``limit`` bytes or one row each."""
+    texts = batch.column("text").cast(pa.binary()).to_pylist()
+    start, held = 0, 0
+    for i, text in enumerate(texts):
+        texts[i] = text or b""
+        if held and held + len(texts[i]) > limit:
+            yield batch.slice(start, i - start), texts[start:i]
+            start, held = i, 0
+        held += len(texts[i]) + 1
+    if texts:
+        yield batch.slice(start), texts[start:]

@@ -44,7 +44,41 @@ best AS (
 _SPACE = r"[\x20\x09-\x0D]"
 _WORD = r"[^\x20\x09-\x0D]+"
 
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+
+def _shingles(table: str, key: str) -> str:
+    """Distinct five-word shingles (key, s) of a table; a shorter text is one shingle."""
+    return f"""
+        SELECT DISTINCT {key}, array_to_string(w[i:i + 4], ' ') AS s
+        FROM (SELECT {key}, regexp_extract_all({_LOWER}, '{_WORD}') AS w FROM {table}) AS x,
+             unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS r(i)
+        WHERE len(w) > 0
+    """
+
+
 ORACLES: dict[str, str] = {
+    "op3_tensored_minhash": f"""
+        WITH RECURSIVE sh AS ({_shingles('documents', 'doc_id')}),
+        sizes AS (SELECT doc_id, count(*) AS n FROM sh GROUP BY doc_id),
+        shared AS (
+            SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS n
+            FROM sh x JOIN sh y ON x.s = y.s AND x.doc_id <> y.doc_id GROUP BY 1, 2
+        ),
+        links AS (
+            SELECT a, b FROM shared JOIN sizes p ON p.doc_id = a JOIN sizes q ON q.doc_id = b
+            WHERE 100 * shared.n >= 75 * (p.n + q.n - shared.n)
+        ),
+        reach AS (
+            SELECT a, b FROM links
+            UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a
+        ),
+        least AS (SELECT a, min(b) AS b FROM reach GROUP BY a)
+        SELECT doc_id, coalesce(sizes.n, 0) AS n_shingles,
+               least(doc_id, coalesce(least.b, doc_id)) AS component_id,
+               doc_id = least(doc_id, coalesce(least.b, doc_id)) AS kept
+        FROM documents LEFT JOIN sizes USING (doc_id) LEFT JOIN least ON least.a = doc_id
+    """,
     "op4_url_list": f"""
         WITH {_URLS}
         SELECT p.page_id, p.day, coalesce(n_active, 0) AS n_active, b.p AS pattern, b.s AS since,
@@ -127,4 +161,12 @@ ORACLES: dict[str, str] = {
                CAST(sum(chars) AS BIGINT) AS formatted_chars
         FROM shown GROUP BY conv_id
     """,
+    "op10_containment": f"""
+        WITH sh AS ({_shingles('documents', 'doc_id')}),
+        items AS ({_shingles('benchmark', 'item_id')}),
+        sizes AS (SELECT item_id, count(*) AS n FROM items GROUP BY item_id)
+        SELECT doc_id, item_id, n AS n_item, count(*) AS n_shared
+        FROM sh JOIN items USING (s) JOIN sizes USING (item_id)
+        GROUP BY doc_id, item_id, n HAVING 100 * count(*) >= 75 * n
+    """,
 }

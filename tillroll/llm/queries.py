@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillroll.llm import chat, quality, sharding, urls
+from tillroll.llm import chat, decontaminate, neardup, quality, sharding, urls
 from tillroll.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -16,6 +16,11 @@ def op1_ring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(table(spark, sf_dir, "documents"))
 
 
+def op3_tensored_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = neardup.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_shingles", "component_id", "kept")
+
+
 def op4_url_list(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages")
     return urls.filtered(urls.captures_of(pages), urls.entries_of(pages)).drop("url")
@@ -46,9 +51,16 @@ def op9_grammar(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digests(chat.read_back(chat.formatted(turns)))
 
 
+def op10_containment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, items = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    return decontaminate.contaminated(docs, items).drop("key")
+
+
 QUERIES: dict[str, Query] = {
     "op1_ring": op1_ring,
+    "op3_tensored_minhash": op3_tensored_minhash,
     "op4_url_list": op4_url_list,
     "op5_line_frequency": op5_line_frequency,
     "op9_grammar": op9_grammar,
+    "op10_containment": op10_containment,
 }

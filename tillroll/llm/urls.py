@@ -59,20 +59,20 @@ def active_at(captures: DataFrame, entries: DataFrame, period_days: int = PERIOD
     over its periods, and a capture meets no entries of other times. Equal captures meet once.
     """
     intervals = validity(entries)
-    last = captures.agg(F.max("day").alias("_last"))
-    # One value; an interval without end is followed as far as there are captures.
-    cut = intervals.join(F.broadcast(last)).select(
+    # One value: an interval without end is followed as far as there are captures.
+    last = F.lit(captures.agg(F.max("day")).first()[0]).cast("date")
+    cut = intervals.select(
         "pattern",
         "action",
         "since",
         "until",
         F.explode(
             F.when(
-                F.col("since") <= F.col("_last"),
+                F.col("since") <= last,
                 F.sequence(
                     _period(F.col("since"), period_days),
                     _period(
-                        F.least(F.coalesce(F.date_sub("until", 1), F.col("_last")), F.col("_last")),
+                        F.least(F.coalesce(F.date_sub("until", 1), last), last),
                         period_days,
                     ),
                 ),
