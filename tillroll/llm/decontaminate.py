@@ -21,12 +21,12 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from tillroll.llm.bloom import bloom, contains
 from tillroll.llm.common import byte_chunks, same, staged
 from tillroll.llm.shingles import CHUNK, U, mixed, seeds, shingle_hashes, shingle_sets
 
 HASHES = 64
 PERCENT = 75
-FILTER_BITS = 23
 
 _FLIPS, _TIMES = seeds(HASHES, 11)
 
@@ -65,35 +65,6 @@ def _item_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 )
 
 
-def _bits(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Two places in the filter for each value; Spark computes the same in ``bloom``."""
-    low = (1 << FILTER_BITS) - 1
-    return values & low, (values >> FILTER_BITS) & low
-
-
-def bloom(values: DataFrame, name: str) -> np.ndarray:
-    """A filter of the long column ``name``: 64-bit words whose number is fixed."""
-    low = F.lit((1 << FILTER_BITS) - 1)
-    place = F.explode(
-        F.array(F.col(name).bitwiseAND(low), F.shiftright(name, FILTER_BITS).bitwiseAND(low))
-    )
-    places = values.select(place.alias("p"))
-    rows = places.groupBy(F.shiftright("p", 6).alias("word")).agg(
-        F.expr("bit_or(shiftleft(1L, CAST(p & 63 AS INT)))").alias("bits")
-    )
-    words = np.zeros(1 << (FILTER_BITS - 6), np.int64)
-    for row in rows.collect():  # as many rows as the filter has words, at most
-        words[row["word"]] = row["bits"]
-    return words
-
-
-def _in(words: np.ndarray, values: np.ndarray) -> np.ndarray:
-    found = np.ones(len(values), bool)
-    for place in _bits(values):
-        found &= (words[place >> 6] >> (place & 63)) & 1 == 1
-    return found
-
-
 def _segment_keys(words, partitions: list[int]) -> Callable:
     """Rows (doc_id, key, met): minima of a document's segments that pass the filter."""
 
@@ -116,7 +87,7 @@ def _segment_keys(words, partitions: list[int]) -> Callable:
                     values = (hashes ^ flip) * times
                     for part, row, starts in cuts:
                         keys = _key(np.minimum.reduceat(values, starts), k, part)
-                        found = _in(listed, keys)
+                        found = contains(listed, keys)
                         hit_rows.append(row[found])
                         hits.append(keys[found])
                 yield _rows(rows, np.concatenate(hit_rows), np.concatenate(hits))
@@ -141,7 +112,7 @@ def _listed_shingles(words) -> Callable:
                 sets = [s.view(np.int64) for s in shingle_sets(texts)]
                 values = np.concatenate(sets)
                 at = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
-                found = _in(listed, values)
+                found = contains(listed, values)
                 yield _rows(rows, at[found], values[found])
 
     return run

@@ -5,29 +5,32 @@ of A and one of B is a table key, so ``groups`` squared tables of ``2 * rows`` h
 only ``2 * groups * rows`` hashes in all. Documents meet in a table if they agree on both halves.
 At similarity 0.75 a pair misses all tables with a probability below 0.0004, at 0.8 below 0.00003.
 
-Equal shingle sets are one class from the start, so copies are never compared. In each table
-bucket the classes are compared with the bucket's first classes (in the order of their digests),
-and only across components found so far. The number of first classes grows from round to round
-until no bucket holds two components that were not compared, so a group of copies costs one
-comparison per class, and no link between classes that share a bucket is lost.
+Equal shingle sets are one class from the start, so copies are never compared, and of buckets with
+the same classes one is kept. In each bucket the classes are compared with the bucket's first
+classes, and only across components found so far. First are those with most company in all
+buckets, such as the text that a group of near copies was made from. The number of first classes
+grows from round to round until no bucket holds two components that were not compared, so a group
+of copies costs about one comparison per class, and no link between classes that share a bucket is
+lost.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.window import Window
 
+from tillroll.llm.bloom import bloom, contains
 from tillroll.llm.common import byte_chunks, same, staged
 from tillroll.llm.components import components
 from tillroll.llm.shingles import CHUNK, U, mixed, seeds, shingle_hashes, shingle_sets
 
 GROUPS, ROWS = 16, 3
 PERCENT = 75
-FIRST_CLASSES, MORE_CLASSES = 8, 8
+FIRST_CLASSES, MORE_CLASSES = 2, 4
 
 _FLIPS, _TIMES = seeds(2 * GROUPS * ROWS, 3)
 _MARKS = seeds(2, 5)
@@ -82,15 +85,22 @@ def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
-def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for _, texts in byte_chunks(batch, CHUNK):
-            sets = shingle_sets(texts)
-            columns = [
-                pa.array([_digest(s) for s in sets], pa.binary()),
-                pa.array([s.tobytes() for s in sets], pa.binary()),
-            ]
-            yield pa.RecordBatch.from_arrays(columns, ["node", "shingles"])
+def _sets(words) -> Callable:
+    """Rows (node, shingles) of the texts whose key the filter may hold."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        wanted = words.value
+        for batch in batches:
+            found = contains(wanted, batch.column("key").to_numpy())
+            for _, texts in byte_chunks(batch.filter(pa.array(found)), CHUNK):
+                sets = shingle_sets(texts)
+                columns = [
+                    pa.array([_digest(s) for s in sets], pa.binary()),
+                    pa.array([s.tobytes() for s in sets], pa.binary()),
+                ]
+                yield pa.RecordBatch.from_arrays(columns, ["node", "shingles"])
+
+    return run
 
 
 def _confirmed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -121,12 +131,23 @@ def _buckets(classes: DataFrame) -> DataFrame:
         halves.append(rows.join(met, at, "left_semi"))
     pairs = halves[0].join(halves[1], "node")
     keyed = pairs.select(F.xxhash64("a_at", "a_value", "b_at", "b_value").alias("key"), "node")
-    met = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("_met")).filter("_met > 1").drop("_met")
-    return keyed.join(met, "key", "left_semi")
+    alike = ["size", "mark", "mark2"]
+    met = keyed.groupBy("key").agg(
+        F.count(F.lit(1)).alias("size"),
+        F.expr("bit_xor(xxhash64(node))").alias("mark"),
+        F.expr("bit_xor(xxhash64(node, 1))").alias("mark2"),
+    )
+    met = met.filter("size > 1").groupBy(*alike)
+    met = met.agg(F.min("key").alias("key"), F.count(F.lit(1)).alias("times"))
+    rows = keyed.join(met.select("key", (F.col("size") * F.col("times")).alias("company")), "key")
+    rows = staged(rows, "members")
+    company = rows.groupBy("node").agg(F.sum("company").alias("all"))
+    place = F.struct((-F.col("all")).alias("rank"), F.col("node").alias("node"))
+    return rows.join(company, "node").select("key", "node", place.alias("place"))
 
 
-def _links(classes: DataFrame, set_rows) -> DataFrame | None:
-    """Confirmed links (a, b) between classes, found round by round; null if there are none."""
+def _links(classes: DataFrame, set_rows: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """Confirmed links (a, b) between classes, found round by round."""
     buckets = staged(_buckets(classes), "buckets")
     members = buckets.select("node").distinct()
     sets = staged(set_rows(members), "sets")
@@ -138,10 +159,10 @@ def _links(classes: DataFrame, set_rows) -> DataFrame | None:
         return both.mapInArrow(_confirmed, "a binary, b binary")
 
     # First every class meets one other: the first class of all its buckets.
-    first = buckets.groupBy("key").agg(F.min("node").alias("first"))
-    pairs = buckets.join(first, "key").filter("first < node")
-    pairs = pairs.groupBy(F.col("node").alias("b")).agg(F.min("first").alias("a")).select("a", "b")
-    compared = staged(pairs, "pairs")
+    first = buckets.groupBy("key").agg(F.min("place").alias("first"))
+    pairs = buckets.join(first, "key").filter("first < place")
+    pairs = pairs.groupBy(F.col("node").alias("b")).agg(F.min("first").alias("first"))
+    compared = staged(pairs.select(F.col("first.node").alias("a"), "b"), "pairs")
     links = staged(confirmed(compared), "links")
     many = FIRST_CLASSES
     while True:
@@ -155,12 +176,13 @@ def _links(classes: DataFrame, set_rows) -> DataFrame | None:
         largest = rows.agg(F.max("size")).first()[0]
         if largest is None:
             return links
-        ranked = rows.withColumn("rank", F.row_number().over(Window.partitionBy("key").orderBy("node")))
-        heads = ranked.filter(F.col("rank") <= many).select(
-            "key", F.col("node").alias("a"), F.col("root").alias("root_a")
+        order = Window.partitionBy("key").orderBy("place")
+        ranked = rows.withColumn("at", F.row_number().over(order))
+        heads = ranked.filter(F.col("at") <= many).select(
+            "key", F.col("place").alias("head"), F.col("root").alias("root_a")
         )
-        pairs = rows.join(heads, "key").filter("a < node AND root <> root_a")
-        pairs = pairs.select("a", F.col("node").alias("b")).distinct()
+        pairs = rows.join(heads, "key").filter("head < place AND root <> root_a")
+        pairs = pairs.select(F.col("head.node").alias("a"), F.col("node").alias("b")).distinct()
         pairs = staged(pairs.join(compared, ["a", "b"], "left_anti"), "pairs")
         found = staged(confirmed(pairs), "links")
         if many >= largest and found.isEmpty():
@@ -189,15 +211,11 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     )
 
     def set_rows(members: DataFrame) -> DataFrame:
-        """The shingle set of every member class, from one document that has it."""
-        chosen = named.join(members, "node", "left_semi").groupBy("node")
-        chosen = chosen.agg(F.min_by(F.struct("doc_id", "key"), F.struct("doc_id", "key")).alias("at"))
-        chosen = chosen.select(F.col("at.doc_id").alias("_id"), F.col("at.key").alias("_key"))
-        met = rows.join(
-            chosen, same(F.col("doc_id"), F.col("_id")) & (F.col("key") == F.col("_key")), "left_semi"
-        )
-        found = met.select("text").mapInArrow(_sets, "node binary, shingles binary")
-        return found.dropDuplicates(["node"])
+        """The shingle set of every member class."""
+        keys = named.join(members, "node", "left_semi").select("key")
+        wanted = docs.sparkSession.sparkContext.broadcast(bloom(keys, "key"))
+        found = rows.select("key", "text").mapInArrow(_sets(wanted), "node binary, shingles binary")
+        return found.join(members, "node", "left_semi").dropDuplicates(["node"])
 
     roots = components(_links(classes, set_rows))
     rooted = classes.select("node", "id").join(roots, "node", "left")
