@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tillroll.llm import chat, decontaminate, neardup, quality, sharding, urls
+from tillroll.llm import binary, chat, decontaminate, neardup, packing, quality, sharding, urls
 from tillroll.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -41,6 +42,17 @@ def op5_line_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_byte_aligned_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vocabulary = public_tokenizers.path("word_bpe_49k.json")
+    return binary.round_trip(table(spark, sf_dir, "documents"), vocabulary, end_id=2)
+
+
+def op8_ordered_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vocabulary = public_tokenizers.path("byte_bpe_50k.json")
+    pieces = packing.packed(table(spark, sf_dir, "documents"), vocabulary, end_id=1)
+    return pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+
+
 def op9_grammar(spark: SparkSession, sf_dir: str) -> DataFrame:
     said = "'\\\\### Assistant: </turn> ok'"
     added = spark.sql(
@@ -61,6 +73,8 @@ QUERIES: dict[str, Query] = {
     "op3_tensored_minhash": op3_tensored_minhash,
     "op4_url_list": op4_url_list,
     "op5_line_frequency": op5_line_frequency,
+    "op6_byte_aligned_ids": op6_byte_aligned_ids,
+    "op8_ordered_windows": op8_ordered_windows,
     "op9_grammar": op9_grammar,
     "op10_containment": op10_containment,
 }
