@@ -11,7 +11,9 @@ classes, and only across components found so far. First are those with most comp
 buckets, such as the text that a group of near copies was made from. The number of first classes
 grows from round to round until no bucket holds two components that were not compared, so a group
 of copies costs about one comparison per class, and no link between classes that share a bucket is
-lost.
+lost. After the first round two classes are compared only if the link is possible at all: the
+shingles that two sets share are found in several sets of unfinished buckets, so a set with few
+such shingles cannot share enough with any other.
 """
 
 from __future__ import annotations
@@ -30,7 +32,7 @@ from tillroll.llm.shingles import CHUNK, U, mixed, seeds, shingle_hashes, shingl
 
 GROUPS, ROWS = 16, 3
 PERCENT = 75
-FIRST_CLASSES, MORE_CLASSES = 2, 4
+FIRST_CLASSES, MORE_CLASSES = 4, 8
 
 _FLIPS, _TIMES = seeds(2 * GROUPS * ROWS, 3)
 _MARKS = seeds(2, 5)
@@ -103,6 +105,15 @@ def _sets(words) -> Callable:
     return run
 
 
+def _shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (node, met) of every shingle of the sets."""
+    for batch in batches:
+        sets = [np.frombuffer(x.as_buffer(), np.int64) for x in batch.column("shingles")]
+        at = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+        columns = [batch.column("node").take(pa.array(at)), pa.array(np.concatenate(sets))]
+        yield pa.RecordBatch.from_arrays(columns, ["node", "met"])
+
+
 def _confirmed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The pairs (a, b) whose sets xs and ys are similar."""
     for batch in batches:
@@ -164,24 +175,40 @@ def _links(classes: DataFrame, set_rows: Callable[[DataFrame], DataFrame]) -> Da
     pairs = pairs.groupBy(F.col("node").alias("b")).agg(F.min("first").alias("first"))
     compared = staged(pairs.select(F.col("first.node").alias("a"), "b"), "pairs")
     links = staged(confirmed(compared), "links")
+    rows = staged(_unfinished(buckets, components(links)), "open")
+    if rows.isEmpty():
+        return links
+    # How many shingles of a set are in another set, too: the most it can share.
+    nodes = rows.select("node").distinct()
+    shown = sets.join(nodes, "node", "left_semi").mapInArrow(_shingles, "node binary, met long")
+    several = shown.groupBy("met").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("met")
+    most = shown.join(several, "met", "left_semi").groupBy("node")
+    most = most.agg(F.count(F.lit(1)).alias("most"))
+    sizes = sets.select("node", (F.octet_length("shingles") / 8).cast("long").alias("n"))
+    limits = most.join(sizes, "node").filter(100 * F.col("most") >= PERCENT * F.col("n"))
+    buckets = rows.select("key", "node", "place").join(limits, "node")
+    buckets = staged(buckets.select("key", "node", "place", "n", "most"), "limited")
+
     many = FIRST_CLASSES
     while True:
-        roots = components(links)
-        rows = buckets.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-        open_keys = rows.groupBy("key").agg(
-            F.count(F.lit(1)).alias("size"), F.min("root").alias("low"), F.max("root").alias("high")
-        )
-        open_keys = open_keys.filter("low < high").select("key", "size")
-        rows = staged(rows.join(open_keys, "key"), "open")
+        rows = staged(_unfinished(buckets, components(links)), "open")
         largest = rows.agg(F.max("size")).first()[0]
         if largest is None:
             return links
         order = Window.partitionBy("key").orderBy("place")
         ranked = rows.withColumn("at", F.row_number().over(order))
         heads = ranked.filter(F.col("at") <= many).select(
-            "key", F.col("place").alias("head"), F.col("root").alias("root_a")
+            "key",
+            F.col("place").alias("head"),
+            F.col("root").alias("root_a"),
+            F.col("n").alias("n_a"),
+            F.col("most").alias("most_a"),
         )
-        pairs = rows.join(heads, "key").filter("head < place AND root <> root_a")
+        shared = F.least("most", "most_a")
+        possible = 100 * shared >= PERCENT * (F.col("n") + F.col("n_a") - shared)
+        apart = (F.col("head") < F.col("place")) & (F.col("root") != F.col("root_a"))
+        left, right = rows.alias("l"), heads.alias("r")
+        pairs = left.join(right, (F.col("l.key") == F.col("r.key")) & apart & possible)
         pairs = pairs.select(F.col("head.node").alias("a"), F.col("node").alias("b")).distinct()
         pairs = staged(pairs.join(compared, ["a", "b"], "left_anti"), "pairs")
         found = staged(confirmed(pairs), "links")
@@ -191,6 +218,15 @@ def _links(classes: DataFrame, set_rows: Callable[[DataFrame], DataFrame]) -> Da
         many *= MORE_CLASSES
 
 
+def _unfinished(buckets: DataFrame, roots: DataFrame) -> DataFrame:
+    """The rows of buckets that hold several components, with ``root`` and the bucket's ``size``."""
+    rows = buckets.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    keys = rows.groupBy("key").agg(
+        F.count(F.lit(1)).alias("size"), F.min("root").alias("low"), F.max("root").alias("high")
+    )
+    return rows.join(keys.filter("low < high").select("key", "size"), "key")
+
+
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """Per row of ``docs`` (doc_id, text): doc_id, key, n_shingles, component_id and kept.
 
