@@ -23,7 +23,7 @@ from tillroll.llm.tokens import byte_level
 WINDOW = 2048
 STRIDE = 128
 SENTENCE_PENALTY, INSIDE_PENALTY = 8, 32
-BLOCK_TOKENS = 4 << 20
+BLOCK_TOKENS = 2 << 20
 PARTITION_BYTES = 16 << 20
 CHUNK = 1 << 20
 

@@ -11,11 +11,12 @@ from __future__ import annotations
 import functools
 import os
 import re
+from array import array
 from collections.abc import Iterable
 
 import numpy as np
 
-MOST = 400_000
+MOST = 1_200_000
 LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a Spark task has one core
@@ -36,6 +37,8 @@ class Pieces(dict):
         self.merge = self.tokenizer.model.tokenize
         self.before, self.lower = before, lower
         bytes_of = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
+        self.code = "H" if self.dtype.itemsize == 2 else "I"
+        self.marks = {mark: self.whole(mark) for mark in ".,;:!?"}
         letters = (chr(c) for c in (0x20, *range(0x41, 0x100)))
         self.written = {ord(c): bytes_of(c)[0][0] for c in letters}
 
@@ -44,7 +47,7 @@ class Pieces(dict):
 
     def word(self, letters: str) -> bytes:
         shown = (self.before + (letters.lower() if self.lower else letters)).translate(self.written)
-        return np.array([t.id for t in self.merge(shown)], self.dtype).tobytes()
+        return array(self.code, [token.id for token in self.merge(shown)]).tobytes()
 
     def __missing__(self, piece: str) -> bytes:
         if len(self) >= MOST:
@@ -53,7 +56,7 @@ class Pieces(dict):
         if not plain:
             found = self.whole(self.before + piece) if piece or self.before else b""
         elif plain[2]:
-            found = self[plain[1]] + self.whole(plain[2])
+            found = self[plain[1]] + self.marks[plain[2]]
         else:
             found = self.word(piece)
         self[piece] = found
