@@ -4,32 +4,83 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tillroll.llm import quality
-from tillroll.llm.common import staged, table
+from tillroll.llm import decontaminate, neardup, packing, quality, suffixes
+from tillroll.llm.common import same, staged, table
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
+def _documents(rows: DataFrame) -> DataFrame:
+    """The columns of documents; n_chars follows the text."""
+    return rows.withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS)
+
+
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass, without the lines that are frequent in their host."""
-    from pyspark.sql import functions as F
+    return _documents(quality.judged(docs).filter("kept"))
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates: the one with the smallest id."""
+    kept = neardup.near_duplicates(docs).filter("kept").select(F.col("doc_id").alias("_id"), "key")
+    key = F.xxhash64(F.coalesce("text", F.lit("")))
+    rows = docs.withColumn("_key", key)
+    met = same(F.col("doc_id"), F.col("_id")) & (F.col("_key") == F.col("key"))
+    return rows.join(kept, met, "left_semi").dropDuplicates(["doc_id", "_key"]).select(*COLUMNS)
+
+
+def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without the byte strings that an earlier document holds, and none that were all that.
+
+    Bytes of a character that was cut through go, too.
+    """
+    found = suffixes.repeats_removed(docs).filter("n_removed > 0")
+    found = found.select(
+        F.col("doc_id").alias("_id"), "key", F.try_validate_utf8("kept").alias("_whole"), "kept"
+    )
+    text = F.coalesce(F.col("text"), F.lit(""))
+    rows = docs.withColumn("_key", F.hash(text))
+    met = same(F.col("doc_id"), F.col("_id")) & (F.col("_key") == F.col("key"))
+    rows = rows.join(found, met, "left")
+    cut = F.coalesce("_whole", F.replace(F.make_valid_utf8("kept"), F.lit("�"), F.lit("")))
+    rows = rows.withColumn("text", F.when(F.col("key").isNull(), F.col("text")).otherwise(cut))
+    return _documents(rows.filter(F.col("key").isNull() | (F.col("text") != "")))
+
+
+def benchmark_items(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no item of the benchmark."""
+    found = decontaminate.contaminated(docs, table(spark, sf_dir, "benchmark"))
+    found = found.select(F.col("doc_id").alias("_id"), F.col("key").alias("_found")).distinct()
+    rows = docs.withColumn("_key", F.xxhash64(F.coalesce("text", F.lit(""))))
+    met = same(F.col("doc_id"), F.col("_id")) & (F.col("_key") == F.col("_found"))
+    return rows.join(found, met, "left_anti").select(*COLUMNS)
+
 
-    kept = quality.judged(docs).filter("kept")
-    return kept.withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS)
+def packed_windows(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of all documents in windows of at most 2048 ids."""
+    return packing.packed(docs, public_tokenizers.path("byte_bpe_50k.json"), end_id=1)
 
 
-STAGES: list[tuple[str, Stage]] = [("quality rules", quality_rules)]
+STAGES: list[tuple[str, Stage]] = [
+    ("quality rules", quality_rules),
+    ("near-duplicates", near_duplicates),
+    ("repeated passages", repeated_passages),
+    ("benchmark items", benchmark_items),
+    ("packing", packed_windows),
+]
 
+# Near-duplicates by MinHash, byte-wise removal and packing have no SQL; tests compare with brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages in order, each written and read again by the next."""
     docs = table(spark, sf_dir, "documents")
-    for k, (name, stage) in enumerate(STAGES):
+    for k, (_, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
         if k < len(STAGES) - 1:
             docs = staged(docs, f"stage{k}")

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 FILTER_BITS = 23
@@ -32,3 +35,14 @@ def contains(words: np.ndarray, values: np.ndarray) -> np.ndarray:
     for place in (values & low, (values >> FILTER_BITS) & low):
         found &= (words[place >> 6] >> (place & 63)) & 1 == 1
     return found
+
+
+def passing(rows: DataFrame, wanted: DataFrame, name: str) -> DataFrame:
+    """The rows whose long ``name`` may be among the wanted: few enough to be joined with them."""
+    shared = rows.sparkSession.sparkContext.broadcast(bloom(wanted, name))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array(contains(shared.value, batch.column(name).to_numpy())))
+
+    return rows.mapInArrow(run, rows.schema)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tillroll.llm import binary, chat, decontaminate, neardup, packing, quality, sharding, urls
+from tillroll.llm import binary, chat, decontaminate, neardup, packing, quality, scoring, sharding, suffixes, urls
 from tillroll.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -17,6 +17,10 @@ def op1_ring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(table(spark, sf_dir, "documents"))
 
 
+def op2_context_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scoring.scored(table(spark, sf_dir, "documents"))
+
+
 def op3_tensored_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = neardup.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_shingles", "component_id", "kept")
@@ -47,6 +51,12 @@ def op6_byte_aligned_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return binary.round_trip(table(spark, sf_dir, "documents"), vocabulary, end_id=2)
 
 
+def op7_merged_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffixes.repeats_removed(table(spark, sf_dir, "documents"))
+    digest = F.when(F.col("kept").isNull(), F.col("sha")).otherwise(F.sha2("kept", 256))
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", digest.alias("kept_sha256"))
+
+
 def op8_ordered_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     vocabulary = public_tokenizers.path("byte_bpe_50k.json")
     pieces = packing.packed(table(spark, sf_dir, "documents"), vocabulary, end_id=1)
@@ -70,10 +80,12 @@ def op10_containment(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_ring": op1_ring,
+    "op2_context_trees": op2_context_trees,
     "op3_tensored_minhash": op3_tensored_minhash,
     "op4_url_list": op4_url_list,
     "op5_line_frequency": op5_line_frequency,
     "op6_byte_aligned_ids": op6_byte_aligned_ids,
+    "op7_merged_suffixes": op7_merged_suffixes,
     "op8_ordered_windows": op8_ordered_windows,
     "op9_grammar": op9_grammar,
     "op10_containment": op10_containment,

@@ -9,8 +9,8 @@ CHUNK = 2 << 20  # bytes of text that are hashed at once
 
 U = np.uint64
 _RNG = np.random.default_rng(20240611)
-_BASE = U(0x9E3779B97F4A7C15)
-_BACK = U(pow(int(_BASE), -1, 1 << 64))
+BASE = U(0x9E3779B97F4A7C15)
+_BACK = U(pow(int(BASE), -1, 1 << 64))
 _PLACE = _RNG.integers(1, 1 << 63, SIZE, dtype=np.uint64) * U(2) + U(1)
 _SHORT = 0xD6E8FEB86659FD93
 
@@ -22,7 +22,7 @@ _SPACE[[0x20, *range(0x09, 0x0E)]] = True
 _powers = {U(1): np.ones(1, U)}
 
 
-def _power(base: np.uint64, n: int) -> np.ndarray:
+def power(base: np.uint64, n: int) -> np.ndarray:
     """base ** 0 .. base ** (n - 1), modulo 2 ** 64."""
     known = _powers.get(base)
     if known is None or len(known) < n:
@@ -50,8 +50,8 @@ def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     ends = np.flatnonzero(space & ~before)
     # A word's polynomial is a difference of prefix sums, moved to power 0.
     total = np.zeros(len(data) + 1, U)
-    np.cumsum((data.astype(U) + U(1)) * _power(_BASE, len(data)), out=total[1:])
-    words = mixed((total[ends] - total[starts]) * _power(_BACK, len(data))[starts])
+    np.cumsum((data.astype(U) + U(1)) * power(BASE, len(data)), out=total[1:])
+    words = mixed((total[ends] - total[starts]) * power(_BACK, len(data))[starts])
     bounds = np.cumsum([0, *(len(t) + 1 for t in texts)])
     return words, np.diff(np.searchsorted(starts, bounds))
 
