@@ -22,6 +22,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.window import Window
 
 from tillroll.llm.bloom import passing
 from tillroll.llm.common import byte_chunks, same, staged
@@ -35,7 +36,7 @@ SEGMENT = 4 << 20  # windows looked at together; a place in a segment takes 24 b
 ROWS_AT_ONCE = 30_000
 
 ANCHOR = "seed long, doc_id long, key int, place int"
-CONTEXT = "seed long, doc_id long, key int, place int, before binary, after binary"
+CONTEXT = "seed long, doc_id long, key int, place int, before binary, after binary, last int"
 SPAN = "doc_id long, key int, first int, last int"
 CUT = "doc_id long, key int, n_removed long, n_spans long, kept binary"
 
@@ -85,30 +86,35 @@ def _anchor_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """What stands before and after the seeds ``at`` of each text, ``before`` from the seed outward."""
+    """What stands before and after the seeds ``at`` of each text, ``before`` from the seed outward.
+
+    Of a batch's anchors with the same bytes on both sides the earliest is kept. All windows of
+    the others come again, so their range is known: it goes out as ``place`` and ``last``.
+    """
     for batch in batches:
         for rows, texts in byte_chunks(batch, CHUNK):
-            ats = rows.column("at").to_pylist()
-            owner = np.repeat(np.arange(len(ats)), [len(at) for at in ats])
-            seeds, places, before, after = [], [], [], []
-            for text, at in zip(texts, ats, strict=True):
-                for hit in at:
-                    p = hit["place"]
-                    seeds.append(hit["seed"])
-                    places.append(p)
-                    before.append(text[max(p - REACH, 0) : p][::-1])
-                    after.append(text[p + SEED : p + LENGTH])
-            named = rows.select(["doc_id", "key"]).take(pa.array(owner, pa.int64()))
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(seeds, pa.int64()),
-                    *named.columns,
-                    pa.array(places, pa.int32()),
-                    pa.array(before, pa.binary()),
-                    pa.array(after, pa.binary()),
-                ],
-                ["seed", "doc_id", "key", "place", "before", "after"],
-            )
+            ids, keys = rows.column("doc_id").to_pylist(), rows.column("key").to_pylist()
+            order = sorted(range(len(ids)), key=lambda i: (ids[i] is not None, ids[i] or 0, keys[i]))
+            found, known = [], set()
+            for i in order:
+                text = texts[i]
+                for hit in sorted(rows.column("at")[i].as_py(), key=lambda h: h["place"]):
+                    p, seed = hit["place"], hit["seed"]
+                    before = text[max(p - REACH, 0) : p]
+                    after = text[p + SEED : p + LENGTH]
+                    sides = (seed, before, after)
+                    if sides not in known:
+                        known.add(sides)
+                        found.append((seed, ids[i], keys[i], p, before[::-1], after, None))
+                    elif len(before) + len(after) >= REACH:
+                        spread = hash((ids[i], p))  # any task may pass it on
+                        last = p + SEED + len(after)
+                        found.append((spread, ids[i], keys[i], p - len(before), None, None, last))
+            kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.int32())
+            columns = [pa.array(c, k) for c, k in zip(zip(*found, strict=True), kinds, strict=True)]
+            names = ["seed", "doc_id", "key", "place", "before", "after", "last"]
+            if columns:
+                yield pa.RecordBatch.from_arrays(columns, names)
 
 
 def _symbols(column: pa.Array) -> np.ndarray:
@@ -180,15 +186,17 @@ def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _ranges(table: pa.Table) -> pa.RecordBatch:
+    known = table.filter(table.column("last").is_valid())
+    table = table.filter(table.column("last").is_null())
     before, after = (_symbols(table.column(name)) for name in ("before", "after"))
     rows, far, near = repeated_ranges(table.column("seed").to_numpy(), before, after)
     place = table.column("place").to_numpy()[rows]
-    named = table.select(["doc_id", "key"]).take(pa.array(rows)).combine_chunks()
-    columns = [named.column(i).combine_chunks() for i in range(2)]
-    return pa.RecordBatch.from_arrays(
-        [*columns, pa.array(place - far, pa.int32()), pa.array(place - near + LENGTH, pa.int32())],
-        ["doc_id", "key", "first", "last"],
-    )
+    met = table.select(["doc_id", "key"]).take(pa.array(rows))
+    met = met.append_column("first", pa.array(place - far, pa.int32()))
+    met = met.append_column("last", pa.array(place - near + LENGTH, pa.int32()))
+    known = known.select(["doc_id", "key", "place", "last"]).rename_columns(met.column_names)
+    both = pa.concat_tables([met, known]).combine_chunks()
+    return pa.RecordBatch.from_arrays([c.combine_chunks() for c in both.columns], both.column_names)
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -249,11 +257,9 @@ def repeats_removed(docs: DataFrame) -> DataFrame:
     marks = staged(marks.join(firsts, "sha").withColumn("copy", order != F.col("first")).drop("first"), "marks")
     copies = marks.filter("copy").select("doc_id", "key")
 
-    found = rows.mapInArrow(_anchor_rows, ANCHOR).repartition("seed")
-    hits = found.join(_several(found), "seed", "left_semi")
+    hits = _several(rows.mapInArrow(_anchor_rows, ANCHOR))
     hits = staged(hits.alias("h").join(copies.alias("c"), _same_document("h", "c"), "left_anti"), "hits")
-    hits = hits.join(_several(hits), "seed", "left_semi")
-    at = hits.groupBy("doc_id", "key").agg(F.collect_list(F.struct("place", "seed")).alias("at"))
+    at = _several(hits).groupBy("doc_id", "key").agg(F.collect_list(F.struct("place", "seed")).alias("at"))
     held = _of_documents(rows, staged(at, "anchors")).mapInArrow(_contexts, CONTEXT)
     runs = held.repartition("seed").sortWithinPartitions("seed", "doc_id", "key", "place")
     ranges = runs.mapInArrow(_merged, SPAN).groupBy("doc_id", "key")
@@ -275,6 +281,6 @@ def repeats_removed(docs: DataFrame) -> DataFrame:
 
 
 def _several(anchor_rows: DataFrame) -> DataFrame:
-    """Seeds of several anchors."""
-    counted = anchor_rows.groupBy("seed").agg(F.count(F.lit(1)).alias("n"))
-    return counted.filter("n > 1").select("seed")
+    """The anchors whose seed is found several times; one shuffle."""
+    counted = anchor_rows.withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("seed")))
+    return counted.filter("n > 1").drop("n")
