@@ -7,7 +7,7 @@ from collections.abc import Callable, Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tillroll.storage import new_folder, written
+from tillroll.storage import new_folder
 
 # The white space that separates words, as characters and as a Java pattern.
 SPACES = " \t\n\x0b\x0c\r"
@@ -18,9 +18,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def staged(df: DataFrame, name: str) -> DataFrame:
+def staged(df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
     """Write a table once below the shared folder and read it from there: it outlives lost executors."""
-    return written(df, new_folder(df.sparkSession, name))
+    path = new_folder(df.sparkSession, name)
+    df.write.option("compression", compression).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:

@@ -26,7 +26,7 @@ from tillroll.llm.common import byte_chunks, staged
 
 DEPTH = 4
 BLOCK_BYTES = 24 << 20
-CHUNK = 4 << 20
+CHUNK = 1 << 20
 FOLDS, HELD_OUT = 5, 1
 
 ASKED = "block int, word binary, gram long, n long"
@@ -50,31 +50,41 @@ def _grams(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _asked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """What each block holds: its distinct words and strings with their training counts."""
-    words: dict[int, Counter] = {}
-    grams: dict[int, list] = {}
+    """What each block holds: its distinct words and strings with their training counts.
+
+    The documents of a block follow each other, so one block is held at a time.
+    """
+    now, words, grams = None, Counter(), []
     for batch in batches:
         for rows, texts in byte_chunks(batch, CHUNK):
             blocks = rows.column("block").to_numpy()
             trained = ~np.array(rows.column("held_out").to_pylist(), bool)
             for block in np.unique(blocks):
-                counts, held = words.setdefault(block, Counter()), grams.setdefault(block, [])
+                if block != now and now is not None:
+                    yield from _block(now, words, grams)
+                    words, grams = Counter(), []
+                now = block
                 for train in (True, False):
-                    own = [t.lower() for t, b, x in zip(texts, blocks, trained, strict=True) if b == block and x == train]
+                    at = np.flatnonzero((blocks == block) & (trained == train))
+                    own = [texts[i].lower() for i in at]
                     if not own:
                         continue
                     for text in own:
                         found = text.split()
                         found.append(b"")  # the end
-                        counts.update(found if train else dict.fromkeys(found, 0))
+                        words.update(found if train else dict.fromkeys(found, 0))
                     values, n = np.unique(_grams(own)[0], return_counts=True)
-                    held.append((values, n if train else np.zeros_like(n)))
-                if len(held) > 16:
-                    grams[block] = [_summed(held)]
-    for block, counts in words.items():
-        values, n = _summed(grams[block])
-        yield _rows(int(block), list(counts), None, list(counts.values()))
-        yield _rows(int(block), None, values, n)
+                    grams.append((values, n if train else np.zeros_like(n)))
+                if len(grams) > 16:
+                    grams = [_summed(grams)]
+    if now is not None:
+        yield from _block(now, words, grams)
+
+
+def _block(block: int, words: Counter, grams: list) -> Iterator[pa.RecordBatch]:
+    values, n = _summed(grams)
+    yield _rows(int(block), list(words), None, list(words.values()))
+    yield _rows(int(block), None, values, n)
 
 
 def _summed(held: list) -> tuple[np.ndarray, np.ndarray]:
@@ -248,8 +258,8 @@ def scored(docs: DataFrame) -> DataFrame:
     blocks = size // BLOCK_BYTES + 1
     spread = F.pmod(F.xxhash64("doc_id", F.crc32(text.cast("binary"))), F.lit(blocks)).cast("int")
     rows = docs.select("doc_id", text.alias("text"), (fold == HELD_OUT).alias("held_out"), spread.alias("block"))
-    rows = rows.repartition(blocks, "block")
-    asked = staged(rows.mapInArrow(_asked, ASKED), "asked")
+    rows = rows.repartition(blocks, "block").sortWithinPartitions("block")
+    asked = staged(rows.mapInArrow(_asked, ASKED), "asked", "zstd")
 
     words = asked.filter("word IS NOT NULL").select("block", "word", "n")
     counted = words.groupBy("word").agg(F.sum("n").alias("c"))
