@@ -314,6 +314,8 @@ PUBLISHED = {
     "trends_yoy": "trends_yoy",
     "trends_mom": "trends_mom",
     "trends_last12": "trends_last12",
+    "trends_trailing12": "trends_trailing12",
+    "quality": "quality",
 }
 BODIES["publish_reports"] = "\nUNION ALL ".join(
     f"SELECT '{name}' AS report, count(*) AS rows FROM ({BODIES[body]})"

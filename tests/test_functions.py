@@ -32,10 +32,13 @@ def test_customer_type(spark):
 
 def test_measure(spark):
     texts = ["10.50", None, "", "abc", "-3", "1e2", "0.125"]
-    assert values(spark, texts, fn.measure) == [Decimal(x) for x in ("10.50", "0", "0", "0", "-3", "100", "0.13")]
+    assert values(spark, texts, fn.measure) == [Decimal(x) for x in ("10.50", "0", "0", "0", "-3", "100", "0.125")]
     assert values(spark, texts, lambda c: fn.measure(c, 18, 3))[-1] == Decimal("0.125")
-    assert values(spark, texts, fn.loses_digits) == [False, False, True, True, False, False, True]
-    assert values(spark, texts, lambda c: fn.loses_digits(c, 18, 3))[-1] is False
+    assert values(spark, texts, lambda c: fn.loses_digits(c, 18, 2)) == [False, False, True, True, False, False, True]
+    assert values(spark, texts, fn.loses_digits)[-1] is False
+    assert values(spark, ["99999999999999999", "NaN"], fn.measure) == [Decimal("99999999999999999"), 0]
+    with pytest.raises(Exception, match="too large"):
+        values(spark, ["99999999999999999"], lambda c: fn.measure(c, 18, 2))
 
 
 def test_month_start(spark):

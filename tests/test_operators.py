@@ -172,4 +172,4 @@ def test_written_table_keeps_schema_and_prunes_columns(spark):
     kept = storage.written(fact, storage.new_folder(spark, "fact"))
     assert kept.dtypes == fact.dtypes
     assert rows(kept) == rows(fact)
-    assert "ReadSchema: struct<sales:decimal(18,2)>" in plan(kept.select("sales"))
+    assert "ReadSchema: struct<sales:decimal(28,6)>" in plan(kept.select("sales"))

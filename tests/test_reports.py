@@ -170,7 +170,7 @@ def test_measures_keep_a_finer_scale(spark, star):
     assert rows(reports.totals_wide(fine), "customer_type", "sales")[-1] == ("Overall", 9 * 0.125)
     last = overall_sales(trends.trailing_sums(trends.monthly_long(trends.monthly(fine))), "total")
     assert ("02-01-2016", 0.25) in last and ("02-01-2015", 0.625) in last
-    assert prepare.quality(prepare.enrich(fact, *star[1:])).first().inexact_sales == 9
+    assert prepare.quality(prepare.enrich(fact, *star[1:]), 18, 2).first().inexact_sales == 9
 
 
 def test_quality(star):

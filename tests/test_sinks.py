@@ -1,11 +1,13 @@
 """Publishing. No database is started here: the JDBC writer is checked up to the driver call."""
 
+from pathlib import Path
+
 import pytest
 
 import micro
 from checks.oracles import PUBLISHED
 from micro import rows
-from tillroll import __main__ as cli, job, sinks, sizing
+from tillroll import __main__ as cli, job, sinks, sizing, storage
 from tillroll.operators import DuplicateKeys
 
 
@@ -55,8 +57,11 @@ def test_every_report_is_published_to_its_own_table(spark, tmp_path):
     source, target = tmp_path / "in", tmp_path / "out"
     cached = spark.sparkContext._jsc.sc().getPersistentRDDs().size()
     source.mkdir()
+    before = set(Path(storage.shared_folder(spark)).glob("fact-*"))
     names = job.run(spark, micro.write(source), lambda df, name: sinks.write_files(df, name, str(target)))
     assert names == list(PUBLISHED)
+    # The working copy is gone.
+    assert set(Path(storage.shared_folder(spark)).glob("fact-*")) == before
     read = {name: spark.read.parquet(f"{target}/{name}") for name in names}
     assert rows(read["top5_stores_by_province"], "store_num") != rows(read["top10_cat_by_dept"], "category")
     assert read["top_stores"].count() == 10 and read["totals"].count() == 12

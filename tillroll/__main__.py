@@ -10,7 +10,7 @@ from pyspark.sql import SparkSession, functions as F
 
 from tillroll import sizing
 from tillroll.job import run
-from tillroll.schema import CUSTOMER_TYPES, LOYALTY
+from tillroll.schema import CUSTOMER_TYPES, LOYALTY, MEASURE_PRECISION, MEASURE_SCALE
 from tillroll.sinks import write_files, write_jdbc
 from tillroll.sources import discover
 
@@ -37,6 +37,8 @@ def parse(arguments: list[str] | None = None) -> argparse.Namespace:
         action="store_true",
         help="look up one header per folder instead of one per file",
     )
+    parser.add_argument("--precision", type=int, default=MEASURE_PRECISION, help="digits of a measure")
+    parser.add_argument("--scale", type=int, default=MEASURE_SCALE, help="decimals of a measure")
     return parser.parse_args(arguments)
 
 
@@ -60,7 +62,7 @@ def main() -> None:
     try:
         delivered = discover(spark, args.input).agg(F.sum("bytes").alias("bytes")).first()
         sizing.apply(spark, delivered["bytes"] or 0)
-        run(spark, args.input, write, args.unknown_customers, args.headers_by_folder)
+        run(spark, args.input, write, args.unknown_customers, args.headers_by_folder, args.precision, args.scale)
     finally:
         spark.stop()
 

@@ -14,15 +14,23 @@ from tillroll.schema import (
 
 
 def measure(col: Column, precision: int = MEASURE_PRECISION, scale: int = MEASURE_SCALE) -> Column:
-    """Text to an exact decimal; empty or malformed text counts as zero."""
+    """Text to an exact decimal; empty or malformed text counts as zero.
+
+    A number that is too large for the type is an error: as zero it would be lost without a trace.
+    """
     typed = col.try_cast(f"decimal({precision},{scale})")
-    return F.coalesce(typed, F.lit(0).cast(f"decimal({precision},{scale})"))
+    number = col.try_cast("double")
+    # "NaN" and "Infinity" read as double but are no amounts.
+    amount = number.isNotNull() & ~F.isnan(number) & (F.abs(number) < float("inf"))
+    large = F.concat(F.lit(f"too large for decimal({precision},{scale}): "), col.cast("string"))
+    zero = F.lit(0).cast(f"decimal({precision},{scale})")
+    return F.when(typed.isNull() & amount, F.raise_error(large)).otherwise(F.coalesce(typed, zero))
 
 
 def loses_digits(col: Column, precision: int = MEASURE_PRECISION, scale: int = MEASURE_SCALE) -> Column:
     """True where ``measure`` would change the value: malformed text or more decimals than the scale."""
     typed = col.try_cast(f"decimal({precision},{scale})")
-    return col.isNotNull() & F.coalesce(typed != col.try_cast("decimal(38,20)"), F.lit(True))
+    return col.isNotNull() & F.coalesce(typed != col.try_cast("decimal(38,10)"), F.lit(True))
 
 
 def customer_type(collector_key: Column, null_as: str = LOYALTY) -> Column:
@@ -32,7 +40,7 @@ def customer_type(collector_key: Column, null_as: str = LOYALTY) -> Column:
     """
     if null_as not in CUSTOMER_TYPES:
         raise ValueError(f"null_as must be one of {CUSTOMER_TYPES}, not {null_as!r}")
-    number = collector_key.try_cast("double")
+    number = F.nanvl(collector_key.try_cast("double"), F.lit(None).cast("double"))
     if null_as == NON_LOYALTY:
         return F.when(number > 0, F.lit(LOYALTY)).otherwise(F.lit(NON_LOYALTY))
     return F.when(number < 0, F.lit(NON_LOYALTY)).otherwise(F.lit(LOYALTY))

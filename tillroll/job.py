@@ -3,17 +3,18 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from contextlib import ExitStack
 
 from pyspark.sql import DataFrame, SparkSession
 
 from tillroll.operators import profile, require_unique, sum_by
 from tillroll.plans import reports, rollups, trends
-from tillroll.plans.prepare import clean
-from tillroll.schema import LOYALTY
+from tillroll.plans.prepare import clean, enrich, quality
+from tillroll.schema import LOYALTY, MEASURE_PRECISION, MEASURE_SCALE
 from tillroll.sinks import publish
 from tillroll.sources import read_inputs
-from tillroll.storage import cached, new_folder, written
+from tillroll.storage import cached, working_copy
 
 
 def all_reports(
@@ -44,6 +45,8 @@ def publish_all(
     product: DataFrame,
     write: Callable[[DataFrame, str], None],
     null_as: str = LOYALTY,
+    precision: int = MEASURE_PRECISION,
+    scale: int = MEASURE_SCALE,
 ) -> list[str]:
     """Publish every report of a conformed fact and its dimensions.
 
@@ -52,18 +55,20 @@ def publish_all(
     the executors.
     """
     require_unique(profile({"store_location_key": location, "product_key": product}))
-    spark = fact.sparkSession
-    kept = written(clean(fact, null_as), new_folder(spark, "fact"))
     with ExitStack() as stack:
+        kept = stack.enter_context(working_copy(clean(fact, null_as, precision, scale), "fact"))
         stores = stack.enter_context(cached(rollups.store_sales(kept, location)))
         by_product = rollups.category_sales(kept, product)
         by_category = sum_by(by_product, ["department", "category"], sales="sales")
         categories = stack.enter_context(cached(by_category))
         months = stack.enter_context(cached(trends.monthly(kept)))
         # Filled before the reports start, so that no two of them fill the same table.
-        for shared in (stores, categories, months):
-            shared.count()
-        return publish(all_reports(kept, stores, categories, months), write)
+        with ThreadPoolExecutor(3) as pool:
+            list(pool.map(lambda shared: shared.count(), (stores, categories, months)))
+        tables = all_reports(kept, stores, categories, months)
+        tables["trends_trailing12"] = trends.labelled(trends.trailing(kept))
+        tables["quality"] = quality(enrich(fact, location, product), precision, scale)
+        return publish(tables, write)
 
 
 def run(
@@ -72,6 +77,8 @@ def run(
     write: Callable[[DataFrame, str], None],
     null_as: str = LOYALTY,
     by_folder: bool = False,
+    precision: int = MEASURE_PRECISION,
+    scale: int = MEASURE_SCALE,
 ) -> list[str]:
     """Publish every report of the files below ``root``."""
-    return publish_all(*read_inputs(spark, root, by_folder=by_folder), write, null_as)
+    return publish_all(*read_inputs(spark, root, by_folder=by_folder), write, null_as, precision, scale)

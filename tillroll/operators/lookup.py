@@ -87,15 +87,18 @@ def lookup(
     A dimension within the limit is broadcast, so the fact is not shuffled. For a larger one the
     fact is shuffled by key, but not the rows of hot keys and of none, which would pile up in a
     few tasks: hot keys, of which there are fewer than ``1 / hot_share``, get their dimension rows
-    by broadcast, and all these rows are spread over the tasks by a hash of the whole row. Keys are
+    by broadcast, and all these rows are spread over the tasks by a hash of the row and its partition,
+    so equal rows spread, too. Keys are
     counted on ``counted``, a cheaper table with the same keys, or else on the fact.
     """
+    if hot_share <= 0:
+        raise ValueError("hot_share must be above zero: it bounds the number of hot keys")
+    if fact.select(key).dtypes != dimension.select(key).dtypes:
+        raise TypeError(f"{key} has another type in the dimension than in the fact")
     require_unique({key: measured})
     if measured.fits_broadcast(broadcast_limit):
         return fact.join(F.broadcast(dimension), key, "left")
 
-    if fact.select(key).dtypes != dimension.select(key).dtypes:
-        raise TypeError(f"{key} has another type in the dimension than in the fact")
     columns = [name for name in dimension.columns if name != key]
     keyed = dimension.withColumnRenamed(key, "_key")
     hot = _hot_keys(fact if counted is None else counted, key, hot_share)
@@ -107,7 +110,7 @@ def lookup(
     ordinary = F.when(F.col("_hot").isNull(), F.col(key))
     # Fixed for each row, so that a task that is run again sends its rows to the same places.
     # An ordinary row goes where its dimension row goes: a constant there would be folded away.
-    spread = F.when(ordinary.isNull(), F.xxhash64(*fact.columns)).otherwise(F.xxhash64(F.col(key)))
+    spread = F.when(ordinary.isNull(), F.xxhash64(*fact.columns, F.spark_partition_id())).otherwise(F.xxhash64(F.col(key)))
     placed = marked.withColumns({"_ordinary": ordinary, "_spread": spread})
     cold_rows = keyed.withColumn("_at", F.xxhash64("_key"))
     # Dimension keys are unique, so its rows spread evenly and the fact need not be sorted.

@@ -80,7 +80,9 @@ def prepare_wide(
     return wide.select(*WIDE_COLUMNS)
 
 
-def quality(rows: DataFrame) -> DataFrame:
+def quality(
+    rows: DataFrame, precision: int = MEASURE_PRECISION, scale: int = MEASURE_SCALE
+) -> DataFrame:
     """One row of counts over an enriched but uncleaned fact: what cleaning fills in or cannot place."""
     return rows.agg(
         F.count(F.lit(1)).alias("rows"),
@@ -90,6 +92,6 @@ def quality(rows: DataFrame) -> DataFrame:
         F.count_if(F.col("collector_key").isNull()).alias("without_collector"),
         F.count_if(F.col("sales").isNull()).alias("without_sales"),
         F.count_if(F.col("units").isNull()).alias("without_units"),
-        F.count_if(loses_digits(F.col("sales"))).alias("inexact_sales"),
-        F.count_if(loses_digits(F.col("units"))).alias("inexact_units"),
+        F.count_if(loses_digits(F.col("sales"), precision, scale)).alias("inexact_sales"),
+        F.count_if(loses_digits(F.col("units"), precision, scale)).alias("inexact_units"),
     )

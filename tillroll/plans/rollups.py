@@ -2,21 +2,35 @@
 
 Sums add up, so a report over a rollup equals the report over the wide table. The fact is summed
 by join key before it meets a dimension: only one row per key and customer type is shuffled and
-joined, whatever the sizes of the dimension and of the hottest key. Dimension keys must be unique
-(``operators.require_unique``).
+joined, whatever the sizes of the dimension and of the hottest key. A repeated dimension key stops
+the query, because it would multiply sales.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
 
 from tillroll.operators.grouping import sum_by
 
 
+def _unique(dimension: DataFrame, key: str, columns: list[str]) -> DataFrame:
+    """The columns by key; a key that comes twice is an error when the query runs."""
+    dimension = dimension.filter(F.col(key).isNotNull())
+    held = dimension.groupBy(key).agg(
+        F.count(F.lit(1)).alias("_rows"), *(F.max(name).alias(name) for name in columns)
+    )
+    repeated = F.concat(F.lit(f"{key} is repeated in its dimension: "), F.col(key).cast("string"))
+    first, *rest = columns
+    checked = F.when(F.col("_rows") > 1, F.raise_error(repeated)).otherwise(F.col(first))
+    return held.select(key, checked.alias(first), *rest)
+
+
 def store_sales(fact: DataFrame, location: DataFrame) -> DataFrame:
     """Sales of a cleaned fact per store key and customer type, with province and store number."""
     by_key = sum_by(fact, ["store_location_key", "customer_type"], sales="sales")
-    return by_key.join(location, "store_location_key", "left").select(
+    return by_key.join(
+        _unique(location, "store_location_key", ["province", "store_num"]), "store_location_key", "left"
+    ).select(
         "customer_type", "province", "store_num", "sales"
     )
 
@@ -24,4 +38,6 @@ def store_sales(fact: DataFrame, location: DataFrame) -> DataFrame:
 def category_sales(fact: DataFrame, product: DataFrame) -> DataFrame:
     """Sales of a cleaned fact per product key, with department and category."""
     by_key = sum_by(fact, ["product_key"], sales="sales")
-    return by_key.join(product, "product_key", "left").select("department", "category", "sales")
+    return by_key.join(
+        _unique(product, "product_key", ["category", "department"]), "product_key", "left"
+    ).select("department", "category", "sales")

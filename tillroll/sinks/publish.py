@@ -34,6 +34,8 @@ def publish(
     Most reports are small jobs that leave a cluster idle when run one after the other.
     """
     with ThreadPoolExecutor(at_once) as pool:
-        for finished in [pool.submit(write, report, name) for name, report in reports.items()]:
-            finished.result()
+        started = {name: pool.submit(write, report, name) for name, report in reports.items()}
+    failed = {name: future.exception() for name, future in started.items() if future.exception()}
+    if failed:
+        raise ExceptionGroup(f"not published: {', '.join(failed)}", list(failed.values()))
     return list(reports)

@@ -46,3 +46,15 @@ def written(df: DataFrame, path: str) -> DataFrame:
     """
     df.write.mode("errorifexists").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def working_copy(df: DataFrame, name: str) -> Iterator[DataFrame]:
+    """A table kept in the shared folder while the block runs; the copy is removed after it, also after a failure."""
+    spark = df.sparkSession
+    path = new_folder(spark, name)
+    try:
+        yield written(df, path)
+    finally:
+        place = spark._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
