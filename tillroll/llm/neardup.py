@@ -6,14 +6,15 @@ only ``2 * groups * rows`` hashes in all. Documents meet in a table if they agre
 At similarity 0.75 a pair misses all tables with a probability below 0.0004, at 0.8 below 0.00003.
 
 Equal shingle sets are one class from the start, so copies are never compared, and of buckets with
-the same classes one is kept. In each bucket the classes are compared with the bucket's first
-classes, and only across components found so far. First are those with most company in all
-buckets, such as the text that a group of near copies was made from. The number of first classes
-grows from round to round until no bucket holds two components that were not compared, so a group
-of copies costs about one comparison per class, and no link between classes that share a bucket is
-lost. After the first round two classes are compared only if the link is possible at all: the
-shingles that two sets share are found in several sets of unfinished buckets, so a set with few
-such shingles cannot share enough with any other.
+the same classes one is kept. First every class is compared with one other, the class with most
+company in all its buckets, such as the text that a group of near copies was made from. That settles
+most buckets. What is left in buckets that still hold several components is compared block by
+block: classes of the same first class are dealt into blocks of bounded size, and blocks that meet
+in a bucket are multiplied as matrices of sets by shingles. A join row is a pair of blocks, never a
+pair of classes, so a large group whose pairs lie just below the limit makes few rows, and
+no link between classes that share a bucket is lost. Two classes are compared only if the link is
+possible at all: the shingles that two sets share are found in several sets of unfinished buckets,
+so a set with few such shingles cannot share enough with any other.
 """
 
 from __future__ import annotations
@@ -32,7 +33,8 @@ from tillroll.llm.shingles import CHUNK, U, mixed, seeds, shingle_hashes, shingl
 
 GROUPS, ROWS = 16, 3
 PERCENT = 75
-FIRST_CLASSES, MORE_CLASSES = 4, 8
+BLOCK_SETS, BLOCK_BYTES = 256, 256 << 10  # of a block: about so many sets, or so large
+COLUMNS = 8192  # shingles that are multiplied at once
 
 _FLIPS, _TIMES = seeds(2 * GROUPS * ROWS, 3)
 _MARKS = seeds(2, 5)
@@ -129,6 +131,61 @@ def _confirmed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
 
+def _shared(xs: list[np.ndarray], ys: list[np.ndarray]) -> np.ndarray:
+    """How many shingles each of ``xs`` shares with each of ``ys``."""
+    values, place = np.unique(np.concatenate([*xs, *ys]), return_inverse=True)
+    cut = sum(map(len, xs))
+    both = np.isin(np.arange(len(values)), place[:cut]) & np.isin(np.arange(len(values)), place[cut:])
+    column = np.where(both, np.cumsum(both) - 1, -1)[place]
+    out = np.zeros((len(xs), len(ys)), np.float32)
+    sides = []
+    for sets, columns in ((xs, column[:cut]), (ys, column[cut:])):
+        row = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+        sides.append((len(sets), row[columns >= 0], columns[columns >= 0]))
+    for low in range(0, int(both.sum()), COLUMNS):
+        parts = []
+        for n, row, columns in sides:
+            here = (columns >= low) & (columns < low + COLUMNS)
+            part = np.zeros((n, COLUMNS), np.float32)
+            part[row[here], columns[here] - low] = 1
+            parts.append(part)
+        out += parts[0] @ parts[1].T
+    return out.astype(np.int64)
+
+
+def _joining(roots: tuple[list, list], linked: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Of the linked pairs of two blocks, as many as join their components; the others follow."""
+    parent: dict = {}
+
+    def top(x):
+        while parent.get(x, x) != x:
+            x = parent[x]
+        return x
+
+    for i, j in zip(*np.nonzero(linked), strict=True):
+        a, b = top(roots[0][i]), top(roots[1][j])
+        if a != b:
+            parent[a] = b
+            yield int(i), int(j)
+
+
+def _blocks_linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Links (a, b) between the classes of two blocks, xs and ys, that join components."""
+    for batch in batches:
+        found: list[tuple[bytes, bytes]] = []
+        for x, y in zip(batch.column("xs"), batch.column("ys"), strict=True):
+            x, y = x.as_py(), y.as_py()
+            sets = [[np.frombuffer(c["shingles"], U) for c in side] for side in (x, y)]
+            roots = [c["root"] for c in x], [c["root"] for c in y]
+            sizes = [np.array([len(c) for c in side]) for side in sets]
+            shared = _shared(*sets)
+            union = sizes[0][:, None] + sizes[1] - shared
+            pairs = _joining(roots, 100 * shared >= PERCENT * union)
+            found += [(x[i]["node"], y[j]["node"]) for i, j in pairs]
+        columns = [pa.array([pair[k] for pair in found], pa.binary()) for k in range(2)]
+        yield pa.RecordBatch.from_arrays(columns, ["a", "b"])
+
+
 def _buckets(classes: DataFrame) -> DataFrame:
     """(key, node) of all table buckets that hold several classes.
 
@@ -158,7 +215,7 @@ def _buckets(classes: DataFrame) -> DataFrame:
 
 
 def _links(classes: DataFrame, set_rows: Callable[[DataFrame], DataFrame]) -> DataFrame:
-    """Confirmed links (a, b) between classes, found round by round."""
+    """Confirmed links (a, b) between classes: all that join components."""
     buckets = staged(_buckets(classes), "buckets")
     members = buckets.select("node").distinct()
     sets = staged(set_rows(members), "sets")
@@ -187,44 +244,46 @@ def _links(classes: DataFrame, set_rows: Callable[[DataFrame], DataFrame]) -> Da
     sizes = sets.select("node", (F.octet_length("shingles") / 8).cast("long").alias("n"))
     limits = most.join(sizes, "node").filter(100 * F.col("most") >= PERCENT * F.col("n"))
     buckets = rows.select("key", "node", "place").join(limits, "node")
-    buckets = staged(buckets.select("key", "node", "place", "n", "most"), "limited")
-
-    many = FIRST_CLASSES
-    while True:
-        rows = staged(_unfinished(buckets, components(links)), "open")
-        largest = rows.agg(F.max("size")).first()[0]
-        if largest is None:
-            return links
-        order = Window.partitionBy("key").orderBy("place")
-        ranked = rows.withColumn("at", F.row_number().over(order))
-        heads = ranked.filter(F.col("at") <= many).select(
-            "key",
-            F.col("place").alias("head"),
-            F.col("root").alias("root_a"),
-            F.col("n").alias("n_a"),
-            F.col("most").alias("most_a"),
-        )
-        shared = F.least("most", "most_a")
-        possible = 100 * shared >= PERCENT * (F.col("n") + F.col("n_a") - shared)
-        apart = (F.col("head") < F.col("place")) & (F.col("root") != F.col("root_a"))
-        left, right = rows.alias("l"), heads.alias("r")
-        pairs = left.join(right, (F.col("l.key") == F.col("r.key")) & apart & possible)
-        pairs = pairs.select(F.col("head.node").alias("a"), F.col("node").alias("b")).distinct()
-        pairs = staged(pairs.join(compared, ["a", "b"], "left_anti"), "pairs")
-        found = staged(confirmed(pairs), "links")
-        if many >= largest and found.isEmpty():
-            return links
-        compared, links = compared.unionAll(pairs), links.unionAll(found)
-        many *= MORE_CLASSES
+    roots = components(links)
+    rows = staged(_unfinished(buckets, roots), "limited")
+    return links.unionAll(_block_links(rows, sets))
+
+
+def _block_links(rows: DataFrame, sets: DataFrame) -> DataFrame:
+    """Links between all classes that share a bucket of ``rows`` (key, node, place, n, root)."""
+    first = rows.groupBy("key").agg(F.min("place").alias("first"))
+    nodes = rows.join(first, "key").groupBy("node", "n", "root").agg(F.min("first").alias("head"))
+    fill = F.greatest(F.count(F.lit(1)) / BLOCK_SETS, F.sum("n") * 8 / BLOCK_BYTES)
+    heads = nodes.groupBy("head").agg(F.ceil(fill).alias("parts"))
+    part = F.pmod(F.xxhash64("node"), "parts")
+    nodes = nodes.join(heads, "head").select(
+        "node", "root", F.xxhash64("head.node", part).alias("block")
+    )
+    nodes = staged(nodes, "dealt")
+    roots = nodes.groupBy("block").agg(F.min("root").alias("low"), F.max("root").alias("high"))
+    met = rows.select("key", "node").join(nodes, "node").select("key", "block").distinct()
+    met = met.join(roots, "block")
+    left, right = met.alias("l"), met.alias("r")
+    apart = F.least("l.low", "r.low") < F.greatest("l.high", "r.high")
+    pairs = left.join(right, (F.col("l.key") == F.col("r.key")) & F.expr("l.block <= r.block") & apart)
+    pairs = pairs.select(F.col("l.block").alias("x"), F.col("r.block").alias("y")).distinct()
+    pairs = staged(pairs, "pairs")
+    blocks = nodes.join(sets, "node").groupBy("block")
+    blocks = blocks.agg(F.collect_list(F.struct("node", "root", "shingles")).alias("sets"))
+    blocks = staged(blocks, "blocks")
+    both = pairs.join(blocks.select(F.col("block").alias("x"), F.col("sets").alias("xs")), "x")
+    both = both.join(blocks.select(F.col("block").alias("y"), F.col("sets").alias("ys")), "y")
+    both = both.select("xs", "ys")
+    return staged(both.mapInArrow(_blocks_linked, "a binary, b binary"), "links")
 
 
 def _unfinished(buckets: DataFrame, roots: DataFrame) -> DataFrame:
-    """The rows of buckets that hold several components, with ``root`` and the bucket's ``size``."""
+    """The rows of buckets that hold several components, with ``root``."""
     rows = buckets.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     keys = rows.groupBy("key").agg(
-        F.count(F.lit(1)).alias("size"), F.min("root").alias("low"), F.max("root").alias("high")
+        F.min("root").alias("low"), F.max("root").alias("high")
     )
-    return rows.join(keys.filter("low < high").select("key", "size"), "key")
+    return rows.join(keys.filter("low < high").select("key"), "key")
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
