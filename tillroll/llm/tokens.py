@@ -25,7 +25,9 @@ os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a Spark task has one
 class Pieces(dict):
     """The ids of pieces as bytes of ``dtype``: remembered, or encoded when they are missing."""
 
-    PLAIN = re.compile(f"([{LETTERS}]+)([.,;:!?]?)")
+    # Letters, then up to four other signs, which the vocabularies split off; an apostrophe is not
+    # among them, as it may begin a suffix.
+    PLAIN = re.compile(f"([{LETTERS}]+)([.,;:!?#*$%&|]{{0,4}})")
 
     def __init__(self, path: str, before: str = "", lower: bool = False):
         from tokenizers import Tokenizer, pre_tokenizers
@@ -34,29 +36,36 @@ class Pieces(dict):
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         self.vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
         self.dtype = np.dtype("<u2" if max(self.vocabulary.values()) < 1 << 16 else "<u4")
+        self.tokenizer.model._resize_cache(0)  # the ids of pieces are remembered here
         self.merge = self.tokenizer.model.tokenize
         self.before, self.lower = before, lower
         bytes_of = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
         self.code = "H" if self.dtype.itemsize == 2 else "I"
-        self.marks = {mark: self.whole(mark) for mark in ".,;:!?"}
+        self.marks: dict[str, bytes] = {}  # bounded: four signs of eleven
         letters = (chr(c) for c in (0x20, *range(0x41, 0x100)))
         self.written = {ord(c): bytes_of(c)[0][0] for c in letters}
+        self.start = before.translate(self.written)
 
     def whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.dtype).tobytes()
 
     def word(self, letters: str) -> bytes:
-        shown = (self.before + (letters.lower() if self.lower else letters)).translate(self.written)
+        if self.lower:
+            letters = letters.lower()
+        shown = self.start + (letters if letters.isascii() else letters.translate(self.written))
         return array(self.code, [token.id for token in self.merge(shown)]).tobytes()
 
     def __missing__(self, piece: str) -> bytes:
         if len(self) >= MOST:
             self.clear()
-        plain = self.PLAIN.fullmatch(piece)
-        if not plain:
+        if piece.isascii() and piece.isalpha():
+            found = self.word(piece)
+        elif not (plain := self.PLAIN.fullmatch(piece)):
             found = self.whole(self.before + piece) if piece or self.before else b""
-        elif plain[2]:
-            found = self[plain[1]] + self.marks[plain[2]]
+        elif mark := plain[2]:
+            if mark not in self.marks:
+                self.marks[mark] = self.whole(mark)
+            found = self[plain[1]] + self.marks[mark]
         else:
             found = self.word(piece)
         self[piece] = found
