@@ -346,26 +346,27 @@ def with_overall(spark, sf_dir):
 # --- ranks, sorts, top-k ----------------------------------------------------------------------
 
 
-def _ranked(totals: DataFrame, k: int, partition: list[str]) -> DataFrame:
-    best = op.ranked(totals, "total", partition).filter(F.col("rank") <= k)
+def _ranked(totals: DataFrame, partition: list[str], k: int | None = None) -> DataFrame:
+    every = op.ranked(totals, "total", partition)
+    best = every if k is None else every.filter(F.col("rank") <= k)
     return _double(best, "total").withColumn("rank", F.col("rank").cast("long"))
 
 
 @query
 def rank_partitioned(spark, sf_dir):
     totals = op.sum_by(_stores(spark, sf_dir), ["customer_type", "store_num"], total="sales")
-    return _ranked(totals, 20, ["customer_type"])
+    return _ranked(totals, ["customer_type"])
 
 
 @query
 def rank_two_keys(spark, sf_dir):
     keys = ["customer_type", "province"]
-    return _ranked(op.sum_by(_stores(spark, sf_dir), [*keys, "store_num"], total="sales"), 2, keys)
+    return _ranked(op.sum_by(_stores(spark, sf_dir), [*keys, "store_num"], total="sales"), keys)
 
 
 @query
 def rank_global(spark, sf_dir):
-    return _ranked(op.sum_by(_stores(spark, sf_dir), ["store_num"], total="sales"), 20, [])
+    return _ranked(op.sum_by(_stores(spark, sf_dir), ["store_num"], total="sales"), [], 20)
 
 
 @query

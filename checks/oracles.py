@@ -181,13 +181,11 @@ FROM wide GROUP BY GROUPING SETS ((wide.customer_type, province), (province))"""
     "rank_partitioned": """
 SELECT customer_type, store_num, CAST(total AS DOUBLE) AS total, rank FROM (
   SELECT *, rank() OVER (PARTITION BY customer_type ORDER BY total DESC NULLS LAST) AS rank FROM (
-    SELECT customer_type, store_num, sum(sales) AS total FROM wide GROUP BY ALL))
-WHERE rank <= 20""",
+    SELECT customer_type, store_num, sum(sales) AS total FROM wide GROUP BY ALL))""",
     "rank_two_keys": """
 SELECT customer_type, province, store_num, CAST(total AS DOUBLE) AS total, rank FROM (
   SELECT *, rank() OVER (PARTITION BY customer_type, province ORDER BY total DESC NULLS LAST) AS rank FROM (
-    SELECT customer_type, province, store_num, sum(sales) AS total FROM wide GROUP BY ALL))
-WHERE rank <= 2""",
+    SELECT customer_type, province, store_num, sum(sales) AS total FROM wide GROUP BY ALL))""",
     "rank_global": """
 SELECT store_num, CAST(total AS DOUBLE) AS total, rank FROM (
   SELECT *, rank() OVER (ORDER BY total DESC NULLS LAST) AS rank FROM (

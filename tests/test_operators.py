@@ -103,6 +103,18 @@ def test_top_n_keeps_ties_and_ranks_nulls_last(spark):
     assert rows(op.ranked(df, "v"), "k", "rank")[-2:] == [("d", 4), ("e", 5)]
 
 
+def test_top_n_beyond_the_early_cut_ranks_only_what_reaches_the_border(spark):
+    df = spark.range(9000).select((F.col("id") / 3).cast("long").alias("v"), "id")
+    best = op.top_n(df, "v", 2000)
+    assert best.count() == 2001
+    assert best.agg(F.min("v")).first()[0] == 2333
+    text = plan(best)
+    assert "TakeOrderedAndProject" in text and "Subquery" in text
+    nulls = df.withColumn("v", F.when(F.col("id") < 1500, F.col("v")))
+    assert op.top_n(nulls, "v", 1500).count() == 1500
+    assert op.top_n(nulls, "v", 1501).count() == 9000
+
+
 @pytest.mark.parametrize("partition", [[], ["k"]])
 def test_top_n_cuts_rows_before_the_shuffle(spark, partition):
     df = spark.range(100).select((F.col("id") % 3).alias("k"), F.col("id").alias("v"))
@@ -173,3 +185,20 @@ def test_written_table_keeps_schema_and_prunes_columns(spark):
     assert kept.dtypes == fact.dtypes
     assert rows(kept) == rows(fact)
     assert "ReadSchema: struct<sales:decimal(28,6)>" in plan(kept.select("sales"))
+
+
+def test_large_lookups_shuffle_only_the_columns_asked_for(spark):
+    fact = spark.createDataFrame(
+        [("1", "100", "7", "t1"), ("2", None, "8", "t2"), (None, "100", "9", "t3")],
+        "store_location_key string, product_key string, collector_key string, trans_key string",
+    )
+    location = spark.createDataFrame([("1", "ON", "501")], "store_location_key string, province string, store_num string")
+    product = spark.createDataFrame([("100", "c", "d")], "product_key string, category string, department string")
+    wide = prepare.enrich(fact, location, product, broadcast_limit=0).select("trans_key", "province", "category")
+    assert rows(wide) == [("t1", "ON", "c"), ("t2", None, None), ("t3", None, "c")]
+    text = wide._jdf.queryExecution().explainString(
+        spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
+    )
+    exchanged = [part for part in text.split("\n\n") if ") Exchange" in part and "trans_key" in part]
+    assert exchanged
+    assert not any("collector_key" in part for part in exchanged)

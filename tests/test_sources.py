@@ -43,6 +43,21 @@ def test_discovery_lists_below_subfolders(spark, tmp_path):
     assert "content" not in listed._jdf.queryExecution().executedPlan().toString()
 
 
+def test_names_do_not_hold_parent_folders(spark, tmp_path):
+    root = tmp_path / "product-team" / "in"
+    (root / "sub").mkdir(parents=True)
+    (root / "sub" / "trans_fact_1.csv").write_text("1")
+    want = ["sub/trans_fact_1.csv"]
+    for given in (f"{root}", f"{root}/", f"{root}/../in", f"file:{root}"):
+        assert [r["name"] for r in sources.discover(spark, given).collect()] == want
+    assert [r["name"] for r in sources.discover(spark, f"{root}/s*").collect()] == want
+    assert [r["name"] for r in sources.discover(spark, f"{root}/sub/trans_fact_1.csv").collect()] == [
+        "trans_fact_1.csv"
+    ]
+    listed = sources.route(sources.discover(spark, f"{root}/../in"))
+    assert [r["role"] for r in listed.collect()] == ["fact"]
+
+
 def test_roles_by_name(spark, folder):
     routed = sources.route(sources.discover(spark, folder))
     assert rows(routed, "name", "role") == [

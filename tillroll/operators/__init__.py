@@ -2,7 +2,7 @@
 
 from tillroll.operators.distinct import count_distinct, distinct_by_type, per_value
 from tillroll.operators.grouping import pivot_types, sum_by, to_long, with_overall
-from tillroll.operators.lookup import DuplicateKeys, lookup, profile, require_unique
+from tillroll.operators.lookup import DuplicateKeys, lookup, profile, require_unique, with_spread
 from tillroll.operators.ranking import ranked, top_n
 
 __all__ = [
@@ -19,4 +19,5 @@ __all__ = [
     "to_long",
     "top_n",
     "with_overall",
+    "with_spread",
 ]

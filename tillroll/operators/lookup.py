@@ -6,7 +6,7 @@ from collections.abc import Mapping
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 # Largest dimension sent whole to every executor.
 BROADCAST_BYTES = 96 * 1024 * 1024
@@ -73,6 +73,15 @@ def _hot_keys(rows: DataFrame, key: str, hot_share: float) -> DataFrame:
     return counts.filter(F.col("rows") > all_rows * F.lit(hot_share)).select(F.col(key).alias("_hot"))
 
 
+def _own_hash(fact: DataFrame) -> Column:
+    return F.xxhash64(*fact.columns, F.spark_partition_id())
+
+
+def with_spread(fact: DataFrame, name: str) -> DataFrame:
+    """Add a hash of each row and its partition, for lookups one after the other."""
+    return fact.withColumn(name, _own_hash(fact))
+
+
 def lookup(
     fact: DataFrame,
     dimension: DataFrame,
@@ -81,6 +90,7 @@ def lookup(
     broadcast_limit: int = BROADCAST_BYTES,
     counted: DataFrame | None = None,
     hot_share: float = HOT_SHARE,
+    spread: str | None = None,
 ) -> DataFrame:
     """Every fact row with the dimension's columns, which are null where the key has no match.
 
@@ -88,7 +98,8 @@ def lookup(
     fact is shuffled by key, but not the rows of hot keys and of none, which would pile up in a
     few tasks: hot keys, of which there are fewer than ``1 / hot_share``, get their dimension rows
     by broadcast, and all these rows are spread over the tasks by a hash of the row and its partition,
-    so equal rows spread, too. Keys are
+    so equal rows spread, too. ``spread`` names a column of the fact that holds such a hash already
+    (see ``with_spread``); then the columns that nobody asks for are not shuffled. Keys are
     counted on ``counted``, a cheaper table with the same keys, or else on the fact.
     """
     if hot_share <= 0:
@@ -110,8 +121,10 @@ def lookup(
     ordinary = F.when(F.col("_hot").isNull(), F.col(key))
     # Fixed for each row, so that a task that is run again sends its rows to the same places.
     # An ordinary row goes where its dimension row goes: a constant there would be folded away.
-    spread = F.when(ordinary.isNull(), F.xxhash64(*fact.columns, F.spark_partition_id())).otherwise(F.xxhash64(F.col(key)))
-    placed = marked.withColumns({"_ordinary": ordinary, "_spread": spread})
+    place = F.when(ordinary.isNull(), F.col(spread) if spread else _own_hash(fact)).otherwise(
+        F.xxhash64(F.col(key))
+    )
+    placed = marked.withColumns({"_ordinary": ordinary, "_spread": place})
     cold_rows = keyed.withColumn("_at", F.xxhash64("_key"))
     # Dimension keys are unique, so its rows spread evenly and the fact need not be sorted.
     tasks = int(fact.sparkSession.conf.get("spark.sql.shuffle.partitions"))

@@ -6,6 +6,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window, functions as F
 
+# Spark's setting for the largest k that it cuts early.
+LIMIT = "spark.sql.optimizer.windowGroupLimitThreshold"
+
 
 def ranked(df: DataFrame, by: str, partition: Sequence[str] = (), name: str = "rank") -> DataFrame:
     """Add the rank by descending ``by``: equal values share a rank, gaps follow, nulls come last."""
@@ -22,10 +25,16 @@ def top_n(
 ) -> DataFrame:
     """Rows ranked at most ``k`` in their partition; ties at the border are all kept.
 
-    For k up to 1000 Spark cuts each task's rows to the k best before they meet, so a partition's
-    rows (or all rows, without a partition) are not gathered. ``drop_null_keys`` names columns
-    whose null group does not compete.
+    For k up to ``LIMIT`` Spark cuts each task's rows to the k best before they meet, so a partition's
+    rows (or all rows, without a partition) are not gathered. Beyond it, without a partition, the
+    k-th value is found first and only the rows at or above it are ranked. ``drop_null_keys`` names
+    columns whose null group does not compete.
     """
     if drop_null_keys:
         df = df.dropna(subset=list(drop_null_keys))
+    if not partition and k > int(df.sparkSession.conf.get(LIMIT)):
+        best = df.select(F.col(by).alias("_best")).orderBy(F.desc_nulls_last("_best")).limit(k)
+        # Nulls come last: one among the k best means that all rows with a value are, too.
+        border = best.agg(F.when(F.count("_best") == k, F.min("_best"))).scalar()
+        df = df.filter(border.isNull() | (F.col(by) >= border))
     return ranked(df, by, partition, "_rank").filter(F.col("_rank") <= k).drop("_rank")

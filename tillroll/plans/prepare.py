@@ -12,7 +12,7 @@ from tillroll.functions import (
     month_of_known,
     month_start,
 )
-from tillroll.operators.lookup import BROADCAST_BYTES, HOT_SHARE, lookup, profile
+from tillroll.operators.lookup import BROADCAST_BYTES, HOT_SHARE, lookup, profile, with_spread
 from tillroll.schema import LOYALTY, MEASURE_PRECISION, MEASURE_SCALE
 
 WIDE_COLUMNS = (
@@ -62,10 +62,11 @@ def enrich(
     location = location.select("store_location_key", "province", "store_num")
     product = product.select("product_key", "category", "department")
     measured = profile({"store_location_key": location, "product_key": product})
-    rows = fact
+    # One hash, taken before the first shuffle, spares the shuffles the columns it is made of.
+    rows = with_spread(fact, "_row")
     for key, dimension in (("store_location_key", location), ("product_key", product)):
-        rows = lookup(rows, dimension, key, measured[key], broadcast_limit, fact, hot_share)
-    return rows
+        rows = lookup(rows, dimension, key, measured[key], broadcast_limit, fact, hot_share, "_row")
+    return rows.drop("_row")
 
 
 def prepare_wide(

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections import defaultdict
 from collections.abc import Iterable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
@@ -48,20 +49,31 @@ def empty(spark: SparkSession, schema: T.StructType) -> DataFrame:
     return spark.createDataFrame([], schema)
 
 
+def _folder(spark: SparkSession, root: str) -> str:
+    """``root`` up to its first wildcard, as the file system spells it in full."""
+    parts = root.split("/")
+    wild = next((k for k, part in enumerate(parts) if re.search(r"[*?\[{]", part)), None)
+    if wild is not None:
+        parts = parts[:wild]
+    fixed = "/".join(parts) or ("/" if root.startswith("/") else ".")
+    path = spark._jvm.org.apache.hadoop.fs.Path(fixed)
+    system = path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    return system.makeQualified(path).toString()
+
+
 def discover(spark: SparkSession, root: str, glob: str | None = None) -> DataFrame:
     """Every file below ``root`` as (path, name, bytes); contents are not read.
 
-    ``name`` is the path relative to ``root``.
+    ``name`` is the path relative to ``root``, of a pattern relative to its part before the first
+    wildcard; of a root that is a file, its last part.
     """
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", True)
     if glob:
         reader = reader.option("pathGlobFilter", glob)
-    # Listed paths carry a scheme that ``root`` may lack, so the cut is made at the root's own text.
-    below = root.split(":", 1)[-1].strip("/") + "/"
-    at = F.locate(below, F.col("path"))
-    name = F.when(at > 0, F.substring("path", at + F.lit(len(below)), F.length("path"))).otherwise(
-        F.col("path")
-    )
+    below = _folder(spark, root).rstrip("/") + "/"
+    name = F.when(
+        F.col("path").startswith(below), F.substring("path", F.lit(len(below) + 1), F.length("path"))
+    ).otherwise(F.element_at(F.split("path", "/"), -1))
     return reader.load(root).select(
         "path",
         name.alias("name"),
