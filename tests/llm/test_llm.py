@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import random
 import zlib
 from collections import Counter, defaultdict
 
@@ -138,6 +139,31 @@ def test_many_near_copies_are_one_component(spark):
     assert all(r["kept"] for r in got if r["doc_id"] >= 100)
 
 
+def test_copies_around_the_limit_equal_brute_force(spark, monkeypatch):
+    """Many blocks of copies of one text, most pairs of which lie just below the limit."""
+    monkeypatch.setattr(neardup, "BLOCK_SETS", 16)
+    base = words(150, 3)
+    draw = random.Random(5)
+    rows = []
+    for i in range(140):
+        copy = list(base)
+        for at in draw.sample(range(150), draw.choice([2, 3, 4])):
+            copy[at] = f"x{draw.randrange(40)}"
+        rows.append((i, " ".join(copy)))
+    sets = [shingles(t) for _, t in rows]
+    label = list(range(len(sets)))
+    links = 0
+    for a, x in enumerate(sets):
+        for b, y in enumerate(sets[:a]):
+            if 100 * len(x & y) >= 75 * len(x | y):
+                links += 1
+                low, high = sorted((label[a], label[b]))
+                label = [low if k == high else k for k in label]
+    assert 0 < links < len(sets) ** 2 / 4 and len(set(label)) > 5
+    got = neardup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r["doc_id"]: r["component_id"] for r in got} == dict(enumerate(label))
+
+
 def removed(texts):
     seen, out = set(), []
     for t in texts:
