@@ -86,17 +86,6 @@ def last_months(long: DataFrame, months: int = 12) -> DataFrame:
     )
 
 
-def trailing_sums(long: DataFrame, months: int = 12) -> DataFrame:
-    """Sales and units of the months ending with each month."""
-    additive = [MEASURE_LABELS[name] for name in ADDITIVE]
-    window = _series().rangeBetween(1 - months, 0)
-    # Exact again, whatever the scale of the measure, so that the sums do not drift.
-    exactly = F.col("total").cast("decimal(38,9)")
-    return long.filter(F.col("measure").isin(additive)).withColumn(
-        "total", F.sum(exactly).over(window).cast("double")
-    )
-
-
 def trailing(fact: DataFrame, months: int = 12) -> DataFrame:
     """All four measures of the months ending with each month.
 
