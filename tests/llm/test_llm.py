@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -25,6 +26,7 @@ from tillroll.llm import (
     suffixes,
     urls,
 )
+from tillroll.llm import tokens
 from tillroll.llm.oracles import ORACLES
 from tillroll.llm.queries import QUERIES
 from tillroll.llm.tokens import ByteLevel, LowerWords
@@ -229,6 +231,19 @@ def test_pieces_give_the_ids_of_whole_texts(kind, name):
         assert np.frombuffer(ids, made.dtype).tolist() == want, repr(text)
 
 
+def test_idle_pieces_are_forgotten(monkeypatch):
+    monkeypatch.setattr(tokens, "IDLE", 0.05)
+    coder = ByteLevel(public_tokenizers.path("byte_bpe_50k.json"))
+    before = coder.encode(["One text, and more words."])
+    assert coder.later
+    for _ in range(100):
+        time.sleep(0.05)
+        if not coder.first and not coder.later:
+            break
+    assert not coder.first and not coder.later
+    assert coder.encode(["One text, and more words."]) == before
+
+
 def test_rank_bytes_round_trip():
     ranks = np.array([0, 255, 256, 65535, 65536, 1 << 24, 7] * 3, np.uint32)
     assert (binary.decode_ranks(*binary.encode_ranks(ranks), len(ranks)) == ranks).all()

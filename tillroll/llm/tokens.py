@@ -3,7 +3,8 @@
 Both kinds of vocabulary split a text before they merge, and never merge across the cuts made here,
 so the ids of a text are the ids of its pieces one after the other. A word of plain letters goes to
 the tokenizer's merge step at once, anything else through all of its steps. Up to ``MOST`` pieces
-are remembered.
+are remembered. A worker outlives its tasks and runs those of other operators, too, so it forgets
+the pieces when it has encoded nothing for ``IDLE`` seconds.
 """
 
 from __future__ import annotations
@@ -11,12 +12,15 @@ from __future__ import annotations
 import functools
 import os
 import re
+import threading
+import time
 from array import array
 from collections.abc import Iterable
 
 import numpy as np
 
 MOST = 1_200_000
+IDLE = 3
 LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a Spark task has one core
@@ -45,6 +49,15 @@ class Pieces(dict):
         letters = (chr(c) for c in (0x20, *range(0x41, 0x100)))
         self.written = {ord(c): bytes_of(c)[0][0] for c in letters}
         self.start = before.translate(self.written)
+        self.used = time.monotonic()
+        threading.Thread(target=self.forget_when_idle, daemon=True).start()
+
+    def forget_when_idle(self) -> None:
+        # A task may go on meanwhile: it looks up a missing piece again.
+        while True:
+            time.sleep(IDLE)
+            if self and time.monotonic() - self.used > IDLE:
+                self.clear()
 
     def whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.dtype).tobytes()
@@ -80,6 +93,7 @@ class LowerWords:
         self.dtype = self.pieces.dtype
 
     def encode(self, texts: Iterable[str]) -> list[bytes]:
+        self.pieces.used = time.monotonic()
         found = self.pieces.__getitem__
         return [b"".join(map(found, t.replace("\n", " ").split(" "))) for t in texts]
 
@@ -99,6 +113,7 @@ class ByteLevel:
 
     def encode(self, texts: Iterable[str]) -> list[bytes]:
         feed, first, later = self.first.whole("\n"), self.first, self.later.__getitem__
+        first.used = self.later.used = time.monotonic()
         out = []
         for text in texts:
             if self.RUN.search(text):
