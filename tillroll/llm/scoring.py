@@ -8,8 +8,9 @@ all depths with the weights that the training counts leave them.
 
 Texts are read in lower case (A-Z), after ``DEPTH`` zero bytes and with a zero byte at the end, which
 is predicted too. All learned tables are distributed: counts of byte strings and words are summed by
-key, trees are built level by level, and each block of documents gets the probabilities of
-the strings and words that it holds, by joins.
+key, and each block of documents gets the probabilities of the strings and words that it holds, by
+joins. Trees are tables level by level up to ``TOP`` bytes of context; what lies deeper is built from
+the strings that share those bytes, group by group, and is never written.
 """
 
 from __future__ import annotations
@@ -24,12 +25,15 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tillroll.llm.common import byte_chunks, staged
 
-DEPTH = 4
+DEPTH = 6
+TOP = 3  # contexts up to this depth are rows, deeper ones are arrays of one group
+GROUP_ROWS = 1 << 16
 BLOCK_BYTES = 24 << 20
 CHUNK = 1 << 20
 FOLDS, HELD_OUT = 5, 1
 
 ASKED = "block int, word binary, gram long, n long"
+GROWN = "context long, node int, zeros double, ones double, children double"
 SCORED = (
     "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double"
 )
@@ -125,38 +129,133 @@ def _estimate(zeros: Column, ones: Column) -> Column:
     )
 
 
-def _nodes(grams: DataFrame, *more: str) -> DataFrame:
-    """Eight rows per string: context, node of the binary tree, and the bit that follows."""
-    byte = F.col("gram").bitwiseAND(F.lit(255))
+def _nodes(grams: DataFrame) -> DataFrame:
+    """The nodes that strings pass: context and node of the binary tree."""
     steps = F.explode(F.sequence(F.lit(0), F.lit(7))).alias("k")
-    return grams.select("gram", *more, steps).select(
-        "gram",
-        *more,
+    return grams.select("gram", steps).select(
         F.shiftright("gram", 8).alias("context"),
         F.expr("shiftright(256 + (gram & 255), 8 - k)").cast("int").alias("node"),
-        F.expr("shiftright(gram & 255, 7 - k) & 1").cast("int").alias("bit"),
     )
 
 
+def _whole_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """Rows sorted by context in tables of about ``GROUP_ROWS`` rows that cut no context apart."""
+    held, rows = [], 0
+    for batch in batches:
+        held.append(batch)
+        rows += batch.num_rows
+        if rows >= GROUP_ROWS:
+            table = pa.Table.from_batches(held)
+            context = table.column("context").to_numpy()
+            cut = int(np.searchsorted(context, context[-1]))
+            if cut:
+                yield table.slice(0, cut)
+            held, rows = table.slice(cut).to_batches(), rows - cut
+    if rows:
+        yield pa.Table.from_batches(held)
+
+
+def _steps(grams: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Keys (context bytes, then the node's) and bits of the eight decisions of each string."""
+    k, byte = np.arange(8), grams[:, None] & 255
+    return (grams[:, None] & ~255) | ((256 + byte) >> (8 - k)), (byte >> (7 - k)) & 1
+
+
+def _short(keys: np.ndarray, depth: int) -> np.ndarray:
+    return keys & ((1 << 8 * (depth + 1)) - 1)
+
+
+def _estimates(zeros: np.ndarray, ones: np.ndarray) -> np.ndarray:
+    """``_estimate`` of arrays."""
+
+    def log_gamma(x):
+        low = x.copy()
+        for k in range(1, 8):
+            low *= x + k
+        y = x + 8
+        series = 1 / (12 * y) - 1 / (360 * y**3) + 1 / (1260 * y**5)
+        return (y - 0.5) * np.log(y) - y + 0.5 * math.log(2 * math.pi) + series - np.log(low)
+
+    return log_gamma(zeros + 0.5) + log_gamma(ones + 0.5) - log_gamma(zeros + ones + 1) - math.log(math.pi)
+
+
+def _deep(grams: np.ndarray, n: np.ndarray) -> tuple[list, tuple]:
+    """Levels TOP + 1 to DEPTH (keys, place of the parent, zeros, ones, stop) and the sums at TOP."""
+    keys, bits = _steps(grams)
+    keys, which = np.unique(keys.ravel(), return_inverse=True)
+    n = np.repeat(n, 8)
+    ones = np.bincount(which, n * bits.ravel(), len(keys))
+    zeros = np.bincount(which, n, len(keys)) - ones
+    weighted, stop, levels = _estimates(zeros, ones), np.ones(len(keys)), []
+    for depth in range(DEPTH - 1, TOP - 1, -1):
+        above, up = np.unique(_short(keys, depth), return_inverse=True)
+        levels.insert(0, (keys, up, zeros, ones, stop))
+        keys = above
+        zeros, ones, children = (np.bincount(up, x, len(keys)) for x in (zeros, ones, weighted))
+        own = _estimates(zeros, ones)
+        weighted = np.logaddexp(own, children) - math.log(2)
+        stop = np.exp(own - math.log(2) - weighted)
+    return levels, (keys, zeros, ones, children)
+
+
+def _grown(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Per context of TOP bytes and node the counts and what its extensions' probabilities multiply to."""
+    for rows in _whole_groups(batches):
+        grams, n = rows.column("gram").to_numpy(), rows.column("n").to_numpy()
+        keys, zeros, ones, children = _deep(grams, n)[1]
+        columns = [keys >> 8, (keys & 255).astype(np.int32), zeros, ones, children]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(c) for c in columns], ["context", "node", "zeros", "ones", "children"]
+        )
+
+
+def _answered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(gram, value) of strings that come with the mixtures of their contexts at TOP (node >= 0)."""
+    for rows in _whole_groups(batches):
+        context, node, given, left, grams, n = (rows.column(c).to_numpy() for c in rows.column_names)
+        top = np.flatnonzero(node >= 0)
+        top = top[np.argsort(context[top] << 8 | node[top])]
+        known, given, left = context[top] << 8 | node[top], given[top], left[top]
+        grams, n = grams[node < 0], n[node < 0]
+        keys, bits = _steps(grams)
+        one = (given + left * 0.5)[np.searchsorted(known, _short(keys, TOP))]
+        levels, (at_top, *_) = _deep(grams[n > 0], n[n > 0])
+        at = np.searchsorted(known, at_top)
+        given, left = given[at], left[at]
+        for depth, (held, up, zeros, ones, stop) in enumerate(levels, TOP + 1):
+            given, left = given[up], left[up]
+            given = given + left * stop * (ones + 0.5) / (zeros + ones + 1)
+            left = left * (1 - stop)
+            if len(held):
+                asked = _short(keys, depth)
+                at = np.minimum(np.searchsorted(held, asked), len(held) - 1)
+                one = np.where(held[at] == asked, (given + left * 0.5)[at], one)
+        value = np.log10(np.where(bits == 1, one, 1 - one)).sum(axis=1)
+        yield pa.RecordBatch.from_arrays([pa.array(grams), pa.array(value)], ["gram", "value"])
+
+
+def _by_context(rows: DataFrame) -> DataFrame:
+    return rows.repartition("context").sortWithinPartitions("context")
+
+
+def _context() -> Column:
+    return F.shiftright("gram", 8).bitwiseAND(F.lit((1 << 8 * TOP) - 1)).alias("context")
+
+
 def _trees(counts: DataFrame) -> list[DataFrame]:
-    """Per depth 0 to DEPTH: (context, node, sure, rest, half): a node's mixed probability of a one.
+    """Per depth 0 to TOP: (context, node, sum, rest): a node's mixed probability of a one.
 
-    ``sure`` is the probability of a one where the tree ends here, ``half`` where the context goes
-    on in a way that was never seen, ``rest`` the weight left for extensions.
+    ``sum`` is the part of the estimates up to this depth, ``rest`` the weight left for extensions;
+    an extension that was never seen has probability one half.
     """
-    bits = _nodes(counts, "n")
-    level = bits.groupBy("context", "node").agg(
-        F.sum(F.when(F.col("bit") == 0, F.col("n")).otherwise(0)).cast("double").alias("zeros"),
-        F.sum(F.when(F.col("bit") == 1, F.col("n")).otherwise(0)).cast("double").alias("ones"),
-    )
-    own = _estimate(F.col("zeros"), F.col("ones"))
-    level = level.withColumns({"weighted": own, "stop": F.lit(1.0)})
-    levels = [staged(level, f"level{DEPTH}")]
-    for depth in range(DEPTH - 1, -1, -1):
-        above = levels[0].withColumn("context", F.col("context").bitwiseAND(F.lit((1 << 8 * depth) - 1)))
-        level = above.groupBy("context", "node").agg(
-            F.sum("zeros").alias("zeros"), F.sum("ones").alias("ones"), F.sum("weighted").alias("children")
-        )
+    level = _by_context(counts.select(_context(), "gram", "n")).mapInArrow(_grown, GROWN)
+    levels = []
+    for depth in range(TOP, -1, -1):
+        if levels:
+            above = levels[0].withColumn("context", F.col("context").bitwiseAND(F.lit((1 << 8 * depth) - 1)))
+            level = above.groupBy("context", "node").agg(
+                F.sum("zeros").alias("zeros"), F.sum("ones").alias("ones"), F.sum("weighted").alias("children")
+            )
         own = _estimate(F.col("zeros"), F.col("ones"))
         level = level.withColumn("own", own)
         most = F.greatest("own", "children")
@@ -164,14 +263,14 @@ def _trees(counts: DataFrame) -> list[DataFrame]:
         level = level.withColumn("weighted", both - math.log(2))
         level = level.withColumn("stop", F.exp(F.col("own") - math.log(2) - F.col("weighted")))
         levels.insert(0, staged(level.drop("own", "children"), f"level{depth}"))
-    mixed, above = [], None
+    mixed = []
     for depth, level in enumerate(levels):
         one = (F.col("ones") + 0.5) / (F.col("zeros") + F.col("ones") + 1.0)
         level = level.select("context", "node", one.alias("one"), "stop")
-        if above is None:
+        if not mixed:
             level = level.withColumns({"given": F.lit(0.0), "left": F.lit(1.0)})
         else:
-            parent = above.select(
+            parent = mixed[-1].select(
                 F.col("context").alias("parent"), "node", F.col("sum").alias("given"), F.col("rest").alias("left")
             )
             inner = F.col("context").bitwiseAND(F.lit((1 << 8 * (depth - 1)) - 1))
@@ -180,26 +279,39 @@ def _trees(counts: DataFrame) -> list[DataFrame]:
         above = level.select(
             "context", "node", total.alias("sum"), (F.col("left") * (1 - F.col("stop"))).alias("rest")
         )
-        above = staged(above, f"mixed{depth}")
-        mixed.append(above.select("context", "node", (F.col("sum") + F.col("rest") * 0.5).alias("one")))
+        mixed.append(staged(above, f"mixed{depth}"))
     return mixed
 
 
-def _probabilities(asked: DataFrame, counts: DataFrame) -> DataFrame:
-    """(gram, value): log10 of the probability of a string's last byte after the others."""
-    trees = _trees(counts)
-    rows = _nodes(asked)
-    wanted = rows.select("context", "node").distinct()
-    known = wanted.join(trees[DEPTH], ["context", "node"], "left")
-    for depth in range(DEPTH - 1, -1, -1):
-        shorter = trees[depth].select(F.col("context").alias("short"), "node", F.col("one").alias("less"))
+def _probabilities(strings: DataFrame) -> DataFrame:
+    """(gram, value): log10 of the probability of a string's last byte after the others.
+
+    ``strings`` has every string once with its training count ``n``, which may be zero.
+    """
+    trees = _trees(strings.filter("n > 0"))
+    short = F.col("gram").bitwiseAND(F.lit((1 << 8 * (TOP + 1)) - 1)).alias("gram")
+    wanted = _nodes(strings.select(short).distinct()).distinct()
+    known = wanted.join(trees[TOP], ["context", "node"], "left")
+    for depth in range(TOP - 1, -1, -1):
+        one = (F.col("sum") + F.col("rest") * 0.5).alias("sum")
+        shorter = trees[depth].select(F.col("context").alias("short"), "node", one, F.lit(0.0).alias("rest"))
         inner = F.col("context").bitwiseAND(F.lit((1 << 8 * depth) - 1))
-        found = known.filter("one IS NULL").drop("one").withColumn("short", inner)
-        found = found.join(shorter, ["short", "node"], "left").select("context", "node", F.col("less").alias("one"))
-        known = staged(known.filter("one IS NOT NULL").unionByName(found), "known")
-    one = F.coalesce("one", F.lit(0.5))
-    value = F.log10(F.when(F.col("bit") == 1, one).otherwise(1 - one))
-    return rows.join(known, ["context", "node"]).groupBy("gram").agg(F.sum(value).alias("value"))
+        found = known.filter("sum IS NULL").drop("sum", "rest").withColumn("short", inner)
+        found = found.join(shorter, ["short", "node"], "left").select("context", "node", "sum", "rest")
+        known = staged(known.filter("sum IS NOT NULL").unionByName(found), "known")
+    known = known.select(
+        "context",
+        "node",
+        F.coalesce("sum", F.lit(0.5)).alias("given"),
+        F.coalesce("rest", F.lit(0.0)).alias("left"),
+        F.lit(-1).cast("long").alias("gram"),
+        F.lit(0).cast("long").alias("n"),
+    )
+    none = F.lit(0.0)
+    rows = strings.select(
+        _context(), F.lit(-1).alias("node"), none.alias("given"), none.alias("left"), "gram", "n"
+    )
+    return _by_context(known.unionByName(rows)).mapInArrow(_answered, "gram long, value double")
 
 
 def _scored(docs: pa.Table, known: pa.Table) -> pa.Table:
@@ -273,7 +385,7 @@ def scored(docs: DataFrame) -> DataFrame:
     )
     strings = asked.filter("gram IS NOT NULL").select("block", "gram", "n")
     sums = staged(strings.groupBy("gram").agg(F.sum("n").alias("n")), "strings")
-    values = _probabilities(sums.select("gram"), sums.filter("n > 0"))
+    values = _probabilities(sums)
     model = strings.select("block", "gram").join(values, "gram").select(
         "block", F.lit(None).cast("binary").alias("word"), "gram", "value"
     )
