@@ -20,9 +20,14 @@ def _unique(dimension: DataFrame, key: str, columns: list[str]) -> DataFrame:
         F.count(F.lit(1)).alias("_rows"), *(F.max(name).alias(name) for name in columns)
     )
     repeated = F.concat(F.lit(f"{key} is repeated in its dimension: "), F.col(key).cast("string"))
-    first, *rest = columns
-    checked = F.when(F.col("_rows") > 1, F.raise_error(repeated)).otherwise(F.col(first))
-    return held.select(key, checked.alias(first), *rest)
+    # In every column, so that a report that uses only one of them does not prune the check.
+    return held.select(
+        key,
+        *(
+            F.when(F.col("_rows") > 1, F.raise_error(repeated)).otherwise(F.col(name)).alias(name)
+            for name in columns
+        ),
+    )
 
 
 def store_sales(fact: DataFrame, location: DataFrame) -> DataFrame:
