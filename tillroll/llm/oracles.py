@@ -44,6 +44,8 @@ best AS (
 _SPACE = r"[\x20\x09-\x0D]"
 _WORD = r"[^\x20\x09-\x0D]+"
 
+_TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 
@@ -169,4 +171,81 @@ ORACLES: dict[str, str] = {
         FROM sh JOIN items USING (s) JOIN sizes USING (item_id)
         GROUP BY doc_id, item_id, n HAVING 100 * count(*) >= 75 * n
     """,
+    "op11_wide_counters": rf"""
+        WITH docs AS (
+            SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t,
+                   regexp_extract_all(coalesce(text, ''), '{_WORD}') AS w
+            FROM documents
+        ),
+        failed AS (
+            SELECT part, l.quality, l.toxic,
+                   CAST(len(w) < 200 AS INTEGER)
+                   + 2 * CAST(100 * len(list_distinct(w)) < 50 * len(w) AS INTEGER)
+                   + 4 * CAST(100 * (length(t) - length(regexp_replace(t, '[A-Z]', '', 'g'))) > 2 * length(t) AS INTEGER)
+                   + 8 * CAST(regexp_matches(t, '[#$%&*|]') AS INTEGER)
+                   + 16 * CAST(doc_id > min(doc_id) OVER (PARTITION BY t) AS INTEGER) AS mask
+            FROM docs LEFT JOIN labels l USING (doc_id)
+        ),
+        counts AS (
+            SELECT part, mask, count(*) AS n, count(*) FILTER (quality = 1) AS good,
+                   count(*) FILTER (toxic = 1) AS toxic
+            FROM failed GROUP BY part, mask
+        ),
+        f(l, bit) AS (VALUES ('A', 1), ('B', 2), ('C', 4), ('D', 8), ('E', 16)),
+        orders AS (
+            SELECT a.l || b.l || c.l || d.l || e.l AS filter_order, [a.bit, b.bit, c.bit, d.bit, e.bit] AS bits
+            FROM f a, f b, f c, f d, f e WHERE a.bit + b.bit + c.bit + d.bit + e.bit = 31
+                AND len(list_distinct([a.l, b.l, c.l, d.l, e.l])) = 5
+        ),
+        steps AS (
+            SELECT filter_order, CAST(k AS INTEGER) AS step, bits[k] AS own,
+                   CAST(coalesce(list_sum(bits[1:k - 1]), 0) AS INTEGER) AS earlier
+            FROM orders, unnest(range(1, 6)) AS r(k)
+        ),
+        told AS (
+            SELECT part, filter_order, step, own,
+                   CAST(coalesce(sum(n) FILTER (mask & (own | earlier) = 0), 0) AS BIGINT) AS kept,
+                   CAST(coalesce(sum(n) FILTER (mask & own > 0 AND mask & earlier = 0), 0) AS BIGINT) AS removed,
+                   CAST(coalesce(sum(n) FILTER (mask & own > 0 AND mask & earlier > 0), 0) AS BIGINT) AS redundant,
+                   CAST(coalesce(sum(n) FILTER (mask = own), 0) AS BIGINT) AS unique_fails,
+                   CAST(coalesce(sum(good) FILTER (mask & own > 0 AND mask & earlier = 0), 0) AS BIGINT) AS good_lost,
+                   CAST(coalesce(sum(toxic) FILTER (mask & own > 0 AND mask & earlier = 0), 0) AS BIGINT) AS toxic_lost
+            FROM counts, steps GROUP BY part, filter_order, step, own
+        )
+        SELECT * EXCLUDE (own), CAST(sum(removed) OVER (PARTITION BY part, own) AS BIGINT) AS shapley FROM told
+    """,
+    "op13_dense_tiles": rf"""
+        WITH terms AS (
+            SELECT doc_id, unnest(regexp_extract_all({_LOWER}, '{_TERM}')) AS term FROM documents
+        ),
+        asked AS (
+            SELECT item_id, term, count(*) AS q
+            FROM (SELECT item_id, unnest(regexp_extract_all({_LOWER}, '{_TERM}')) AS term FROM benchmark)
+            GROUP BY item_id, term
+        ),
+        sizes AS (SELECT doc_id, count(*) AS n FROM terms GROUP BY doc_id),
+        whole AS (SELECT CAST(count(*) AS BIGINT) AS docs, CAST(sum(n) AS BIGINT) AS l FROM sizes),
+        held AS (
+            SELECT doc_id, term, count(*) AS tf FROM terms
+            WHERE term IN (SELECT term FROM asked) GROUP BY doc_id, term
+        ),
+        weights AS (
+            SELECT term, CAST(floor(1000 * ln((2 * docs + 2) / (2 * df + 1))) AS BIGINT) AS w
+            FROM (SELECT term, count(*) AS df FROM held GROUP BY term), whole
+        ),
+        impacts AS (
+            SELECT doc_id, term, w * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * docs) // l))) AS i
+            FROM held JOIN sizes USING (doc_id) JOIN weights USING (term), whole
+        ),
+        scores AS (
+            SELECT item_id, doc_id, CAST(sum(q * i) AS BIGINT) AS score
+            FROM asked JOIN impacts USING (term) GROUP BY item_id, doc_id
+        )
+        SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score
+        FROM (
+            SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank
+            FROM scores WHERE score > 0
+        )
+        WHERE rank <= 20
+    """,
 }

@@ -7,7 +7,21 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tillroll.llm import binary, chat, decontaminate, neardup, packing, quality, scoring, sharding, suffixes, urls
+from tillroll.llm import (
+    audit,
+    binary,
+    chat,
+    decontaminate,
+    language,
+    neardup,
+    packing,
+    quality,
+    scoring,
+    search,
+    sharding,
+    suffixes,
+    urls,
+)
 from tillroll.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -78,6 +92,18 @@ def op10_containment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated(docs, items).drop("key")
 
 
+def op11_wide_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit.interactions(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op12_cross_parsing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.identified(table(spark, sf_dir, "documents"))
+
+
+def op13_dense_tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search.best_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_ring": op1_ring,
     "op2_context_trees": op2_context_trees,
@@ -89,4 +115,7 @@ QUERIES: dict[str, Query] = {
     "op8_ordered_windows": op8_ordered_windows,
     "op9_grammar": op9_grammar,
     "op10_containment": op10_containment,
+    "op11_wide_counters": op11_wide_counters,
+    "op12_cross_parsing": op12_cross_parsing,
+    "op13_dense_tiles": op13_dense_tiles,
 }
