@@ -353,7 +353,7 @@ def test_query_equals_its_sql(spark, name):
     got = QUERIES[name](spark, SF)
     columns = sorted(got.columns)
     con = duckdb.connect()
-    for table in ("documents", "pages", "benchmark", "conversations"):
+    for table in ("documents", "pages", "benchmark", "labels", "conversations"):
         con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{SF}/{table}.parquet'")
     found = con.execute(f"SELECT {', '.join(columns)} FROM ({ORACLES[name]})").fetchall()
     assert sorted(map(repr, found)) == sorted(repr(tuple(r)) for r in got.select(*columns).collect())
