@@ -53,7 +53,7 @@ def test_very_large_dimensions_are_sorted(spark, skewed):
     key = "store_location_key"
     huge = Profile(BUILD_BYTES * 8 + 1, 0)
     joined = op.lookup(skewed, star.location(spark, SF_DIR), key, huge)
-    assert "SortMergeJoin [_ordinary" in plan(joined)
+    assert "SortMergeJoin [store_location_key" in plan(joined)
     assert joined.count() == 6000
 
 
@@ -75,7 +75,7 @@ def test_hot_keys_are_few_whatever_the_data(spark):
     keys = spark.range(5000).select((F.col("id") % 1000).cast("string").alias("k"))
     assert _hot_keys(keys, "k", 0.001).count() == 0
     one_hot = keys.unionByName(keys.limit(50).select(F.lit("7").alias("k")))
-    assert rows(_hot_keys(one_hot, "k", 0.001)) == [("7",)]
+    assert rows(_hot_keys(one_hot, "k", 0.001), "_hot") == [("7",)]
     assert 1 / HOT_SHARE <= 100_001
 
 
@@ -88,6 +88,38 @@ def test_two_large_lookups_pass_once_over_the_fact_besides_counting(spark):
     assert len(whole_scans) == 1 and "Union" not in final
 
 
+def test_wide_rows_of_hot_keys_are_dealt_and_not_broadcast(spark, skewed):
+    key = "store_location_key"
+    wide = star.location(spark, SF_DIR).withColumn("store_num", F.repeat("store_num", 200_000))
+    measured = op.profile({key: wide})[key]
+    assert measured.largest_row > 200_000
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        joined = op.lookup(skewed, wide, key, measured, 0, hot_share=0.1)
+        text = plan(joined)
+        sizes = joined.groupBy(F.spark_partition_id()).agg(F.count("store_num").alias("n")).collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    # Both sides meet in a shuffle; the broadcasts hold hashes and numbers of deals alone.
+    assert "ShuffledHashJoin" in text or "SortMergeJoin" in text
+    for line in text.splitlines():
+        if "BroadcastHashJoin" in line and key in line:
+            assert "_hash" in line
+    found = [row["n"] for row in sizes]
+    assert max(found) < 0.25 * sum(found)
+    small = op.lookup(skewed, star.location(spark, SF_DIR), key, op.profile({key: star.location(spark, SF_DIR)})[key])
+    longer = joined.select("trans_key", key, F.length("store_num").alias("n"))
+    assert rows(longer) == rows(small.select("trans_key", key, (F.length("store_num") * 200_000).alias("n")))
+
+
+def test_hot_share_bounds_what_is_broadcast(spark, skewed):
+    key = "store_location_key"
+    location = star.location(spark, SF_DIR)
+    for share in (0, -1, 1e-9):
+        with pytest.raises(ValueError, match="hot_share"):
+            op.lookup(skewed, location, key, op.profile({key: location})[key], 0, hot_share=share)
+
+
 def test_lookup_needs_equal_key_types(spark):
     fact = spark.createDataFrame([("1",)], "k string")
     dimension = spark.createDataFrame([(1, "ON")], "k int, p string")

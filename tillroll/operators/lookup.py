@@ -19,6 +19,12 @@ BUILD_BYTES = 128 * 1024 * 1024
 # no other key brings more than a gigabyte of a 100 TB fact to one task.
 HOT_SHARE = 0.00001
 
+# A hot key is dealt over so many tasks for each task's share of the fact that it makes up.
+DEALS = 16
+
+# A hot key's line in the list that every executor gets: a hash and a number, whatever the key is.
+LISTED_BYTES = 64
+
 
 class DuplicateKeys(ValueError):
     """A dimension names a key more than once, which would multiply fact rows."""
@@ -30,6 +36,7 @@ class Profile:
 
     bytes: int
     repeated_keys: int
+    largest_row: int = 0
 
     def fits_broadcast(self, limit: int = BROADCAST_BYTES) -> bool:
         return self.bytes <= limit
@@ -47,17 +54,20 @@ def profile(dimensions: Mapping[str, DataFrame]) -> dict[str, Profile]:
             words,
         )
         keys = dimension.groupBy(key).agg(
-            F.count(F.lit(1)).alias("rows"), F.sum(row_bytes).alias("bytes")
+            F.count(F.lit(1)).alias("rows"),
+            F.sum(row_bytes).alias("bytes"),
+            F.max(row_bytes).alias("largest"),
         )
         return keys.agg(
             F.lit(key).alias("key"),
             F.coalesce(F.sum("bytes"), F.lit(0)).alias("bytes"),
             F.count_if((F.col("rows") > 1) & F.col(key).isNotNull()).alias("repeated_keys"),
+            F.coalesce(F.max("largest"), F.lit(0)).alias("largest"),
         )
 
     frames = [measured(key, dimension) for key, dimension in dimensions.items()]
     rows = reduce(DataFrame.unionByName, frames).collect()
-    return {row["key"]: Profile(row["bytes"], row["repeated_keys"]) for row in rows}
+    return {row["key"]: Profile(row["bytes"], row["repeated_keys"], row["largest"]) for row in rows}
 
 
 def require_unique(measured: Mapping[str, Profile]) -> None:
@@ -67,10 +77,22 @@ def require_unique(measured: Mapping[str, Profile]) -> None:
 
 
 def _hot_keys(rows: DataFrame, key: str, hot_share: float) -> DataFrame:
-    """Keys above the hot share, in one column ``_hot``; there are fewer than ``1 / hot_share``."""
+    """Keys above the hot share with their share, as ``_hot`` and ``_share``; fewer than ``1 / hot_share``."""
     counts = rows.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("rows"))
     all_rows = counts.agg(F.sum("rows")).scalar()
-    return counts.filter(F.col("rows") > all_rows * F.lit(hot_share)).select(F.col(key).alias("_hot"))
+    hot = counts.filter(F.col("rows") > all_rows * F.lit(hot_share))
+    return hot.select(F.col(key).alias("_hot"), (F.col("rows") / all_rows).alias("_share"))
+
+
+def _deals(rows: DataFrame, key: str, hot_share: float, tasks: int) -> DataFrame:
+    """Over how many deals a hot key goes (``_deals``), by the hash of the key (``_hash``).
+
+    Another key of the same hash is dealt, too, on both sides of the lookup, so nothing is lost.
+    """
+    deals = F.ceil(F.col("_share") * (DEALS * tasks)).cast("long")
+    hot = _hot_keys(rows, key, hot_share)
+    listed = hot.groupBy(F.xxhash64("_hot").alias("_hash")).agg(F.max(deals).alias("_deals"))
+    return listed.filter(F.col("_deals") > 1)
 
 
 def _own_hash(fact: DataFrame) -> Column:
@@ -94,45 +116,49 @@ def lookup(
 ) -> DataFrame:
     """Every fact row with the dimension's columns, which are null where the key has no match.
 
-    A dimension within the limit is broadcast, so the fact is not shuffled. For a larger one the
-    fact is shuffled by key, but not the rows of hot keys and of none, which would pile up in a
-    few tasks: hot keys, of which there are fewer than ``1 / hot_share``, get their dimension rows
-    by broadcast, and all these rows are spread over the tasks by a hash of the row and its partition,
-    so equal rows spread, too. ``spread`` names a column of the fact that holds such a hash already
-    (see ``with_spread``); then the columns that nobody asks for are not shuffled. Keys are
-    counted on ``counted``, a cheaper table with the same keys, or else on the fact.
+    A dimension within the limit is broadcast, so the fact is not shuffled. For a larger one both
+    sides are shuffled by key and deal. Rows of a hot key would pile up in one task: they are dealt
+    over several, as many as the key's share of the fact asks for, and its dimension row is copied
+    to each deal, so no dimension row is broadcast, however wide. Copies stay few: with the shares
+    adding up to one at most, ``DEALS`` per task and one per hot key. Rows without a key are spread
+    over all tasks. What is broadcast is the list of hot keys' hashes, of fewer than ``1 / hot_share``
+    lines.
+
+    A row's deal is taken from a hash of the row and its partition, so equal rows are dealt, too.
+    ``spread`` names a column of the fact that holds such a hash already (see ``with_spread``); then
+    the columns that nobody asks for are not shuffled. Keys are counted on ``counted``, a cheaper
+    table with the same keys, or else on the fact.
     """
     if hot_share <= 0:
         raise ValueError("hot_share must be above zero: it bounds the number of hot keys")
+    if LISTED_BYTES / hot_share > BROADCAST_BYTES:
+        raise ValueError(f"hot_share {hot_share} makes the list of hot keys too large to broadcast")
     if fact.select(key).dtypes != dimension.select(key).dtypes:
         raise TypeError(f"{key} has another type in the dimension than in the fact")
     require_unique({key: measured})
     if measured.fits_broadcast(broadcast_limit):
         return fact.join(F.broadcast(dimension), key, "left")
 
+    tasks = int(fact.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     columns = [name for name in dimension.columns if name != key]
-    keyed = dimension.withColumnRenamed(key, "_key")
-    hot = _hot_keys(fact if counted is None else counted, key, hot_share)
-    hot_rows = hot.join(keyed, F.col("_hot") == F.col("_key"), "left").select(
-        "_hot", *(F.col(name).alias(f"_hot_{name}") for name in columns)
-    )
-    marked = fact.join(F.broadcast(hot_rows), F.col(key) == F.col("_hot"), "left")
-
-    ordinary = F.when(F.col("_hot").isNull(), F.col(key))
+    deals = F.broadcast(_deals(fact if counted is None else counted, key, hot_share, tasks))
     # Fixed for each row, so that a task that is run again sends its rows to the same places.
-    # An ordinary row goes where its dimension row goes: a constant there would be folded away.
-    place = F.when(ordinary.isNull(), F.col(spread) if spread else _own_hash(fact)).otherwise(
-        F.xxhash64(F.col(key))
+    own = F.col(spread) if spread else _own_hash(fact)
+    deal = F.when(F.col(key).isNull(), own).when(F.col("_deals").isNull(), F.lit(0)).otherwise(
+        F.pmod(own, F.col("_deals"))
     )
-    placed = marked.withColumns({"_ordinary": ordinary, "_spread": place})
-    cold_rows = keyed.withColumn("_at", F.xxhash64("_key"))
-    # Dimension keys are unique, so its rows spread evenly and the fact need not be sorted.
-    tasks = int(fact.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    joined = placed.join(
-        cold_rows.hint("shuffle_hash" if measured.bytes <= tasks * BUILD_BYTES else "merge"),
-        (F.col("_ordinary") == F.col("_key")) & (F.col("_spread") == F.col("_at")),
-        "left",
+    dealt = fact.join(deals, F.xxhash64(F.col(key)) == F.col("_hash"), "left").withColumn("_deal", deal)
+    keyed = dimension.withColumnRenamed(key, "_key").filter(F.col("_key").isNotNull())
+    copied = keyed.join(deals, F.xxhash64("_key") == F.col("_hash"), "left").select(
+        "_key",
+        *columns,
+        F.explode(F.sequence(F.lit(0).cast("long"), F.coalesce("_deals", F.lit(1)) - F.lit(1).cast("long"))).alias("_at"),
     )
-    return joined.select(
-        *fact.columns, *(F.coalesce(F.col(f"_hot_{name}"), F.col(name)).alias(name) for name in columns)
+    # (key, deal) is unique in the copies, so they spread evenly and the fact need not be sorted.
+    most = measured.bytes + measured.largest_row * int(DEALS * tasks + 1 / hot_share)
+    joined = dealt.join(
+        copied.hint("shuffle_hash" if most <= tasks * BUILD_BYTES else "merge"),
+        (F.col(key) == F.col("_key")) & (F.col("_deal") == F.col("_at")),
+        "left",
     )
+    return joined.select(*fact.columns, *columns)
