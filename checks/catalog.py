@@ -346,10 +346,9 @@ def with_overall(spark, sf_dir):
 # --- ranks, sorts, top-k ----------------------------------------------------------------------
 
 
-def _ranked(totals: DataFrame, partition: list[str], k: int | None = None) -> DataFrame:
+def _ranked(totals: DataFrame, partition: list[str]) -> DataFrame:
     every = op.ranked(totals, "total", partition)
-    best = every if k is None else every.filter(F.col("rank") <= k)
-    return _double(best, "total").withColumn("rank", F.col("rank").cast("long"))
+    return _double(every, "total").withColumn("rank", F.col("rank").cast("long"))
 
 
 @query
@@ -366,19 +365,20 @@ def rank_two_keys(spark, sf_dir):
 
 @query
 def rank_global(spark, sf_dir):
-    return _ranked(op.sum_by(_stores(spark, sf_dir), ["store_num"], total="sales"), [], 20)
+    return _ranked(op.sum_by(_stores(spark, sf_dir), ["store_num"], total="sales"), [])
 
 
 @query
 def sort_desc(spark, sf_dir):
     totals = op.sum_by(_stores(spark, sf_dir), ["customer_type", "province"], total="sales")
-    return _double(totals.orderBy("customer_type", "total", ascending=False), "total")
+    return _double(op.positioned(totals, [F.desc("customer_type"), F.desc("total")]), "total")
 
 
 @query
 def sort_asc(spark, sf_dir):
-    return trends.monthly(_clean(spark, sf_dir)).orderBy("customer_type", "month").select(
-        "customer_type", fn.date_label(F.col("month")).alias("trans_dt"), F.col("sales").alias("total")
+    placed = op.positioned(trends.monthly(_clean(spark, sf_dir)), [F.asc("customer_type"), F.asc("month")])
+    return placed.select(
+        "customer_type", fn.date_label(F.col("month")).alias("trans_dt"), F.col("sales").alias("total"), "position"
     )
 
 

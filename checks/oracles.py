@@ -189,12 +189,14 @@ SELECT customer_type, province, store_num, CAST(total AS DOUBLE) AS total, rank
     "rank_global": """
 SELECT store_num, CAST(total AS DOUBLE) AS total, rank FROM (
   SELECT *, rank() OVER (ORDER BY total DESC NULLS LAST) AS rank FROM (
-    SELECT store_num, sum(sales) AS total FROM wide GROUP BY ALL))
-WHERE rank <= 20""",
+    SELECT store_num, sum(sales) AS total FROM wide GROUP BY ALL))""",
     "sort_desc": """
-SELECT customer_type, province, CAST(sum(sales) AS DOUBLE) AS total
-FROM wide GROUP BY customer_type, province ORDER BY customer_type DESC, total DESC""",
-    "sort_asc": f"SELECT customer_type, {LABEL}, sales AS total FROM monthly ORDER BY customer_type, month",
+SELECT customer_type, province, CAST(total AS DOUBLE) AS total,
+       row_number() OVER (ORDER BY customer_type DESC, total DESC, province NULLS FIRST) AS position
+FROM (SELECT customer_type, province, sum(sales) AS total FROM wide GROUP BY customer_type, province)""",
+    "sort_asc": f"""
+SELECT customer_type, {LABEL}, sales AS total, row_number() OVER (ORDER BY customer_type, month) AS position
+FROM monthly""",
     "topk_per_group": """
 SELECT department, category, CAST(total AS DOUBLE) AS total FROM (
   SELECT *, rank() OVER (PARTITION BY department ORDER BY total DESC NULLS LAST) AS r

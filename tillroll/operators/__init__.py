@@ -3,6 +3,7 @@
 from tillroll.operators.distinct import count_distinct, distinct_by_type, per_value
 from tillroll.operators.grouping import pivot_types, sum_by, to_long, with_overall
 from tillroll.operators.lookup import DuplicateKeys, lookup, profile, require_unique, with_spread
+from tillroll.operators.ordering import positioned, rank_whole
 from tillroll.operators.ranking import ranked, top_n
 
 __all__ = [
@@ -12,7 +13,9 @@ __all__ = [
     "lookup",
     "per_value",
     "pivot_types",
+    "positioned",
     "profile",
+    "rank_whole",
     "ranked",
     "require_unique",
     "sum_by",

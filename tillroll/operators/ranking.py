@@ -6,16 +6,26 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window, functions as F
 
+from tillroll.operators.ordering import rank_whole
+
 # Spark's setting for the largest k that it cuts early.
 LIMIT = "spark.sql.optimizer.windowGroupLimitThreshold"
 
 
-def ranked(df: DataFrame, by: str, partition: Sequence[str] = (), name: str = "rank") -> DataFrame:
-    """Add the rank by descending ``by``: equal values share a rank, gaps follow, nulls come last."""
+def _by_window(df: DataFrame, by: str, partition: Sequence[str], name: str) -> DataFrame:
     window = Window.partitionBy(*partition).orderBy(F.desc_nulls_last(by))
     return df.withColumn(name, F.rank().over(window))
 
 
+def ranked(df: DataFrame, by: str, partition: Sequence[str] = (), name: str = "rank") -> DataFrame:
+    """Add the rank by descending ``by``: equal values share a rank, gaps follow, nulls come last.
+
+    Without a partition all rows compete; then the table is written once in order (``rank_whole``),
+    because a window would bring all of it to one task.
+    """
+    return _by_window(df, by, partition, name) if partition else rank_whole(df, by, name)
+
+
 def top_n(
     df: DataFrame,
     by: str,
@@ -37,4 +47,4 @@ def top_n(
         # Nulls come last: one among the k best means that all rows with a value are, too.
         border = best.agg(F.when(F.count("_best") == k, F.min("_best"))).scalar()
         df = df.filter(border.isNull() | (F.col(by) >= border))
-    return ranked(df, by, partition, "_rank").filter(F.col("_rank") <= k).drop("_rank")
+    return _by_window(df, by, partition, "_rank").filter(F.col("_rank") <= k).drop("_rank")

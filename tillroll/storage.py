@@ -48,6 +48,31 @@ def written(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def _place(spark: SparkSession, path: str):
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place, place.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    place, files = _place(spark, path)
+    files.delete(place, True)
+
+
+def remove_at_end(spark: SparkSession, path: str) -> None:
+    """Have an existing folder removed when the application ends."""
+    place, files = _place(spark, path)
+    files.deleteOnExit(place)
+
+
+def temporary(df: DataFrame, name: str) -> DataFrame:
+    """``written`` below the shared folder, for as long as the application runs."""
+    spark = df.sparkSession
+    path = new_folder(spark, name)
+    kept = written(df, path)
+    remove_at_end(spark, path)
+    return kept
+
+
 @contextmanager
 def working_copy(df: DataFrame, name: str) -> Iterator[DataFrame]:
     """A table kept in the shared folder while the block runs; the copy is removed after it, also after a failure."""
@@ -56,5 +81,4 @@ def working_copy(df: DataFrame, name: str) -> Iterator[DataFrame]:
     try:
         yield written(df, path)
     finally:
-        place = spark._jvm.org.apache.hadoop.fs.Path(path)
-        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+        remove(spark, path)
