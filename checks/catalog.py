@@ -204,8 +204,8 @@ def filter_contains(spark, sf_dir):
 
 @query
 def null_fill(spark, sf_dir):
-    fact = star.fact(spark, sf_dir).na.fill({"units": "0", "sales": "0"})
-    return fact.select("trans_key", "units", "sales")
+    filled = [fn.measure(F.col(name)).alias(name) for name in ("units", "sales")]
+    return _double(star.fact(spark, sf_dir).select("trans_key", *filled), "units", "sales")
 
 
 @query

@@ -5,19 +5,35 @@ from __future__ import annotations
 # The delivered files, their typed form and the wide table.
 BASE = """
 fact AS (
-  SELECT CAST(l_suppkey AS VARCHAR) AS store_location_key,
-         CAST(l_partkey AS VARCHAR) AS product_key,
-         CASE WHEN l_orderkey % 97 = 0 THEN NULL
+  SELECT CASE WHEN l_orderkey = 0 THEN CAST(l_linenumber AS VARCHAR)
+              WHEN l_orderkey % 17 = 0 THEN 'unknown-' || CAST(l_suppkey AS VARCHAR)
+              ELSE CAST(l_suppkey AS VARCHAR) END AS store_location_key,
+         CASE WHEN l_orderkey % 13 = 0 THEN 'unknown-' || CAST(l_partkey AS VARCHAR)
+              ELSE CAST(l_partkey AS VARCHAR) END AS product_key,
+         CASE WHEN l_orderkey % 103 = 0 THEN '0'
+              WHEN l_orderkey % 97 = 0 THEN NULL
               WHEN c_acctbal < 0 OR (l_orderkey + l_linenumber) % 11 = 0
               THEN CAST(-(c_custkey + 1) AS VARCHAR)
               ELSE CAST(c_custkey + 1 AS VARCHAR) END AS collector_key,
          CASE WHEN l_orderkey % 101 = 0 THEN strftime(o_orderdate, '%Y%m%d')
               WHEN l_orderkey % 2 = 0 THEN strftime(o_orderdate, '%-m/%-d/%Y')
               ELSE strftime(o_orderdate, '%Y-%m-%d') END AS trans_dt,
-         CASE WHEN (l_orderkey + l_linenumber) % 50 <> 0
-              THEN CAST(CAST(l_extendedprice AS DECIMAL(18,2)) AS VARCHAR) END AS sales,
-         CASE WHEN (l_orderkey + l_linenumber) % 70 <> 0
-              THEN CAST(CAST(l_quantity AS DECIMAL(18,2)) AS VARCHAR) END AS units,
+         CASE WHEN l_orderkey = 0 THEN '99000000.00'
+              WHEN l_suppkey BETWEEN 1 AND 7 THEN '0.00'
+              WHEN (l_orderkey + l_linenumber) % 50 = 0 THEN NULL
+              WHEN (l_orderkey + l_linenumber) % 83 = 0 THEN 'n/a'
+              WHEN (l_orderkey + l_linenumber) % 101 = 0 THEN 'NaN'
+              WHEN (l_orderkey + l_linenumber) % 89 = 0
+              THEN CAST(CAST(l_extendedprice AS DECIMAL(18,2)) AS VARCHAR) || '12345678'
+              WHEN (l_orderkey + l_linenumber) % 97 = 0
+              THEN CAST(CAST(l_extendedprice AS DECIMAL(18,2)) AS VARCHAR) || '000000001'
+              WHEN l_orderkey % 221 = 0 THEN '20000000000.25'
+              ELSE CAST(CAST(l_extendedprice AS DECIMAL(18,2)) AS VARCHAR) END AS sales,
+         CASE WHEN (l_orderkey + l_linenumber) % 70 = 0 THEN NULL
+              WHEN (l_orderkey + l_linenumber) % 79 = 0 THEN 'one'
+              WHEN (l_orderkey + l_linenumber) % 73 = 0
+              THEN CAST(CAST(l_quantity AS DECIMAL(18,2)) AS VARCHAR) || '00005'
+              ELSE CAST(CAST(l_quantity AS DECIMAL(18,2)) AS VARCHAR) END AS units,
          CAST(l_orderkey AS VARCHAR) AS trans_key
   FROM lineitem
   JOIN orders ON l_orderkey = o_orderkey
@@ -25,19 +41,18 @@ fact AS (
 location AS (
   SELECT CAST(s_suppkey AS VARCHAR) AS store_location_key, r_name AS province,
          CAST(s_suppkey AS VARCHAR) AS store_num
-  FROM supplier JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey
-  WHERE s_suppkey % 17 <> 0),
+  FROM supplier JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey),
 product AS (
   SELECT CAST(p_partkey AS VARCHAR) AS product_key, p_brand AS category, p_type AS department
-  FROM part WHERE p_partkey % 13 <> 0),
+  FROM part),
 enriched AS (
   SELECT f.*, province, store_num, category, department
   FROM fact f
   LEFT JOIN location l ON f.store_location_key = l.store_location_key
   LEFT JOIN product p ON f.product_key = p.product_key),
 wide AS (
-  SELECT * REPLACE (coalesce(TRY_CAST(sales AS DECIMAL(18,2)), 0) AS sales,
-                    coalesce(TRY_CAST(units AS DECIMAL(18,2)), 0) AS units),
+  SELECT * REPLACE (coalesce(TRY_CAST(sales AS DECIMAL(28,6)), 0) AS sales,
+                    coalesce(TRY_CAST(units AS DECIMAL(28,6)), 0) AS units),
          CASE WHEN TRY_CAST(collector_key AS DOUBLE) < 0 THEN 'NonLoyalty' ELSE 'Loyalty' END
            AS customer_type,
          CASE WHEN regexp_full_match(trans_dt, '[0-9]{1,2}/[0-9]{1,2}/[0-9]{4}')
@@ -66,6 +81,31 @@ monthly_long AS (
 LABEL = "strftime(month, '%m-%d-%Y') AS trans_dt"
 
 
+def inexact(name: str) -> str:
+    """True for a text that typing changes: no number, or digits after the sixth decimal."""
+    return f"""{name} IS NOT NULL AND (TRY_CAST({name} AS DECIMAL(28,6)) IS NULL
+          OR regexp_matches({name}, '\\.[0-9]{{6}}[0-9]*[1-9]'))"""
+
+
+def rounded_once(sql: str) -> str:
+    """Every cast to a double goes by way of text: from a wide decimal it may be off by one place."""
+    start = "CAST("
+    out, at = "", 0
+    while (found := sql.find(start, at)) >= 0:
+        depth, end = 1, found + len(start)
+        while depth:
+            depth += {"(": 1, ")": -1}.get(sql[end], 0)
+            end += 1
+        inner = sql[found + len(start) : end - 1]
+        if inner.endswith(" AS DOUBLE") and not sql[:found].endswith("TRY_"):
+            out += sql[at:found] + f"CAST(CAST({rounded_once(inner.removesuffix(' AS DOUBLE'))} AS VARCHAR) AS DOUBLE)"
+            at = end
+        else:
+            out += sql[at : found + len(start)]
+            at = found + len(start)
+    return out + sql[at:]
+
+
 def top_by_type(key: str) -> str:
     return f"""
 SELECT customer_type, {key}, CAST(total AS DOUBLE) AS total FROM (
@@ -116,7 +156,9 @@ FROM wide GROUP BY customer_type""",
     "filter_eq": """
 SELECT customer_type, trans_key, collector_key FROM wide WHERE customer_type = 'NonLoyalty'""",
     "filter_contains": "SELECT trans_key, trans_dt FROM fact WHERE contains(trans_dt, '/')",
-    "null_fill": "SELECT trans_key, coalesce(units, '0') AS units, coalesce(sales, '0') AS sales FROM fact",
+    "null_fill": """
+SELECT trans_key, CAST(coalesce(TRY_CAST(units AS DECIMAL(28,6)), 0) AS DOUBLE) AS units,
+       CAST(coalesce(TRY_CAST(sales AS DECIMAL(28,6)), 0) AS DOUBLE) AS sales FROM fact""",
     "typed_cast": """
 SELECT trans_key, CAST(sales AS DOUBLE) AS sales, CAST(units AS DOUBLE) AS units,
        TRY_CAST(trans_dt AS DOUBLE) AS digits_only FROM wide""",
@@ -125,15 +167,16 @@ SELECT count(store_location_key) AS store_location_key, count(product_key) AS pr
        count(collector_key) AS collector_key, count(trans_dt) AS trans_dt, count(sales) AS sales,
        count(units) AS units, count(trans_key) AS trans_key, count(province) AS province,
        count(store_num) AS store_num, count(category) AS category, count(department) AS department,
-       count(TRY_CAST(sales AS DOUBLE)) AS sales_number FROM enriched""",
-    "quality": """
+       count(TRY_CAST(sales AS DOUBLE)) FILTER (NOT isnan(TRY_CAST(sales AS DOUBLE))) AS sales_number
+FROM enriched""",
+    "quality": f"""
 SELECT count(*) AS rows, count(*) - count(month) AS without_month,
        count(*) - count(province) AS without_province, count(*) - count(category) AS without_category,
        count(*) - count(collector_key) AS without_collector,
        (SELECT count(*) FROM fact WHERE sales IS NULL) AS without_sales,
        (SELECT count(*) FROM fact WHERE units IS NULL) AS without_units,
-       (SELECT count(*) FROM fact WHERE sales IS NOT NULL AND TRY_CAST(sales AS DECIMAL(18,2)) IS NULL) AS inexact_sales,
-       (SELECT count(*) FROM fact WHERE units IS NOT NULL AND TRY_CAST(units AS DECIMAL(18,2)) IS NULL) AS inexact_units
+       (SELECT count(*) FROM fact WHERE {inexact('sales')}) AS inexact_sales,
+       (SELECT count(*) FROM fact WHERE {inexact('units')}) AS inexact_units
 FROM wide""",
     # joins
     "join_left_location": "SELECT store_location_key, trans_key, province, store_num FROM enriched",
@@ -322,4 +365,4 @@ BODIES["publish_reports"] = "\nUNION ALL ".join(
     for name, body in PUBLISHED.items()
 )
 
-ORACLES = {name: f"WITH {BASE}\nSELECT * FROM ({body})" for name, body in BODIES.items()}
+ORACLES = {name: rounded_once(f"WITH {BASE}\nSELECT * FROM ({body})") for name, body in BODIES.items()}

@@ -1,7 +1,9 @@
 """The driver's TPC-H-like tables shaped into the text files a retailer would deliver.
 
-The rules plant what real deliveries have: missing measures, missing collectors, two date
-spellings and an unreadable one, and keys without a dimension row.
+The rules plant in the fact what real deliveries have: missing and malformed measures, amounts with
+more decimals than are kept and very large ones, missing collectors and the collector 0, two date
+spellings and an unreadable one, keys without a dimension row, and stores of equal sales at the
+border of the best three. Every row of every table is kept.
 """
 
 from __future__ import annotations
@@ -60,21 +62,44 @@ def fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     collector = F.when(
         F.col("in_debt") | (line % 11 == 0), -F.col("customer")
     ).otherwise(F.col("customer"))
+    bought, store, price = F.col("l_orderkey"), F.col("l_suppkey"), _money_text(F.col("l_extendedprice"))
+    sales = (
+        # Order 0 is all that the stores 1 to 7 sell, once in each of its lines' stores.
+        F.when(bought == 0, F.lit("99000000.00"))
+        .when(store.between(1, 7), F.lit("0.00"))
+        .when(line % 50 == 0, F.lit(None))
+        .when(line % 83 == 0, F.lit("n/a"))
+        .when(line % 101 == 0, F.lit("NaN"))
+        .when(line % 89 == 0, F.concat(price, F.lit("12345678")))
+        .when(line % 97 == 0, F.concat(price, F.lit("000000001")))
+        .when(bought % 221 == 0, F.lit("20000000000.25"))
+        .otherwise(price)
+    )
+    units = (
+        F.when(line % 70 == 0, F.lit(None))
+        .when(line % 79 == 0, F.lit("one"))
+        .when(line % 73 == 0, F.concat(_money_text(F.col("l_quantity")), F.lit("00005")))
+        .otherwise(_money_text(F.col("l_quantity")))
+    )
     return rows.select(
-        _text(F.col("l_suppkey")).alias("store_location_key"),
-        _text(F.col("l_partkey")).alias("product_key"),
-        F.when(F.col("l_orderkey") % 97 != 0, _text(collector)).alias("collector_key"),
+        F.when(bought == 0, _text(F.col("l_linenumber")))
+        .when(bought % 17 == 0, F.concat(F.lit("unknown-"), _text(store)))
+        .otherwise(_text(store))
+        .alias("store_location_key"),
+        F.when(bought % 13 == 0, F.concat(F.lit("unknown-"), _text(F.col("l_partkey"))))
+        .otherwise(_text(F.col("l_partkey")))
+        .alias("product_key"),
+        F.when(bought % 103 == 0, F.lit("0")).when(bought % 97 != 0, _text(collector)).alias("collector_key"),
         "trans_dt",
-        F.when(line % 50 != 0, _money_text(F.col("l_extendedprice"))).alias("sales"),
-        F.when(line % 70 != 0, _money_text(F.col("l_quantity"))).alias("units"),
-        _text(F.col("l_orderkey")).alias("trans_key"),
+        sales.alias("sales"),
+        units.alias("units"),
+        _text(bought).alias("trans_key"),
     )
 
 
 def location(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (
         table(spark, sf_dir, "supplier")
-        .filter(F.col("s_suppkey") % 17 != 0)
         .join(table(spark, sf_dir, "nation"), F.col("s_nationkey") == F.col("n_nationkey"))
         .join(table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
         .select(
@@ -86,14 +111,10 @@ def location(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def product(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return (
-        table(spark, sf_dir, "part")
-        .filter(F.col("p_partkey") % 13 != 0)
-        .select(
-            _text(F.col("p_partkey")).alias("product_key"),
-            F.col("p_brand").alias("category"),
-            F.col("p_type").alias("department"),
-        )
+    return table(spark, sf_dir, "part").select(
+        _text(F.col("p_partkey")).alias("product_key"),
+        F.col("p_brand").alias("category"),
+        F.col("p_type").alias("department"),
     )
 
 

@@ -36,6 +36,10 @@ def test_measure(spark):
     assert values(spark, texts, lambda c: fn.measure(c, 18, 3))[-1] == Decimal("0.125")
     assert values(spark, texts, lambda c: fn.loses_digits(c, 18, 2)) == [False, False, True, True, False, False, True]
     assert values(spark, texts, fn.loses_digits)[-1] is False
+    exact = ["1.500000", "1.50000000000", "2e3", "1.234567e3", "-0.000001", " 7.25 ", "1.", ".5"]
+    assert values(spark, exact, fn.loses_digits) == [False] * len(exact)
+    changed = ["10.00000000001", "0.0000001", "1e-7", "1.23456789e1", "NaN", "x", "1,5", "-3.1234567"]
+    assert values(spark, changed, fn.loses_digits) == [True] * len(changed)
     assert values(spark, ["99999999999999999", "NaN"], fn.measure) == [Decimal("99999999999999999"), 0]
     with pytest.raises(Exception, match="too large"):
         values(spark, ["99999999999999999"], lambda c: fn.measure(c, 18, 2))

@@ -24,13 +24,22 @@ def measure(col: Column, precision: int = MEASURE_PRECISION, scale: int = MEASUR
     amount = number.isNotNull() & ~F.isnan(number) & (F.abs(number) < float("inf"))
     large = F.concat(F.lit(f"too large for decimal({precision},{scale}): "), col.cast("string"))
     zero = F.lit(0).cast(f"decimal({precision},{scale})")
-    return F.when(typed.isNull() & amount, F.raise_error(large)).otherwise(F.coalesce(typed, zero))
+    # Only a text that is no decimal is read a second time.
+    odd = F.when(amount, F.raise_error(large)).otherwise(zero)
+    return F.when(typed.isNull(), odd).otherwise(typed)
 
 
 def loses_digits(col: Column, precision: int = MEASURE_PRECISION, scale: int = MEASURE_SCALE) -> Column:
-    """True where ``measure`` would change the value: malformed text or more decimals than the scale."""
+    """True where ``measure`` would change the value: malformed text or more decimals than the scale.
+
+    Decimals are told by the text's own digits. A number with an exponent is compared as a double.
+    """
     typed = col.try_cast(f"decimal({precision},{scale})")
-    return col.isNotNull() & F.coalesce(typed != col.try_cast("decimal(38,10)"), F.lit(True))
+    point = F.instr(col, ".")
+    cut = (point > 0) & (F.length(col) - point > scale) & col.rlike(f"\\.[0-9]{{{scale}}}[0-9]*[1-9]")
+    has_exponent = col.contains("e") | col.contains("E")
+    changed = F.when(has_exponent, typed.cast("double") != col.try_cast("double")).otherwise(cut)
+    return col.isNotNull() & (typed.isNull() | changed)
 
 
 def customer_type(collector_key: Column, null_as: str = LOYALTY) -> Column:
