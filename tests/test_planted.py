@@ -20,5 +20,5 @@ def test_equal_stores_stand_at_the_border_of_the_best(spark):
 
 
 def test_no_dimension_row_is_left_out(spark):
-    stores = duckdb.sql(f"SELECT count(*) FROM '{SF_DIR}/supplier.parquet'").fetchone()[0]
+    stores = duckdb.sql(f"SELECT count(*) FROM '{SF_DIR}/supplier.parquet'").fetchall()[0][0]
     assert QUERIES["union_all"](spark, SF_DIR).count() == 2 * stores

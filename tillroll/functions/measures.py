@@ -25,8 +25,7 @@ def measure(col: Column, precision: int = MEASURE_PRECISION, scale: int = MEASUR
     large = F.concat(F.lit(f"too large for decimal({precision},{scale}): "), col.cast("string"))
     zero = F.lit(0).cast(f"decimal({precision},{scale})")
     # Only a text that is no decimal is read a second time.
-    odd = F.when(amount, F.raise_error(large)).otherwise(zero)
-    return F.when(typed.isNull(), odd).otherwise(typed)
+    return F.coalesce(typed, F.when(amount, F.raise_error(large)).otherwise(zero))
 
 
 def loses_digits(col: Column, precision: int = MEASURE_PRECISION, scale: int = MEASURE_SCALE) -> Column:
