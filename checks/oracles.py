@@ -20,18 +20,18 @@ fact AS (
               ELSE strftime(o_orderdate, '%Y-%m-%d') END AS trans_dt,
          CASE WHEN l_orderkey = 0 THEN '99000000.00'
               WHEN l_suppkey BETWEEN 1 AND 7 THEN '0.00'
-              WHEN (l_orderkey + l_linenumber) % 50 = 0 THEN NULL
-              WHEN (l_orderkey + l_linenumber) % 83 = 0 THEN 'n/a'
-              WHEN (l_orderkey + l_linenumber) % 101 = 0 THEN 'NaN'
-              WHEN (l_orderkey + l_linenumber) % 89 = 0
+              WHEN (l_orderkey + l_linenumber) % 100 IN (0, 50) THEN NULL
+              WHEN (l_orderkey + l_linenumber) % 100 = 33 THEN 'n/a'
+              WHEN (l_orderkey + l_linenumber) % 100 = 41 THEN 'NaN'
+              WHEN (l_orderkey + l_linenumber) % 100 = 58
               THEN CAST(CAST(l_extendedprice AS DECIMAL(18,2)) AS VARCHAR) || '12345678'
-              WHEN (l_orderkey + l_linenumber) % 97 = 0
+              WHEN (l_orderkey + l_linenumber) % 100 = 77
               THEN CAST(CAST(l_extendedprice AS DECIMAL(18,2)) AS VARCHAR) || '000000001'
               WHEN l_orderkey % 221 = 0 THEN '20000000000.25'
               ELSE CAST(CAST(l_extendedprice AS DECIMAL(18,2)) AS VARCHAR) END AS sales,
          CASE WHEN (l_orderkey + l_linenumber) % 70 = 0 THEN NULL
-              WHEN (l_orderkey + l_linenumber) % 79 = 0 THEN 'one'
-              WHEN (l_orderkey + l_linenumber) % 73 = 0
+              WHEN (l_orderkey + l_linenumber) % 70 = 29 THEN 'one'
+              WHEN (l_orderkey + l_linenumber) % 70 = 43
               THEN CAST(CAST(l_quantity AS DECIMAL(18,2)) AS VARCHAR) || '00005'
               ELSE CAST(CAST(l_quantity AS DECIMAL(18,2)) AS VARCHAR) END AS units,
          CAST(l_orderkey AS VARCHAR) AS trans_key

@@ -40,18 +40,22 @@ def fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The delivered transaction rows, all columns as text."""
     order = F.col("o_orderkey")
     day = F.col("o_orderdate").cast("date")
-    # Orders meet customers first: each order's date is then written once, not once per line.
+    # Orders meet customers first: what an order decides is then worked out once, not once per line.
     headers = (
         table(spark, sf_dir, "orders")
         .join(table(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey"))
         .select(
             "o_orderkey",
-            (F.col("c_custkey") + 1).alias("customer"),
+            F.when(order % 103 == 0, F.lit(0)).when(order % 97 != 0, F.col("c_custkey") + 1).alias("customer"),
             (F.col("c_acctbal") < 0).alias("in_debt"),
             F.when(order % 101 == 0, F.date_format(day, "yyyyMMdd"))
             .when(order % 2 == 0, F.date_format(day, "M/d/yyyy"))
             .otherwise(F.date_format(day, "yyyy-MM-dd"))
             .alias("trans_dt"),
+            F.when(order % 17 == 0, F.lit("unknown-")).otherwise(F.lit("")).alias("store_mark"),
+            F.when(order % 13 == 0, F.lit("unknown-")).otherwise(F.lit("")).alias("product_mark"),
+            (order % 221 == 0).alias("is_large"),
+            (order == 0).alias("is_first"),
         )
     )
     line = F.col("l_orderkey") + F.col("l_linenumber")
@@ -59,41 +63,47 @@ def fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "lineitem").join(
         headers.hint("merge"), F.col("l_orderkey") == order
     )
+    rows = rows.withColumns(
+        {
+            "by_100": line % 100,
+            "by_70": line % 70,
+            "price": _money_text(F.col("l_extendedprice")),
+            "quantity": _money_text(F.col("l_quantity")),
+        }
+    )
     collector = F.when(
         F.col("in_debt") | (line % 11 == 0), -F.col("customer")
     ).otherwise(F.col("customer"))
-    bought, store, price = F.col("l_orderkey"), F.col("l_suppkey"), _money_text(F.col("l_extendedprice"))
+    store, price, quantity = F.col("l_suppkey"), F.col("price"), F.col("quantity")
+    by_100, by_70 = F.col("by_100"), F.col("by_70")
     sales = (
         # Order 0 is all that the stores 1 to 7 sell, once in each of its lines' stores.
-        F.when(bought == 0, F.lit("99000000.00"))
+        F.when(F.col("is_first"), F.lit("99000000.00"))
         .when(store.between(1, 7), F.lit("0.00"))
-        .when(line % 50 == 0, F.lit(None))
-        .when(line % 83 == 0, F.lit("n/a"))
-        .when(line % 101 == 0, F.lit("NaN"))
-        .when(line % 89 == 0, F.concat(price, F.lit("12345678")))
-        .when(line % 97 == 0, F.concat(price, F.lit("000000001")))
-        .when(bought % 221 == 0, F.lit("20000000000.25"))
+        .when((by_100 == 0) | (by_100 == 50), F.lit(None))
+        .when(by_100 == 33, F.lit("n/a"))
+        .when(by_100 == 41, F.lit("NaN"))
+        .when(by_100 == 58, F.concat(price, F.lit("12345678")))
+        .when(by_100 == 77, F.concat(price, F.lit("000000001")))
+        .when(F.col("is_large"), F.lit("20000000000.25"))
         .otherwise(price)
     )
     units = (
-        F.when(line % 70 == 0, F.lit(None))
-        .when(line % 79 == 0, F.lit("one"))
-        .when(line % 73 == 0, F.concat(_money_text(F.col("l_quantity")), F.lit("00005")))
-        .otherwise(_money_text(F.col("l_quantity")))
+        F.when(by_70 == 0, F.lit(None))
+        .when(by_70 == 29, F.lit("one"))
+        .when(by_70 == 43, F.concat(quantity, F.lit("00005")))
+        .otherwise(quantity)
     )
     return rows.select(
-        F.when(bought == 0, _text(F.col("l_linenumber")))
-        .when(bought % 17 == 0, F.concat(F.lit("unknown-"), _text(store)))
-        .otherwise(_text(store))
+        F.when(F.col("is_first"), _text(F.col("l_linenumber")))
+        .otherwise(F.concat("store_mark", _text(store)))
         .alias("store_location_key"),
-        F.when(bought % 13 == 0, F.concat(F.lit("unknown-"), _text(F.col("l_partkey"))))
-        .otherwise(_text(F.col("l_partkey")))
-        .alias("product_key"),
-        F.when(bought % 103 == 0, F.lit("0")).when(bought % 97 != 0, _text(collector)).alias("collector_key"),
+        F.concat("product_mark", _text(F.col("l_partkey"))).alias("product_key"),
+        _text(collector).alias("collector_key"),
         "trans_dt",
         sales.alias("sales"),
         units.alias("units"),
-        _text(bought).alias("trans_key"),
+        _text(F.col("l_orderkey")).alias("trans_key"),
     )
 
 
