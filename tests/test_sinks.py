@@ -9,6 +9,8 @@ from checks.oracles import PUBLISHED
 from micro import rows
 from tillroll import __main__ as cli, job, sinks, sizing, storage
 from tillroll.operators import DuplicateKeys
+from tillroll.plans import prepare, rollups
+from tillroll.sources import read_inputs
 
 
 class Recorder:
@@ -71,6 +73,83 @@ def test_every_report_is_published_to_its_own_table(spark, tmp_path):
     assert spark.sparkContext._jsc.sc().getPersistentRDDs().size() == cached
 
 
+def test_a_set_of_reports_appears_as_a_whole(spark, tmp_path):
+    folder = str(tmp_path / "out")
+    reports = {"a": spark.range(3), "b": spark.range(5)}
+    with pytest.raises(FileNotFoundError):
+        sinks.read_published(spark, folder, "a")
+    first = sinks.FileSet(spark, folder)
+    assert sinks.publish(reports, first) == ["a", "b"]
+    assert first.tables(first.run) == ["a", "b"]
+    assert sinks.read_published(spark, folder, "b").count() == 5
+    # One report of the next set fails: the set before it stays, and nothing of the new one does.
+    broken = spark.range(2).selectExpr("raise_error('broken') AS x")
+    failing = sinks.FileSet(spark, folder)
+    with pytest.raises(ExceptionGroup, match="not published: b"):
+        sinks.publish({"a": spark.range(9), "b": broken}, failing)
+    assert sinks.read_published(spark, folder, "a").count() == 3
+    assert first.published() == [first.run]
+    assert [p.name for p in (tmp_path / "out").iterdir()] == [first.run]
+    # Tables that are not all written yet are not read.
+    half = sinks.FileSet(spark, folder)
+    half(spark.range(100), "a")
+    assert sinks.read_published(spark, folder, "a").count() == 3
+    half.commit(["a"])
+    assert sinks.read_published(spark, folder, "a").count() == 100
+    for n in (1, 2):
+        sinks.publish({"a": spark.range(n)}, sinks.FileSet(spark, folder))
+    assert sinks.read_published(spark, folder, "a").count() == 2
+    assert len(first.published()) == 2
+
+
+def test_tables_of_a_database_are_renamed_together():
+    asked = []
+    tables = sinks.TableSet({"url": "jdbc:mysql://h/d"}, asked.extend)
+    frame = Recorder()
+    tables(frame, "t")
+    assert frame.calls[1][2]["dbtable"] == "t__new"
+    tables.commit(["t", "u"])
+    assert asked[4] == "RENAME TABLE t TO t__old, t__new TO t, u TO u__old, u__new TO u"
+    other = sinks.TableSet({"url": "jdbc:postgresql://h/d"}, asked.extend).statements(["t"])
+    assert other == [
+        "DROP TABLE IF EXISTS t__old",
+        "ALTER TABLE IF EXISTS t RENAME TO t__old",
+        "ALTER TABLE t__new RENAME TO t",
+        "DROP TABLE IF EXISTS t__old",
+    ]
+
+
+def test_the_raw_fact_is_read_once_and_never_joined(spark, tmp_path):
+    fact, location, product = read_inputs(spark, micro.write(tmp_path))
+    scans = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            scans.add(batch.num_rows)
+            yield batch
+
+    plans = {}
+
+    def write(df, name):
+        plans[name] = df._jdf.queryExecution().optimizedPlan().toString()
+        sinks.write_files(df, name, str(tmp_path / "out"))
+
+    job.publish_all(fact.mapInArrow(counted, fact.schema), location, product, write)
+    assert scans.value == 9
+    assert "trans_dt" not in plans["quality"] and "collector_key#" not in plans["quality"]
+    got = spark.read.parquet(str(tmp_path / "out" / "quality"))
+    assert got.columns == list(prepare.QUALITY)
+    assert rows(got) == rows(prepare.quality(prepare.enrich(fact, location, product)))
+
+
+def test_quality_of_an_empty_delivery(spark, tmp_path):
+    fact, location, product = read_inputs(spark, micro.write(tmp_path))
+    empty = prepare.checked(fact.limit(0))
+    stores = rollups.store_sales(empty, location, prepare.FLAGS)
+    found = prepare.quality_of_rollups(stores, rollups.category_sales(empty, product))
+    assert rows(found) == [(0,) * 9]
+
+
 def test_repeated_dimension_keys_stop_the_batch(spark, tmp_path):
     micro.write(tmp_path)
     (tmp_path / "location_2.csv").write_text("store_location_key,province,store_num\n1,QC,999\n")

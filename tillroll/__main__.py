@@ -11,7 +11,7 @@ from pyspark.sql import SparkSession, functions as F
 from tillroll import sizing
 from tillroll.job import run
 from tillroll.schema import CUSTOMER_TYPES, LOYALTY, MEASURE_PRECISION, MEASURE_SCALE
-from tillroll.sinks import write_files, write_jdbc
+from tillroll.sinks import FileSet, write_files, write_jdbc
 from tillroll.sources import discover
 
 
@@ -19,8 +19,13 @@ def parse(arguments: list[str] | None = None) -> argparse.Namespace:
     parser = argparse.ArgumentParser(prog="tillroll", description="Publish the retail sales reports.")
     parser.add_argument("--input", required=True, help="folder of the delivered files")
     sink = parser.add_mutually_exclusive_group(required=True)
-    sink.add_argument("--output", help="folder that gets one Parquet table per report")
+    sink.add_argument("--output", help="folder that gets the reports as Parquet tables, one set per run")
     sink.add_argument("--jdbc-url", help="database that gets one table per report")
+    parser.add_argument(
+        "--replace-each",
+        action="store_true",
+        help="write each report of --output in place, instead of all as one set",
+    )
     parser.add_argument("--jdbc-driver", help="driver class")
     parser.add_argument("--jdbc-user")
     parser.add_argument(
@@ -54,11 +59,11 @@ def jdbc_options(args: argparse.Namespace) -> dict[str, str]:
 
 def main() -> None:
     args = parse()
+    spark = SparkSession.builder.appName("tillroll").getOrCreate()
     if args.output:
-        write = partial(write_files, folder=args.output)
+        write = partial(write_files, folder=args.output) if args.replace_each else FileSet(spark, args.output)
     else:
         write = partial(write_jdbc, options=jdbc_options(args))
-    spark = SparkSession.builder.appName("tillroll").getOrCreate()
     try:
         delivered = discover(spark, args.input).agg(F.sum("bytes").alias("bytes")).first()
         sizing.apply(spark, delivered["bytes"] or 0)

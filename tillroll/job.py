@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tillroll.operators import profile, require_unique, sum_by
 from tillroll.plans import reports, rollups, trends
-from tillroll.plans.prepare import clean, enrich, quality
+from tillroll.plans.prepare import FLAGS, checked, quality_of_rollups
 from tillroll.schema import LOYALTY, MEASURE_PRECISION, MEASURE_SCALE
 from tillroll.sinks import publish
 from tillroll.sources import read_inputs
@@ -50,16 +50,17 @@ def publish_all(
 ) -> list[str]:
     """Publish every report of a conformed fact and its dimensions.
 
-    The cleaned fact is kept as Parquet in the shared folder, so text is parsed once; each report
-    family then reads only its columns. The small tables that several reports share are kept by
-    the executors.
+    The raw fact is read once: its cleaned rows, their months and what cleaning changed are kept as
+    Parquet in the shared folder, and each report family then reads only its columns. The small
+    tables that several reports share are kept by the executors. A ``write`` that has ``commit`` and
+    ``discard`` (see ``FileSet``) shows the tables as one set.
     """
     require_unique(profile({"store_location_key": location, "product_key": product}))
     with ExitStack() as stack:
-        kept = stack.enter_context(working_copy(clean(fact, null_as, precision, scale), "fact"))
-        stores = stack.enter_context(cached(rollups.store_sales(kept, location)))
-        by_product = rollups.category_sales(kept, product)
-        by_category = sum_by(by_product, ["department", "category"], sales="sales")
+        kept = stack.enter_context(working_copy(checked(fact, null_as, precision, scale), "fact"))
+        stores = stack.enter_context(cached(rollups.store_sales(kept, location, FLAGS, is_unique=True)))
+        by_product = rollups.category_sales(kept, product, is_unique=True)
+        by_category = sum_by(by_product, ["department", "category"], sales="sales", rows="rows")
         categories = stack.enter_context(cached(by_category))
         months = stack.enter_context(cached(trends.monthly(kept)))
         # Filled before the reports start, so that no two of them fill the same table.
@@ -67,7 +68,7 @@ def publish_all(
             list(pool.map(lambda shared: shared.count(), (stores, categories, months)))
         tables = all_reports(kept, stores, categories, months)
         tables["trends_trailing12"] = trends.labelled(trends.trailing(kept))
-        tables["quality"] = quality(enrich(fact, location, product), precision, scale)
+        tables["quality"] = quality_of_rollups(stores, categories)
         return publish(tables, write)
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tillroll.functions import (
     customer_type,
@@ -15,6 +15,19 @@ from tillroll.functions import (
 from tillroll.operators.lookup import BROADCAST_BYTES, HOT_SHARE, lookup, profile, with_spread
 from tillroll.schema import LOYALTY, MEASURE_PRECISION, MEASURE_SCALE
 
+# The counts of ``quality`` in their order.
+QUALITY = (
+    "rows",
+    "without_month",
+    "without_province",
+    "without_category",
+    "without_collector",
+    "without_sales",
+    "without_units",
+    "inexact_sales",
+    "inexact_units",
+)
+
 WIDE_COLUMNS = (
     "customer_type",
     "collector_key",
@@ -45,8 +58,54 @@ def clean(
     )
 
 
+# What cleaning fills in or cannot place, one flag each.
+FLAGS = (
+    "without_month",
+    "without_collector",
+    "without_sales",
+    "without_units",
+    "inexact_sales",
+    "inexact_units",
+)
+
+
+def _flags(precision: int, scale: int, month: Column) -> dict[str, Column]:
+    """The flags of a row whose measures are still text."""
+    return dict(
+        zip(
+            FLAGS,
+            (
+                month.isNull(),
+                F.col("collector_key").isNull(),
+                F.col("sales").isNull(),
+                F.col("units").isNull(),
+                loses_digits(F.col("sales"), precision, scale),
+                loses_digits(F.col("units"), precision, scale),
+            ),
+        )
+    )
+
+
+def checked(
+    fact: DataFrame,
+    null_as: str = LOYALTY,
+    precision: int = MEASURE_PRECISION,
+    scale: int = MEASURE_SCALE,
+) -> DataFrame:
+    """``clean`` with each row's month in place of its date text, and its flags: all that any report or
+    count asks of the text, in one pass."""
+    month = month_start(F.col("trans_dt"))
+    flagged = fact.withColumns({"month": month, **_flags(precision, scale, month)})
+    return clean(flagged, null_as, precision, scale).drop("trans_dt")
+
+
 def dated(fact: DataFrame) -> DataFrame:
-    """The rows whose date text is understood, with the first day of their month."""
+    """The rows whose date text is understood, with the first day of their month.
+
+    A fact that has its months already (see ``checked``) is not read for them again.
+    """
+    if "month" in fact.columns:
+        return fact.filter(F.col("month").isNotNull())
     known = fact.filter(has_known_date(F.col("trans_dt")))
     return known.withColumn("month", month_of_known(F.col("trans_dt")))
 
@@ -85,14 +144,19 @@ def quality(
     rows: DataFrame, precision: int = MEASURE_PRECISION, scale: int = MEASURE_SCALE
 ) -> DataFrame:
     """One row of counts over an enriched but uncleaned fact: what cleaning fills in or cannot place."""
-    return rows.agg(
-        F.count(F.lit(1)).alias("rows"),
-        F.count_if(month_start(F.col("trans_dt")).isNull()).alias("without_month"),
-        F.count_if(F.col("province").isNull()).alias("without_province"),
-        F.count_if(F.col("category").isNull()).alias("without_category"),
-        F.count_if(F.col("collector_key").isNull()).alias("without_collector"),
-        F.count_if(F.col("sales").isNull()).alias("without_sales"),
-        F.count_if(F.col("units").isNull()).alias("without_units"),
-        F.count_if(loses_digits(F.col("sales"), precision, scale)).alias("inexact_sales"),
-        F.count_if(loses_digits(F.col("units"), precision, scale)).alias("inexact_units"),
-    )
+    flags = _flags(precision, scale, month_start(F.col("trans_dt")))
+    flags |= {"without_province": F.col("province").isNull(), "without_category": F.col("category").isNull()}
+    counts = [F.count_if(flags[name]).alias(name) for name in QUALITY[1:]]
+    return rows.agg(F.count(F.lit(1)).alias(QUALITY[0]), *counts)
+
+
+def quality_of_rollups(stores: DataFrame, categories: DataFrame) -> DataFrame:
+    """``quality`` from the numbers of rows in the two rollups of a checked fact; no row of the fact is
+    read or joined. ``stores`` is counted by ``FLAGS``."""
+    without = F.sum(F.when(F.col("category").isNull(), F.col("rows")))
+    no_category = categories.agg(without.alias("without_category")).scalar()
+    found = {name: F.sum(name) for name in ("rows", *FLAGS)}
+    found["without_province"] = F.sum(F.when(F.col("province").isNull(), F.col("rows")))
+    counts = stores.agg(*(total.alias(name) for name, total in found.items()))
+    counts = counts.withColumn("without_category", no_category)
+    return counts.select(*(F.coalesce(F.col(name), F.lit(0)).cast("long").alias(name) for name in QUALITY))

@@ -8,9 +8,9 @@ the query, because it would multiply sales.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from collections.abc import Sequence
 
-from tillroll.operators.grouping import sum_by
+from pyspark.sql import DataFrame, functions as F
 
 
 def _unique(dimension: DataFrame, key: str, columns: list[str]) -> DataFrame:
@@ -30,19 +30,29 @@ def _unique(dimension: DataFrame, key: str, columns: list[str]) -> DataFrame:
     )
 
 
-def store_sales(fact: DataFrame, location: DataFrame) -> DataFrame:
-    """Sales of a cleaned fact per store key and customer type, with province and store number."""
-    by_key = sum_by(fact, ["store_location_key", "customer_type"], sales="sales")
-    return by_key.join(
-        _unique(location, "store_location_key", ["province", "store_num"]), "store_location_key", "left"
-    ).select(
-        "customer_type", "province", "store_num", "sales"
-    )
+def _summed(fact: DataFrame, keys: Sequence[str], counted: Sequence[str]) -> DataFrame:
+    """Sales, the number of rows, and of rows for which each of the counted flags holds, by the keys."""
+    flags = [F.count_if(name).alias(name) for name in counted]
+    return fact.groupBy(*keys).agg(F.sum("sales").alias("sales"), F.count(F.lit(1)).alias("rows"), *flags)
+
+
+def store_sales(
+    fact: DataFrame, location: DataFrame, counted: Sequence[str] = (), is_unique: bool = False
+) -> DataFrame:
+    """Sales and rows of a cleaned fact per store key and customer type, with province and store number.
+
+    ``counted`` names flags of the fact whose rows are counted, too. ``is_unique`` says that the caller
+    has made sure that no key repeats (``require_unique``).
+    """
+    key, columns = "store_location_key", ["province", "store_num"]
+    by_key = _summed(fact, [key, "customer_type"], counted)
+    stores = location.select(key, *columns) if is_unique else _unique(location, key, columns)
+    return by_key.join(stores, key, "left").select("customer_type", *columns, "sales", "rows", *counted)
 
 
-def category_sales(fact: DataFrame, product: DataFrame) -> DataFrame:
-    """Sales of a cleaned fact per product key, with department and category."""
-    by_key = sum_by(fact, ["product_key"], sales="sales")
-    return by_key.join(
-        _unique(product, "product_key", ["category", "department"]), "product_key", "left"
-    ).select("department", "category", "sales")
+def category_sales(fact: DataFrame, product: DataFrame, is_unique: bool = False) -> DataFrame:
+    """Sales and rows of a cleaned fact per product key, with department and category."""
+    key, columns = "product_key", ["department", "category"]
+    by_key = _summed(fact, [key], ())
+    products = product.select(key, *columns) if is_unique else _unique(product, key, columns)
+    return by_key.join(products, key, "left").select(*columns, "sales", "rows")

@@ -1,5 +1,5 @@
 """Publishing result tables."""
 
-from tillroll.sinks.publish import publish, write_files, write_jdbc
+from tillroll.sinks.publish import FileSet, TableSet, publish, read_published, write_files, write_jdbc
 
-__all__ = ["publish", "write_files", "write_jdbc"]
+__all__ = ["FileSet", "TableSet", "publish", "read_published", "write_files", "write_jdbc"]

@@ -64,6 +64,32 @@ def remove_at_end(spark: SparkSession, path: str) -> None:
     files.deleteOnExit(place)
 
 
+def children(spark: SparkSession, path: str) -> list[str]:
+    """Names of the files and folders in a folder; none if it is missing."""
+    place, files = _place(spark, path)
+    return [found.getPath().getName() for found in files.listStatus(place)] if files.exists(place) else []
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small file."""
+    place, files = _place(spark, path)
+    stream = files.create(place, True)
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    """A small file's text."""
+    place, files = _place(spark, path)
+    stream = files.open(place)
+    try:
+        return bytes(stream.readAllBytes()).decode()
+    finally:
+        stream.close()
+
+
 def temporary(df: DataFrame, name: str) -> DataFrame:
     """``written`` below the shared folder, for as long as the application runs."""
     spark = df.sparkSession
