@@ -63,13 +63,16 @@ def publish_all(
         by_category = sum_by(by_product, ["department", "category"], sales="sales", rows="rows")
         categories = stack.enter_context(cached(by_category))
         months = stack.enter_context(cached(trends.monthly(kept)))
-        # Filled before the reports start, so that no two of them fill the same table.
+        # Each is filled by one job, so that no two reports fill the same table. Reports of the fact itself
+        # need not wait for them.
         with ThreadPoolExecutor(3) as pool:
-            list(pool.map(lambda shared: shared.count(), (stores, categories, months)))
-        tables = all_reports(kept, stores, categories, months)
-        tables["trends_trailing12"] = trends.labelled(trends.trailing(kept))
-        tables["quality"] = quality_of_rollups(stores, categories)
-        return publish(tables, write)
+            by_store, by_group, by_month = (pool.submit(shared.count) for shared in (stores, categories, months))
+            tables = all_reports(kept, stores, categories, months)
+            tables["trends_trailing12"] = trends.labelled(trends.trailing(kept))
+            tables["quality"] = quality_of_rollups(stores, categories)
+            waits = {name: [by_month] if name.startswith("trends") else [by_store, by_group] for name in tables}
+            waits |= dict.fromkeys(("totals", "trends_trailing12"), [])
+            return publish(tables, write, waits_for=waits)
 
 
 def run(

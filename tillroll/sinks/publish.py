@@ -5,7 +5,7 @@ from __future__ import annotations
 import json
 import uuid
 from collections.abc import Callable, Mapping, Sequence
-from concurrent.futures import ThreadPoolExecutor
+from concurrent.futures import Future, ThreadPoolExecutor
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
@@ -118,15 +118,25 @@ def publish(
     reports: Mapping[str, DataFrame],
     write: Callable[[DataFrame, str], None],
     at_once: int = REPORTS_AT_ONCE,
+    waits_for: Mapping[str, Sequence[Future]] | None = None,
 ) -> list[str]:
     """Write each report under its name, several at a time; returns the names.
 
-    Most reports are small jobs that leave a cluster idle when run one after the other. If ``write`` has
+    Most reports are small jobs that leave a cluster idle when run one after the other. Those that wait
+    for nothing come first; ``waits_for`` names what must have ended before a report begins. If ``write`` has
     ``commit`` and ``discard``, it is told the names when all reports are written, or that one failed.
     """
+    waits = waits_for or {}
+
+    def one(name: str) -> None:
+        for awaited in waits.get(name, ()):
+            awaited.result()
+        write(reports[name], name)
+
     with ThreadPoolExecutor(at_once) as pool:
-        started = {name: pool.submit(write, report, name) for name, report in reports.items()}
-    failed = {name: future.exception() for name, future in started.items() if future.exception()}
+        order = sorted(reports, key=lambda name: len(waits.get(name, ())))
+        started = {name: pool.submit(one, name) for name in order}
+    failed = {name: started[name].exception() for name in reports if started[name].exception()}
     if failed:
         if hasattr(write, "discard"):
             write.discard()
