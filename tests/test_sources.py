@@ -118,7 +118,55 @@ def test_a_folder_of_mixed_headers_fails_instead_of_swapping_columns(spark, tmp_
     (tmp_path / "a.csv").write_text(micro.FACT_1)
     (tmp_path / "b.csv").write_text(micro.FACT_10)
     with pytest.raises(Exception, match="header does not conform"):
-        sources.conform(spark, [str(tmp_path)]).collect()
+        sources.conform(spark, [str(tmp_path)], by_path=True).collect()
+    assert sources.conform(spark, [str(tmp_path)]).count() == 9
+
+
+def jobs_of(spark, work):
+    """The result of some work, and how many Spark jobs it ran."""
+    context = spark.sparkContext
+    context.setJobGroup("counted", "counted")
+    try:
+        result = work()
+        return result, len(context.statusTracker().getJobIdsForGroup("counted"))
+    finally:
+        context._jsc.clearJobGroup()
+
+
+def test_headers_of_many_files_take_as_many_jobs_as_of_few(spark, tmp_path):
+    few, many = tmp_path / "few", tmp_path / "many"
+    for folder, files in ((few, 4), (many, 300)):
+        folder.mkdir()
+        for i in range(files):
+            (folder / f"f{i:03}.csv").write_text(micro.FACT_1 if i % 2 else micro.FACT_10)
+    found = {}
+    for folder in (few, many):
+        paths = sorted(str(path) for path in folder.iterdir())
+        found[folder], jobs = jobs_of(spark, lambda: sources.headers(spark, paths))
+        assert jobs <= 6
+    assert sorted(len(members) for members in found[many].values()) == [150, 150]
+    assert sources.conform(spark, [str(many)]).count() == 150 * 9
+
+
+def test_a_header_is_the_first_line_that_is_not_blank(spark, tmp_path):
+    names = ["a b.csv", "50%.csv", "é+#.csv", "blank.csv", "none.csv"]
+    for name in names:
+        (tmp_path / name).write_text("\n  \n" + micro.FACT_1)
+    (tmp_path / "blank.csv").write_text("\n \n\t\n")
+    (tmp_path / "none.csv").write_text("")
+    paths = [row["path"] for row in sources.discover(spark, str(tmp_path)).collect()]
+    (members,) = sources.headers(spark, paths).values()
+    assert len(members) == 3
+    assert sources.conform(spark, paths).count() == 3 * 7
+
+
+def test_only_the_first_lines_of_a_large_file_are_read(spark, tmp_path):
+    path = tmp_path / "large.csv"
+    path.write_text(micro.FACT_1 + "1,100,-1,1/5/2015,10.00,1,T2\n" * 400_000)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    (members,) = sources.headers(spark, [str(path)]).values()
+    assert len(members) == 1
+    assert spark.conf.get("spark.sql.files.maxPartitionBytes") == before
 
 
 def test_files_without_lines_are_passed_over(spark, tmp_path):

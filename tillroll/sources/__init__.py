@@ -6,6 +6,7 @@ from tillroll.sources.files import (
     discover,
     empty,
     has_rows,
+    headers,
     read_csv,
     read_inputs,
     route,
@@ -18,6 +19,7 @@ __all__ = [
     "discover",
     "empty",
     "has_rows",
+    "headers",
     "read_csv",
     "read_inputs",
     "route",

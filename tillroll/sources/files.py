@@ -4,10 +4,12 @@ from __future__ import annotations
 
 import re
 from collections import defaultdict
-from collections.abc import Iterable, Mapping, Sequence
+from collections.abc import Iterable, Iterator, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
+from urllib.parse import unquote
 
+import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
@@ -16,6 +18,9 @@ from tillroll.schema import DEFAULT_ROLE, FACT, HEADER_ALIASES, LOCATION, PRODUC
 # How many headers are looked up at the same time; each is a one-row job.
 HEADER_LOOKUPS = 16
 
+# More than any file has: such scans give every file a task of its own.
+WHOLE_FILE = 1 << 50
+
 
 class UnknownHeader(ValueError):
     """A file's header does not name every declared column exactly once."""
@@ -102,6 +107,46 @@ def _header(spark: SparkSession, path: str) -> tuple[str, ...]:
     return tuple(read_csv(spark, path).columns)
 
 
+def _first_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The first line that is not blank; what follows it is not read."""
+    for batch in batches:
+        for k, line in enumerate(batch.column("value").to_pylist()):
+            if line.strip():
+                yield batch.slice(k, 1)
+                return
+
+
+def _one_task_a_file(spark: SparkSession) -> SparkSession:
+    """A session of the same settings whose scans never split a file nor put two in a task."""
+    session = spark.newSession()
+    for name, value in spark.conf.getAll.items():
+        if spark.conf.isModifiable(name):
+            session.conf.set(name, value)
+    session.conf.set("spark.sql.files.maxPartitionBytes", str(WHOLE_FILE))
+    session.conf.set("spark.sql.files.openCostInBytes", str(WHOLE_FILE))
+    session.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "16")
+    return session
+
+
+def headers(spark: SparkSession, paths: Sequence[str]) -> dict[tuple[str, ...], list[str]]:
+    """The files with each header, both in a fixed order; files without any line are left out.
+
+    One job looks at all files: a task a file, which stops after the first line. Files are grouped by that
+    line in the cluster, and one file of each group is asked for its columns.
+    """
+    lines = _one_task_a_file(spark).read.text(list(paths)).select(F.col("_metadata.file_path").alias("path"), "value")
+    found = lines.mapInArrow(_first_lines, "path string, value string")
+    groups = found.groupBy("value").agg(F.sort_array(F.collect_list("path")).alias("paths"))
+    # Spark names a row's file as an escaped address.
+    listed = sorted([unquote(path) for path in row["paths"]] for row in groups.collect())
+    with ThreadPoolExecutor(HEADER_LOOKUPS) as pool:
+        columns = list(pool.map(lambda members: _header(spark, members[0]), listed))
+    by_header: dict[tuple[str, ...], list[str]] = defaultdict(list)
+    for header, members in zip(columns, listed):
+        by_header[header] += members
+    return dict(by_header)
+
+
 def _selection(
     header: Sequence[str], schema: T.StructType, aliases: Mapping[str, str], paths: Sequence[str]
 ) -> list[Column]:
@@ -122,23 +167,29 @@ def conform(
     paths: Iterable[str],
     schema: T.StructType = FACT,
     aliases: Mapping[str, str] = HEADER_ALIASES,
+    by_path: bool = False,
 ) -> DataFrame:
     """One relation of the declared columns from files in any column order and known spelling.
 
-    A path is a file, or a folder whose files share a header; the header is looked up once per
-    path. Paths with equal headers become one scan, so the plan grows with the number of different
-    headers, not of files. Every file's own header is checked again when it is scanned, so a folder
-    of mixed headers fails instead of swapping columns. Files without any line are passed over.
+    A path is a file or a folder. The headers of all files are found by one job; with ``by_path`` the
+    files of a folder must share a header, which is looked up once per path, and the driver holds no
+    more than the given paths. Files with equal headers become one scan, so the plan grows with the
+    number of different headers, not of files. Every file's own header is checked again when it is
+    scanned, so a file that changes fails instead of swapping columns. Files without any line are
+    passed over.
     """
     paths = list(dict.fromkeys(paths))
     if not paths:
         raise ValueError("no input files")
-    with ThreadPoolExecutor(min(HEADER_LOOKUPS, len(paths))) as pool:
-        headers = list(pool.map(lambda path: _header(spark, path), paths))
-    groups: dict[tuple[str, ...], list[str]] = defaultdict(list)
-    for path, header in zip(paths, headers):
-        if header:
-            groups[header].append(path)
+    if by_path:
+        with ThreadPoolExecutor(min(HEADER_LOOKUPS, len(paths))) as pool:
+            looked_up = list(pool.map(lambda path: _header(spark, path), paths))
+        groups: dict[tuple[str, ...], list[str]] = defaultdict(list)
+        for path, header in zip(paths, looked_up):
+            if header:
+                groups[header].append(path)
+    else:
+        groups = headers(spark, paths)
     if not groups:
         raise ValueError(f"no lines in {paths}")
 
@@ -182,7 +233,7 @@ def read_inputs(
     if missing:
         raise ValueError(f"no {' and no '.join(missing)} file below {root}")
     return (
-        conform(spark, paths["fact"], FACT),
-        conform(spark, paths["location"], LOCATION),
-        conform(spark, paths["product"], PRODUCT),
+        conform(spark, paths["fact"], FACT, by_path=by_folder),
+        conform(spark, paths["location"], LOCATION, by_path=by_folder),
+        conform(spark, paths["product"], PRODUCT, by_path=by_folder),
     )
