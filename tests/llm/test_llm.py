@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import random
 import time
 import zlib
@@ -80,28 +81,37 @@ def test_sharding_fills_shards_evenly_without_gaps(docs, none):
     assert sharding.shard_documents(none).count() == 0
 
 
-def test_place_puts_a_row_at_the_first_shard_with_room():
+@pytest.mark.parametrize("slack", [0.0, 0.1, 0.5])
+def test_place_puts_a_row_at_the_first_shard_with_room(slack):
     counts = {c: (c * 31) % 7 for c in range(0, 64, 3)}
     nodes = sharding.ring(4, 3, 64)
-    room, want = sharding.capacities(sum(counts.values()), 4, 0.1), {}
-    waiting = [(c, k, sum(spot < c for spot, _ in nodes)) for c in sorted(counts) for k in range(counts[c])]
+    room, want = sharding.capacities(sum(counts.values()), 4, slack), {}
+    used = [0] * 4
+    waiting = {c: (sum(spot < c for spot, _ in nodes), list(range(counts[c]))) for c in sorted(counts)}
     while waiting:
-        refused, closed = [], list(room)
-        for c, k, at in waiting:
-            steps = [i % len(nodes) for i in range(at, at + len(nodes))]
-            at = next(i for i in steps if room[nodes[i][1]] or closed[nodes[i][1]])
+        left = {}
+        for c, (at, ranks) in waiting.items():
+            at = next(i % len(nodes) for i in range(at, at + len(nodes)) if room[nodes[i % len(nodes)][1]])
             shard = nodes[at][1]
-            if room[shard]:
-                room[shard] -= 1
-                want[c, k] = shard
-            else:
-                refused.append((c, k, at + 1))
-        waiting = refused
+            for k in list(ranks):
+                if room[shard]:
+                    want[c, k] = (shard, used[shard])
+                    room[shard], used[shard] = room[shard] - 1, used[shard] + 1
+                    ranks.remove(k)
+            if ranks:
+                left[c] = (at + 1, ranks)
+        waiting = left
     got = {}
-    for c, start, end, shard, _ in sharding.place(counts, 4, 3, 64, 0.1):
-        got.update({(c, k): shard for k in range(start, end)})
-    assert got.keys() == want.keys()
-    assert Counter(got.values()).total() == sum(counts.values())
+    for c, start, end, shard, slot in sharding.place(counts, 4, 3, 64, slack):
+        got.update({(c, k): (shard, slot + k - start) for k in range(start, end)})
+    assert got == want
+
+
+def test_sizes_and_checksums_of_documents(docs):
+    for r in sharding.shard_documents(docs, 5).collect():
+        texts = {(t or "").encode() for i, t in ROWS if i == r["doc_id"]}
+        assert (r["size"], r["text_crc32"]) in {(len(t) + 16, zlib.crc32(t)) for t in texts}
+        assert r["law"] == "rows" and r["grown_shard"] is None
 
 
 def shingles(text):
@@ -166,7 +176,8 @@ def test_copies_around_the_limit_equal_brute_force(spark, monkeypatch):
     assert {r["doc_id"]: r["component_id"] for r in got} == dict(enumerate(label))
 
 
-def removed(texts):
+def marked(texts):
+    """For each text its bytes and a flag for each that is removed."""
     seen, out = set(), []
     for t in texts:
         b = (t or "").encode()
@@ -175,20 +186,36 @@ def removed(texts):
             if b[i : i + 100] in seen:
                 gone[i : i + 100] = b"\1" * 100
             seen.add(b[i : i + 100])
-        out.append(bytes(x for x, g in zip(b, gone, strict=True) if not g))
+        out.append((b, bytes(gone)))
     return out
 
 
+def removed(texts):
+    return [bytes(x for x, g in zip(b, gone, strict=True) if not g) for b, gone in marked(texts)]
+
+
+def gone_of(rows):
+    return dict(zip((i for i, _ in rows), (gone for _, gone in marked(t for _, t in rows)), strict=True))
+
+
+def spans(gone):
+    return len([run for run in gone.split(b"\0") if run])
+
+
 def test_repeated_bytes_equal_brute_force(spark, docs, none):
     passage = " ".join(words(40, 77))
     extra = [(20 + i, f"{' '.join(words(30, i))} {passage} {'z' * i}{' '.join(words(9, 99 + i))}") for i in range(8)]
     rows = [*dict.fromkeys(r for r in ROWS if r[0] is not None), *extra]
     table = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
     want = dict(zip((i for i, _ in rows), removed(t for _, t in rows), strict=True))
+    gone = gone_of(rows)
     for r in suffixes.repeats_removed(table).collect():
         kept = (dict(rows)[r["doc_id"]] or "").encode() if r["kept"] is None else bytes(r["kept"])
         assert kept == want[r["doc_id"]], r["doc_id"]
         assert r["n_removed"] == r["n_bytes"] - len(kept)
+        assert r["n_spans"] == spans(gone[r["doc_id"]])
+        if r["kept"] is None:
+            assert r["sha"] == hashlib.sha256(kept).hexdigest()
     assert suffixes.repeats_removed(none).count() == 0
     assert suffixes.repeats_removed(docs).count() == len(dict.fromkeys(ROWS))
 
@@ -305,7 +332,7 @@ def test_quality_removes_frequent_lines_but_not_their_first(spark):
     rows = [(i, f"{common}\n{' '.join(words(80, 10 + i))}", "h") for i in range(6)]
     rows += [(10 + i, f"{common}\n{' '.join(words(25, 40 + i))}", "h") for i in range(2)]
     table = spark.createDataFrame(rows, "doc_id long, text string, source string")
-    frequent = quality.frequent_lines(table, line_docs=3, line_share=0.1)
+    frequent = quality.frequent_lines(table, line_docs=3)
     places = {r["_doc"]: r["_places"] for r in quality.removed_lines(table, frequent).collect()}
     assert places == {i: [0] for i, _, _ in rows if i}
 

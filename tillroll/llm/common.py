@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
+from contextvars import ContextVar
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tillroll.storage import new_folder
+from tillroll.storage import new_folder, remove, remove_at_end
 
 # The white space that separates words, as characters and as a Java pattern.
 SPACES = " \t\n\x0b\x0c\r"
@@ -18,11 +19,64 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+# The folders of working tables that the operator being run has made.
+_made: ContextVar[list[str] | None] = ContextVar("working tables", default=None)
+
+
+def noted(spark: SparkSession, path: str) -> None:
+    """A folder just written goes with its operator (see ``finished``), or when the application ends."""
+    remove_at_end(spark, path)
+    if (made := _made.get()) is not None:
+        made.append(path)
+
+
 def staged(df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
     """Write a table once below the shared folder and read it from there: it outlives lost executors."""
-    path = new_folder(df.sparkSession, name)
+    spark = df.sparkSession
+    path = new_folder(spark, name)
     df.write.option("compression", compression).parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    noted(spark, path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def unstaged(df: DataFrame) -> None:
+    """Remove a staged table that nothing reads any more."""
+    for folder in {name.rpartition("/")[0] for name in df.inputFiles()}:
+        remove(df.sparkSession, folder)
+
+
+def finished(spark: SparkSession, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+    """What ``build`` returns, written; the working tables made for it are removed, also after a failure."""
+    made: list[str] = []
+    outer = _made.set(made)
+    try:
+        df = build()
+        path = new_folder(spark, name)
+        df.write.parquet(path)
+        result = spark.read.schema(df.schema).parquet(path)
+    finally:
+        _made.reset(outer)
+        for folder in made:
+            remove(spark, folder)
+    noted(spark, path)
+    return result
+
+
+def shielded(df: DataFrame, read: Sequence[str], given: Sequence[str]) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:
+    """``df`` with all columns renamed but those that are read, so that no working column meets one of
+    the same name; and how to get a result's columns back. Columns that the result gives are left out.
+    """
+    others = [name for name in df.columns if name not in {*read, *given}]
+    own = {f"_other{k}": name for k, name in enumerate(others)}
+    inner = df.select(*read, *(F.col(f"`{name}`").alias(hidden) for hidden, name in own.items()))
+
+    def restored(result: DataFrame) -> DataFrame:
+        shown = {name: hidden for hidden, name in own.items()}
+        first = [name for name in df.columns if name in shown or name in result.columns]
+        last = [name for name in result.columns if name not in own and name not in first]
+        return result.select(*(F.col(shown.get(name, f"`{name}`")).alias(name) for name in [*first, *last]))
+
+    return inner, restored
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:

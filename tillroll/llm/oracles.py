@@ -103,7 +103,6 @@ ORACLES: dict[str, str] = {
             FROM lines WHERE regexp_matches(line, '{_WORD}')
         ),
         dup AS (SELECT doc_id, count(*) - count(DISTINCT line) AS n FROM worded GROUP BY doc_id),
-        hosts AS (SELECT source, count(DISTINCT text) AS n FROM docs GROUP BY source),
         frequent AS (
             SELECT source, norm, min(doc_id) AS first, count(DISTINCT text) AS n
             FROM worded GROUP BY source, norm
@@ -112,8 +111,7 @@ ORACLES: dict[str, str] = {
             SELECT l.doc_id, sum(l.n) AS n
             FROM worded l JOIN frequent f
               ON l.source IS NOT DISTINCT FROM f.source AND l.norm = f.norm
-            JOIN hosts h ON h.source IS NOT DISTINCT FROM f.source
-            WHERE f.n > 50 AND f.n > 0.02 * h.n AND l.doc_id <> f.first
+            WHERE f.n > 5 AND l.doc_id <> f.first
             GROUP BY l.doc_id
         ),
         windows AS (

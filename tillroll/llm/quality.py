@@ -4,14 +4,24 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tillroll.llm.common import SPACE_PATTERN, SPACES, let, same, words
+from tillroll.llm.common import SPACE_PATTERN, SPACES, let, same, shielded, words
 
 MIN_WORDS = 50
 MOST_REPEATED = 50  # per cent of the words
-LINE_DOCS = 50
-LINE_SHARE = 0.02
+LINE_DOCS = 5  # distinct texts of a host, however many the host has
 LEAST_LEFT = 0.2
 
+MEASURES = (
+    "n_words",
+    "word_chars",
+    "n_symbols",
+    "n_dup_lines",
+    "n_repeat_words",
+    "base_failed",
+    "kept",
+    "n_removed_words",
+)
+
 
 def _repeated_words(tokens: Column) -> Column:
     """How many words stand in a window of three that is found twice or more."""
@@ -117,13 +127,12 @@ def _lines(docs: DataFrame) -> DataFrame:
     )
 
 
-def frequent_lines(
-    docs: DataFrame, line_docs: int = LINE_DOCS, line_share: float = LINE_SHARE
-) -> DataFrame:
-    """Lines (_host, _hash, _first) that more documents of a host hold than both limits allow.
+def frequent_lines(docs: DataFrame, line_docs: int = LINE_DOCS) -> DataFrame:
+    """Lines (_host, _hash, _first) that more than ``line_docs`` documents of a host hold.
 
     Equal texts count as one document, so that a group of copies does not make its own lines
-    frequent. ``_first`` is the smallest id of a document that holds the line.
+    frequent. ``_first`` is the smallest id of a document that holds the line. Lines and texts are told
+    apart by 64-bit hashes.
     """
     lines = _lines(docs)
     # Two steps: a line that a third of all documents hold is spread by document first.
@@ -131,20 +140,7 @@ def frequent_lines(
     counted = once.groupBy("_host", "_hash").agg(
         F.count(F.lit(1)).alias("_docs"), F.min("_doc").alias("_first")
     )
-    text = F.xxhash64(F.coalesce(F.col("text"), F.lit("")))
-    hosts = (
-        docs.select(F.col("source").alias("_host"), text.alias("_text"))
-        .distinct()
-        .groupBy("_host")
-        .agg(F.count(F.lit(1)).alias("_all"))
-        .withColumnRenamed("_host", "_host2")
-    )
-    return (
-        counted.filter(F.col("_docs") > line_docs)
-        .join(hosts, same(F.col("_host"), F.col("_host2")))
-        .filter(F.col("_docs") > line_share * F.col("_all"))
-        .select("_host", "_hash", "_first")
-    )
+    return counted.filter(F.col("_docs") > line_docs).select("_host", "_hash", "_first")
 
 
 def removed_lines(docs: DataFrame, frequent: DataFrame) -> DataFrame:
@@ -172,8 +168,10 @@ def judged(docs: DataFrame, least_left: float = LEAST_LEFT, with_text: bool = Tr
     A document is kept if it passes the rules for single documents and its frequent lines leave
     at least ``least_left`` of its words and MIN_WORDS words. ``with_text`` keeps ``text``,
     without those lines; else no text crosses a shuffle. Null sources are one host, null texts are
-    empty, repeated rows get the same verdict, other columns stay.
+    empty, repeated rows get the same verdict, other columns stay, whatever their names; those named
+    like a measure are replaced.
     """
+    docs, restored = shielded(docs, ["doc_id", "text", "source"], MEASURES)
     removed = removed_lines(docs, frequent_lines(docs))
     text = F.coalesce(F.col("text"), F.lit(""))
     rows = measured(docs).withColumn("_key", F.xxhash64(text))
@@ -196,4 +194,4 @@ def judged(docs: DataFrame, least_left: float = LEAST_LEFT, with_text: bool = Tr
         )
         cut = F.when(F.col("_places").isNull(), F.col("text")).otherwise(F.array_join(rest, "\n"))
         rows = rows.withColumn("text", cut)
-    return rows.drop("_key", "_doc", "_host", "_text", "_places", "_gone")
+    return restored(rows.drop("_key", "_doc", "_host", "_text", "_places", "_gone"))

@@ -22,7 +22,7 @@ from tillroll.llm import (
     suffixes,
     urls,
 )
-from tillroll.llm.common import table
+from tillroll.llm.common import finished, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -32,12 +32,14 @@ def op1_ring(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_context_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return scoring.scored(table(spark, sf_dir, "documents"))
+    return finished(spark, "op2", lambda: scoring.scored(table(spark, sf_dir, "documents")))
 
 
 def op3_tensored_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = neardup.near_duplicates(table(spark, sf_dir, "documents"))
-    return found.select("doc_id", "n_shingles", "component_id", "kept")
+    columns = ("doc_id", "n_shingles", "component_id", "kept")
+    return finished(
+        spark, "op3", lambda: neardup.near_duplicates(table(spark, sf_dir, "documents")).select(*columns)
+    )
 
 
 def op4_url_list(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -66,9 +68,12 @@ def op6_byte_aligned_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_merged_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = suffixes.repeats_removed(table(spark, sf_dir, "documents"))
-    digest = F.when(F.col("kept").isNull(), F.col("sha")).otherwise(F.sha2("kept", 256))
-    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", digest.alias("kept_sha256"))
+    def digests() -> DataFrame:
+        found = suffixes.repeats_removed(table(spark, sf_dir, "documents"))
+        digest = F.when(F.col("kept").isNull(), F.col("sha")).otherwise(F.sha2("kept", 256))
+        return found.select("doc_id", "n_bytes", "n_removed", "n_spans", digest.alias("kept_sha256"))
+
+    return finished(spark, "op7", digests)
 
 
 def op8_ordered_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -89,11 +94,12 @@ def op9_grammar(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_containment(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, items = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
-    return decontaminate.contaminated(docs, items).drop("key")
+    return finished(spark, "op10", lambda: decontaminate.contaminated(docs, items).drop("key"))
 
 
 def op11_wide_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return audit.interactions(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    return finished(spark, "op11", lambda: audit.interactions(docs, labels))
 
 
 def op12_cross_parsing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -18,7 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from tillroll.llm.common import byte_chunks
+from tillroll.llm.common import byte_chunks, noted
 from tillroll.storage import new_folder
 
 BEST = 20
@@ -243,6 +243,7 @@ def best_documents(docs: DataFrame, items: DataFrame, most: int = BEST) -> DataF
     path = new_folder(spark, "ranks")
     schema = f"item_id {kind.simpleString()}, rank int, doc_id long, score long"
     spark.createDataFrame([], schema).write.parquet(path)
+    noted(spark, path)
     for block in blocks((row["item_id"], row["text"]) for row in rows.toLocalIterator()):
         ids: Sequence = list(enumerate(block.ids))
         names = spark.createDataFrame(ids, f"item int, item_id {kind.simpleString()}")

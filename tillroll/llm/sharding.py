@@ -8,6 +8,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F, types as T
 from pyspark.sql.window import Window
 
+from tillroll.llm.common import shielded
+
 CELLS = 1 << 14
 VIRTUAL_NODES = 64
 
@@ -40,9 +42,9 @@ def place(
 ) -> list[tuple[int, int, int, int, int]]:
     """Pieces (cell, first rank, end rank, shard, first slot) that cover every row of every cell.
 
-    A round lets the rows of each cell, in ring order, knock at the next virtual node clockwise
-    whose shard has room. What finds no room goes on in the next round. A full shard stays full,
-    so a row sits at the first shard clockwise that had room when it came by.
+    In a round each cell, in ring order, comes to the next virtual node clockwise whose shard has
+    room at that moment, and its rows enter by rank until the shard is full. Those left go on from the
+    node after it in the next round, when every other cell has had its turn.
     """
     nodes = ring(shards, virtual_nodes, cells)
     room = capacities(sum(counts.values()), shards, slack)
@@ -97,9 +99,10 @@ def bounded_ring(
     equal keys. Rows are only ranked within their cell; which ranks of a cell go to which shard
     follows from the cells' counts, so the driver sees ``cells`` numbers at most, whatever the input.
     A null key is hashed like any other value. Repeated rows are placed one by one. An empty table
-    gives an empty result. Columns named shard or slot are replaced.
+    gives an empty result. Columns named shard or slot are replaced; others stay, whatever their names.
     """
     spark = rows.sparkSession
+    rows, restored = shielded(rows, list(dict.fromkeys([key, *order])), ["shard", "slot"])
     spot = F.xxhash64(F.col(key).cast("string"))
     cell = F.shiftrightunsigned(spot, 64 - (cells.bit_length() - 1)).cast("int")
     counted = rows.select(cell.alias("_cell")).groupBy("_cell").count().collect()
@@ -107,12 +110,13 @@ def bounded_ring(
     # Bounded by the ring's cells and virtual nodes, not by the rows.
     plan = F.broadcast(spark.createDataFrame(pieces, PIECE))
     within = Window.partitionBy("_cell").orderBy("_spot", key, *order)
-    ranked = rows.drop("shard", "slot").withColumns({"_cell": cell, "_spot": spot})
+    ranked = rows.withColumns({"_cell": cell, "_spot": spot})
     ranked = ranked.withColumn("_rank", F.row_number().over(within).cast("long") - 1)
     placed = ranked.join(plan, "_cell").filter("_rank >= _from AND _rank < _to")
-    return placed.withColumns(
+    placed = placed.withColumns(
         {"shard": F.col("_shard"), "slot": F.col("_slot") + F.col("_rank") - F.col("_from")}
-    ).drop("_cell", "_spot", "_rank", "_from", "_to", "_shard", "_slot")
+    )
+    return restored(placed.drop("_cell", "_spot", "_rank", "_from", "_to", "_shard", "_slot"))
 
 
 def shard_documents(docs: DataFrame, shards: int = 40) -> DataFrame:

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.window import Window
 
 from tillroll.llm.bloom import passing
-from tillroll.llm.common import byte_chunks, same, staged
+from tillroll.llm.common import byte_chunks, same, staged, unstaged
 from tillroll.llm.shingles import BASE, U, mixed, power
 
 LENGTH, SEED = 100, 32
@@ -223,6 +223,23 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
+def _decoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        texts = [kept.decode(errors="ignore") for kept in batch.column("kept").to_pylist()]
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("doc_id"), batch.column("key"), pa.array(texts, pa.string())], ["doc_id", "key", "text"]
+        )
+
+
+def kept_texts(removed: DataFrame) -> DataFrame:
+    """(doc_id, key, text) of changed documents: what is left as text, without the bytes of characters
+    that a cut went through. Replacement signs that the source held stay."""
+    kind = removed.schema["doc_id"].dataType.simpleString()
+    return removed.filter("kept IS NOT NULL").select("doc_id", "key", "kept").mapInArrow(
+        _decoded, f"doc_id {kind}, key int, text string"
+    )
+
+
 def _same_document(left: str, right: str):
     return same(F.col(f"{left}.doc_id"), F.col(f"{right}.doc_id")) & (
         F.col(f"{left}.key") == F.col(f"{right}.key")
@@ -245,7 +262,7 @@ def repeats_removed(docs: DataFrame) -> DataFrame:
     Documents are in the order of doc_id, nulls first; of one id, in the order of ``key``. Rows that
     repeat an id and text are one document, with one row. Documents equal to an earlier one are
     removed whole from ``LENGTH`` bytes on and take no further part. Seeds are told apart by 64-bit
-    hashes. An empty table gives an empty result; other columns are left behind.
+    hashes, different texts of one id by ``key``, which has 32 bits. An empty table gives an empty result; other columns are left behind.
     """
     text = F.coalesce(F.col("text"), F.lit(""))
     rows = docs.select("doc_id", F.hash(text).alias("key"), text.alias("text"))
@@ -260,10 +277,13 @@ def repeats_removed(docs: DataFrame) -> DataFrame:
     hits = _several(rows.mapInArrow(_anchor_rows, ANCHOR))
     hits = staged(hits.alias("h").join(copies.alias("c"), _same_document("h", "c"), "left_anti"), "hits")
     at = _several(hits).groupBy("doc_id", "key").agg(F.collect_list(F.struct("place", "seed")).alias("at"))
-    held = _of_documents(rows, staged(at, "anchors")).mapInArrow(_contexts, CONTEXT)
+    at = staged(at, "anchors")
+    unstaged(hits)
+    held = _of_documents(rows, at).mapInArrow(_contexts, CONTEXT)
     runs = held.repartition("seed").sortWithinPartitions("seed", "doc_id", "key", "place")
     ranges = runs.mapInArrow(_merged, SPAN).groupBy("doc_id", "key")
     ranges = staged(ranges.agg(F.collect_list(F.struct("first", "last")).alias("ranges")), "ranges")
+    unstaged(at)
     cut = _of_documents(rows, ranges).mapInArrow(_cut, CUT)
 
     met = marks.alias("m").join(cut.alias("x"), _same_document("m", "x"), "left")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.window import Window
 
-from tillroll.llm.common import same
+from tillroll.llm.common import same, shielded
 
 PERIOD_DAYS = 30
 ALLOW = "allow"
@@ -100,8 +100,11 @@ def filtered(captures: DataFrame, entries: DataFrame) -> DataFrame:
 
     The longest active pattern decides, equal lengths by text. Without an active pattern, and for
     null addresses or days, the action is allow. Repeated captures each get their row. Columns of
-    the captures with these names are replaced.
+    the captures with these names are replaced; others stay, whatever their names.
     """
+    captures, restored = shielded(
+        captures, ["url", "day"], ["n_active", "pattern", "since", "action", "kept"]
+    )
     rank = F.struct(F.length("pattern"), F.col("pattern"))
     verdicts = (
         active_at(captures, entries)
@@ -121,7 +124,7 @@ def filtered(captures: DataFrame, entries: DataFrame) -> DataFrame:
         verdicts, same(F.col("url"), F.col("_url")) & same(F.col("day"), F.col("_day")), "left"
     )
     action = F.coalesce(F.col("_best.action"), F.lit(ALLOW))
-    return met.withColumns(
+    met = met.withColumns(
         {
             "n_active": F.coalesce(F.col("_active"), F.lit(0)).cast("long"),
             "pattern": F.col("_best.pattern"),
@@ -129,7 +132,8 @@ def filtered(captures: DataFrame, entries: DataFrame) -> DataFrame:
             "action": action,
             "kept": action == ALLOW,
         }
-    ).drop("_url", "_day", "_active", "_best")
+    )
+    return restored(met.drop("_url", "_day", "_active", "_best"))
 
 
 def captures_of(pages: DataFrame) -> DataFrame:
