@@ -218,6 +218,8 @@ def test_repeated_bytes_equal_brute_force(spark, docs, none):
             assert r["sha"] == hashlib.sha256(kept).hexdigest()
     assert suffixes.repeats_removed(none).count() == 0
     assert suffixes.repeats_removed(docs).count() == len(dict.fromkeys(ROWS))
+    twice = {r["doc_id"]: r["n_removed"] for r in suffixes.repeats_removed(table.unionAll(table)).collect()}
+    assert twice == {i: len(t) - len(want[i]) for i, t in ((i, (t or "").encode()) for i, t in rows)}
 
 
 def test_intervals_split_by_common_prefix():

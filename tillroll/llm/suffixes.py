@@ -276,7 +276,8 @@ def repeats_removed(docs: DataFrame) -> DataFrame:
 
     hits = _several(rows.mapInArrow(_anchor_rows, ANCHOR))
     hits = staged(hits.alias("h").join(copies.alias("c"), _same_document("h", "c"), "left_anti"), "hits")
-    at = _several(hits).groupBy("doc_id", "key").agg(F.collect_list(F.struct("place", "seed")).alias("at"))
+    # A set, as a repeated row has the same anchors again.
+    at = _several(hits).groupBy("doc_id", "key").agg(F.collect_set(F.struct("place", "seed")).alias("at"))
     at = staged(at, "anchors")
     unstaged(hits)
     held = _of_documents(rows, at).mapInArrow(_contexts, CONTEXT)
