@@ -40,7 +40,7 @@ def staged(df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def _freed(spark: SparkSession) -> None:
+def freed(spark: SparkSession) -> None:
     """Let the shuffle files of work that is done go from the executors' disks, which they do when the
     driver's garbage is collected: by itself, every half hour."""
     gc.collect()
@@ -51,7 +51,7 @@ def unstaged(df: DataFrame) -> None:
     """Remove a staged table that nothing reads any more, and the shuffle files behind it."""
     for folder in {name.rpartition("/")[0] for name in df.inputFiles()}:
         remove(df.sparkSession, folder)
-    _freed(df.sparkSession)
+    freed(df.sparkSession)
 
 
 def finished(spark: SparkSession, name: str, build: Callable[[], DataFrame]) -> DataFrame:
@@ -67,7 +67,7 @@ def finished(spark: SparkSession, name: str, build: Callable[[], DataFrame]) ->
         _made.reset(outer)
         for folder in made:
             remove(spark, folder)
-        _freed(spark)
+        freed(spark)
     noted(spark, path)
     return result
 

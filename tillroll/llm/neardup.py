@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.window import Window
 
 from tillroll.llm.bloom import bloom, contains
-from tillroll.llm.common import byte_chunks, same, staged
+from tillroll.llm.common import byte_chunks, freed, same, staged, unstaged
 from tillroll.llm.components import components
 from tillroll.llm.shingles import CHUNK, U, mixed, seeds, shingle_hashes, shingle_sets
 
@@ -211,14 +211,18 @@ def _buckets(classes: DataFrame) -> DataFrame:
     rows = staged(rows, "members")
     company = rows.groupBy("node").agg(F.sum("company").alias("all"))
     place = F.struct((-F.col("all")).alias("rank"), F.col("node").alias("node"))
-    return rows.join(company, "node").select("key", "node", place.alias("place"))
+    buckets = staged(rows.join(company, "node").select("key", "node", place.alias("place")), "buckets")
+    unstaged(rows)
+    return buckets
 
 
 def _links(classes: DataFrame, set_rows: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """Confirmed links (a, b) between classes: all that join components."""
-    buckets = staged(_buckets(classes), "buckets")
+    spark = classes.sparkSession
+    buckets = _buckets(classes)
     members = buckets.select("node").distinct()
     sets = staged(set_rows(members), "sets")
+    freed(spark)
 
     def confirmed(pairs: DataFrame) -> DataFrame:
         xs = sets.select(F.col("node").alias("b"), F.col("shingles").alias("ys"))
@@ -232,7 +236,9 @@ def _links(classes: DataFrame, set_rows: Callable[[DataFrame], DataFrame]) -> Da
     pairs = pairs.groupBy(F.col("node").alias("b")).agg(F.min("first").alias("first"))
     compared = staged(pairs.select(F.col("first.node").alias("a"), "b"), "pairs")
     links = staged(confirmed(compared), "links")
+    unstaged(compared)
     rows = staged(_unfinished(buckets, components(links)), "open")
+    freed(spark)
     if rows.isEmpty():
         return links
     # How many shingles of a set are in another set, too: the most it can share.
@@ -246,6 +252,7 @@ def _links(classes: DataFrame, set_rows: Callable[[DataFrame], DataFrame]) -> Da
     buckets = rows.select("key", "node", "place").join(limits, "node")
     roots = components(links)
     rows = staged(_unfinished(buckets, roots), "limited")
+    freed(spark)
     return links.unionAll(_block_links(rows, sets))
 
 
