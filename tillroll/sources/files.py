@@ -4,12 +4,11 @@ from __future__ import annotations
 
 import re
 from collections import defaultdict
-from collections.abc import Iterable, Iterator, Mapping, Sequence
+from collections.abc import Iterable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 from urllib.parse import unquote
 
-import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
@@ -107,15 +106,6 @@ def _header(spark: SparkSession, path: str) -> tuple[str, ...]:
     return tuple(read_csv(spark, path).columns)
 
 
-def _first_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The first line that is not blank; what follows it is not read."""
-    for batch in batches:
-        for k, line in enumerate(batch.column("value").to_pylist()):
-            if line.strip():
-                yield batch.slice(k, 1)
-                return
-
-
 def _one_task_a_file(spark: SparkSession) -> SparkSession:
     """A session of the same settings whose scans never split a file nor put two in a task."""
     session = spark.newSession()
@@ -134,8 +124,16 @@ def headers(spark: SparkSession, paths: Sequence[str]) -> dict[tuple[str, ...],
     One job looks at all files: a task a file, which stops after the first line. Files are grouped by that
     line in the cluster, and one file of each group is asked for its columns.
     """
+
+    def first_lines(batches):  # local, so that workers need not import this package
+        for batch in batches:
+            for k, line in enumerate(batch.column("value").to_pylist()):
+                if line.strip():
+                    yield batch.slice(k, 1)
+                    return
+
     lines = _one_task_a_file(spark).read.text(list(paths)).select(F.col("_metadata.file_path").alias("path"), "value")
-    found = lines.mapInArrow(_first_lines, "path string, value string")
+    found = lines.mapInArrow(first_lines, "path string, value string")
     groups = found.groupBy("value").agg(F.sort_array(F.collect_list("path")).alias("paths"))
     # Spark names a row's file as an escaped address.
     listed = sorted([unquote(path) for path in row["paths"]] for row in groups.collect())
