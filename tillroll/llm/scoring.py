@@ -7,10 +7,13 @@ plus half the product of its extensions'; what a node predicts is the mixture of
 all depths with the weights that the training counts leave them.
 
 Texts are read in lower case (A-Z), after ``DEPTH`` zero bytes and with a zero byte at the end, which
-is predicted too. All learned tables are distributed: counts of byte strings and words are summed by
-key, and each block of documents gets the probabilities of the strings and words that it holds, by
-joins. Trees are tables level by level up to ``TOP`` bytes of context; what lies deeper is built from
-the strings that share those bytes, group by group, and is never written.
+is predicted too. All learned tables are distributed. A block of documents lists its distinct strings
+of ``DEPTH`` bytes and the next, with their training counts, as sorted and compressed arrays, one or
+more for each part; the ``TOP`` bytes before the predicted one decide a string's part. A part adds up
+the lists of all blocks, one after the other, and later answers each of them with the strings'
+probabilities, so a string is a table row nowhere. Trees are tables level by level up to ``TOP``
+bytes of context; what lies deeper is built from the strings that share those bytes, group by group,
+and is never written.
 """
 
 from __future__ import annotations
@@ -21,31 +24,46 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tillroll.llm.common import byte_chunks, staged
+from tillroll.llm.common import byte_chunks, freed, staged, unstaged
+from tillroll.llm.shingles import mixed
 
 DEPTH = 6
 TOP = 3  # contexts up to this depth are rows, deeper ones are arrays of one group
-GROUP_ROWS = 1 << 16
-BLOCK_BYTES = 24 << 20
+GROUP_ROWS = 1 << 16  # strings whose deep levels are built together, and the rest of the last group
+BLOCK_BYTES = 48 << 20
+PART_BYTES = 32 << 20
+MOST_PARTS, MOST_TASKS = 4096, 8192  # a task takes several parts or blocks, one at a time
+LIST_ROWS = 1 << 18  # strings in one list
+HELD_ROWS = 1 << 22  # strings that wait to be added up
 CHUNK = 1 << 20
 FOLDS, HELD_OUT = 5, 1
 
-ASKED = "block int, word binary, gram long, n long"
+LISTS = "size int, strings binary, counts binary"
+ASKED = f"block int, word binary, n long, part int, {LISTS}"
+SUMMED = f"part int, {LISTS}"
+WANTED = "part int, context long, node int"
 GROWN = "context long, node int, zeros double, ones double, children double"
+ANSWER = "block int, size int, strings binary, values binary"
 SCORED = (
-    "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double"
+    "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double, "
+    "bits_per_byte double"
 )
 U = np.uint64
+_NEAR, _FAR = 8 * (TOP + 1), 8 * (DEPTH - TOP)  # bits of a string's last TOP + 1 bytes, and of the others
 
 
 def _grams(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """All strings of ``DEPTH`` bytes and the next, as numbers, and how many each text has."""
+    """All strings of ``DEPTH`` bytes and the next, as numbers, and how many each text has.
+
+    The last TOP + 1 bytes come first in a number, so numbers in order keep contexts together.
+    """
     front = b"\0" * DEPTH
     data = np.frombuffer(b"".join(front + t + b"\0" for t in texts), np.uint8)
     grams = np.zeros(max(len(data) - DEPTH, 0), U)
-    for k in range(DEPTH + 1):
+    for k in (*range(DEPTH - TOP, DEPTH + 1), *range(DEPTH - TOP)):
         grams = (grams << U(8)) | data[k : len(data) - DEPTH + k]
     counts = np.array([len(t) + 1 for t in texts])
     starts = np.cumsum(counts + DEPTH) - counts - DEPTH
@@ -53,8 +71,44 @@ def _grams(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return grams[np.repeat(starts, counts) + at].view(np.int64), counts
 
 
-def _asked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """What each block holds: its distinct words and strings with their training counts.
+def _plain(grams: np.ndarray) -> np.ndarray:
+    """The same strings with their bytes in the order of the text."""
+    return (grams & ((1 << _FAR) - 1)) << _NEAR | grams >> _FAR
+
+
+def _packed(numbers: np.ndarray) -> bytes:
+    """Numbers of eight bytes, first the first bytes of all, compressed."""
+    return pa.compress(numbers.view(np.uint8).reshape(-1, 8).T.tobytes(), "zstd", asbytes=True)
+
+
+def _unpacked(packed: bytes, size: int, kind: type = np.int64) -> np.ndarray:
+    data = pa.decompress(packed, 8 * size, "zstd", asbytes=True)
+    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(8, size).T).view(kind).ravel()
+
+
+def _listed(grams: np.ndarray) -> bytes:
+    """Numbers in ascending order as differences."""
+    return _packed(np.diff(grams, prepend=0))
+
+
+def _grams_of(packed: bytes, size: int) -> np.ndarray:
+    return np.cumsum(_unpacked(packed, size))
+
+
+def _batch(schema: str, **columns) -> pa.RecordBatch:
+    """A batch with the columns of a schema; those not given are null."""
+    kinds = {"int": pa.int32(), "long": pa.int64(), "binary": pa.binary(), "double": pa.float64()}
+    size = len(next(iter(columns.values())))
+    fields = [field.split() for field in schema.split(", ")]
+    arrays = [
+        pa.array(columns[name], kinds[kind]) if name in columns else pa.nulls(size, kinds[kind])
+        for name, kind in fields
+    ]
+    return pa.RecordBatch.from_arrays(arrays, [name for name, _ in fields])
+
+
+def _asked(batches: Iterator[pa.RecordBatch], parts: int) -> Iterator[pa.RecordBatch]:
+    """What each block holds: its distinct words, and lists of strings, with their training counts.
 
     The documents of a block follow each other, so one block is held at a time.
     """
@@ -65,7 +119,7 @@ def _asked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             trained = ~np.array(rows.column("held_out").to_pylist(), bool)
             for block in np.unique(blocks):
                 if block != now and now is not None:
-                    yield from _block(now, words, grams)
+                    yield from _block(now, words, grams, parts)
                     words, grams = Counter(), []
                 now = block
                 for train in (True, False):
@@ -79,34 +133,66 @@ def _asked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                         words.update(found if train else dict.fromkeys(found, 0))
                     values, n = np.unique(_grams(own)[0], return_counts=True)
                     grams.append((values, n if train else np.zeros_like(n)))
-                if len(grams) > 16:
+                if sum(len(v) for v, _ in grams[1:]) > max(HELD_ROWS, len(grams[0][0])):
                     grams = [_summed(grams)]
     if now is not None:
-        yield from _block(now, words, grams)
+        yield from _block(now, words, grams, parts)
 
 
-def _block(block: int, words: Counter, grams: list) -> Iterator[pa.RecordBatch]:
+def _block(block: int, words: Counter, grams: list, parts: int) -> Iterator[pa.RecordBatch]:
+    names = list(words)
+    yield _batch(ASKED, block=[block] * len(names), word=names, n=list(words.values()))
     values, n = _summed(grams)
-    yield _rows(int(block), list(words), None, list(words.values()))
-    yield _rows(int(block), None, values, n)
+    part = (mixed((values >> _FAR + 8).astype(U)) % U(parts)).astype(np.int32)
+    order = np.argsort(part, kind="stable")
+    values, n = values[order], n[order]
+    edges = np.searchsorted(part[order], np.arange(parts + 1))
+    for k in range(parts):
+        for start in range(edges[k], edges[k + 1], LIST_ROWS):
+            at = slice(start, min(start + LIST_ROWS, edges[k + 1]))
+            yield _lists(ASKED, values[at], n[at], block=[block], part=[k])
+
+
+def _lists(schema: str, grams: np.ndarray, n: np.ndarray, **others) -> pa.RecordBatch:
+    return _batch(schema, size=[len(n)], strings=[_listed(grams)], counts=[_packed(n)], **others)
 
 
 def _summed(held: list) -> tuple[np.ndarray, np.ndarray]:
-    values, which = np.unique(np.concatenate([v for v, _ in held]), return_inverse=True)
-    return values, np.bincount(which, np.concatenate([n for _, n in held])).astype(np.int64)
-
-
-def _rows(block: int, words, grams, n) -> pa.RecordBatch:
-    size = len(n)
-    return pa.RecordBatch.from_arrays(
-        [
-            pa.array(np.full(size, block, np.int32)),
-            pa.nulls(size, pa.binary()) if words is None else pa.array(words, pa.binary()),
-            pa.nulls(size, pa.int64()) if grams is None else pa.array(grams),
-            pa.array(n, pa.int64()),
-        ],
-        ["block", "word", "gram", "n"],
-    )
+    """Strings in order with their summed counts, of lists that are each in order."""
+    values = np.concatenate([v for v, _ in held])
+    order = np.argsort(values, kind="stable")
+    values, n = values[order], np.concatenate([n for _, n in held])[order]
+    first = np.flatnonzero(np.concatenate([[True], values[1:] != values[:-1]]))
+    return values[first], np.add.reduceat(n, first)
+
+
+def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The strings of each part with their counts over all blocks, in lists that cut no context apart.
+
+    Lists come by part; besides a part's strings only the lists not yet added to them are held.
+    """
+    now, held = None, []
+    for batch in batches:
+        for part, size, strings, counts in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            if part != now and now is not None:
+                yield from _cut(now, *_summed(held))
+                held = []
+            now = part
+            held.append((_grams_of(strings, size), _unpacked(counts, size)))
+            if sum(len(v) for v, _ in held[1:]) > max(HELD_ROWS, len(held[0][0])):
+                held = [_summed(held)]
+    if now is not None:
+        yield from _cut(now, *_summed(held))
+
+
+def _cut(part: int, grams: np.ndarray, n: np.ndarray) -> Iterator[pa.RecordBatch]:
+    context = grams >> _FAR + 8
+    edges = np.flatnonzero(np.append(context[1:] != context[:-1], True)) + 1
+    start = 0
+    while start < len(grams):
+        at = np.searchsorted(edges, min(start + GROUP_ROWS, len(grams)))
+        yield _lists(SUMMED, grams[start : edges[at]], n[start : edges[at]], part=[part])
+        start = edges[at]
 
 
 def _log_gamma(x: Column) -> Column:
@@ -129,34 +215,8 @@ def _estimate(zeros: Column, ones: Column) -> Column:
     )
 
 
-def _nodes(grams: DataFrame) -> DataFrame:
-    """The nodes that strings pass: context and node of the binary tree."""
-    steps = F.explode(F.sequence(F.lit(0), F.lit(7))).alias("k")
-    return grams.select("gram", steps).select(
-        F.shiftright("gram", 8).alias("context"),
-        F.expr("shiftright(256 + (gram & 255), 8 - k)").cast("int").alias("node"),
-    )
-
-
-def _whole_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
-    """Rows sorted by context in tables of about ``GROUP_ROWS`` rows that cut no context apart."""
-    held, rows = [], 0
-    for batch in batches:
-        held.append(batch)
-        rows += batch.num_rows
-        if rows >= GROUP_ROWS:
-            table = pa.Table.from_batches(held)
-            context = table.column("context").to_numpy()
-            cut = int(np.searchsorted(context, context[-1]))
-            if cut:
-                yield table.slice(0, cut)
-            held, rows = table.slice(cut).to_batches(), rows - cut
-    if rows:
-        yield pa.Table.from_batches(held)
-
-
 def _steps(grams: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Keys (context bytes, then the node's) and bits of the eight decisions of each string."""
+    """Of plain strings: keys (context bytes, then the node's) and bits of the eight decisions of each string."""
     k, byte = np.arange(8), grams[:, None] & 255
     return (grams[:, None] & ~255) | ((256 + byte) >> (8 - k)), (byte >> (7 - k)) & 1
 
@@ -198,57 +258,96 @@ def _deep(grams: np.ndarray, n: np.ndarray) -> tuple[list, tuple]:
     return levels, (keys, zeros, ones, children)
 
 
+def _held(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """Part, strings and counts of each summed list."""
+    for batch in batches:
+        for part, size, strings, counts in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            yield part, _grams_of(strings, size), _unpacked(counts, size)
+
+
 def _grown(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Per context of TOP bytes and node the counts and what its extensions' probabilities multiply to."""
-    for rows in _whole_groups(batches):
-        grams, n = rows.column("gram").to_numpy(), rows.column("n").to_numpy()
-        keys, zeros, ones, children = _deep(grams, n)[1]
-        columns = [keys >> 8, (keys & 255).astype(np.int32), zeros, ones, children]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(c) for c in columns], ["context", "node", "zeros", "ones", "children"]
-        )
+    for _, grams, n in _held(batches):
+        keys, zeros, ones, children = _deep(_plain(grams[n > 0]), n[n > 0])[1]
+        yield _batch(GROWN, context=keys >> 8, node=keys & 255, zeros=zeros, ones=ones, children=children)
+
+
+def _wanted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The nodes that strings pass, with their contexts of TOP bytes; each once."""
+    for part, grams, _ in _held(batches):
+        keys = np.unique(_steps(np.unique(grams >> _FAR))[0])
+        yield _batch(WANTED, part=np.full(len(keys), part), context=keys >> 8, node=keys & 255)
 
 
 def _answered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(gram, value) of strings that come with the mixtures of their contexts at TOP (node >= 0)."""
-    for rows in _whole_groups(batches):
-        context, node, given, left, grams, n = (rows.column(c).to_numpy() for c in rows.column_names)
-        top = np.flatnonzero(node >= 0)
-        top = top[np.argsort(context[top] << 8 | node[top])]
-        known, given, left = context[top] << 8 | node[top], given[top], left[top]
-        grams, n = grams[node < 0], n[node < 0]
-        keys, bits = _steps(grams)
-        one = (given + left * 0.5)[np.searchsorted(known, _short(keys, TOP))]
-        levels, (at_top, *_) = _deep(grams[n > 0], n[n > 0])
-        at = np.searchsorted(known, at_top)
-        given, left = given[at], left[at]
-        for depth, (held, up, zeros, ones, stop) in enumerate(levels, TOP + 1):
-            given, left = given[up], left[up]
-            given = given + left * stop * (ones + 0.5) / (zeros + ones + 1)
-            left = left * (1 - stop)
-            if len(held):
-                asked = _short(keys, depth)
-                at = np.minimum(np.searchsorted(held, asked), len(held) - 1)
-                one = np.where(held[at] == asked, (given + left * 0.5)[at], one)
-        value = np.log10(np.where(bits == 1, one, 1 - one)).sum(axis=1)
-        yield pa.RecordBatch.from_arrays([pa.array(grams), pa.array(value)], ["gram", "value"])
-
-
-def _by_context(rows: DataFrame) -> DataFrame:
-    return rows.repartition("context").sortWithinPartitions("context")
-
-
-def _context() -> Column:
-    return F.shiftright("gram", 8).bitwiseAND(F.lit((1 << 8 * TOP) - 1)).alias("context")
-
-
-def _trees(counts: DataFrame) -> list[DataFrame]:
+    """The lists of all blocks with the values of their strings.
+
+    Rows come by part; within one first the mixtures of its contexts at TOP, then its summed lists,
+    then those of the blocks, which are answered one by one.
+    """
+    now, tops, found, ready = None, [], [], None
+    for batch in batches:
+        part, kind = (batch.column(c).to_numpy() for c in ("part", "kind"))
+        starts = np.flatnonzero((np.diff(part, prepend=-1) != 0) | (np.diff(kind, prepend=-1) != 0))
+        for start, end in zip(starts, [*starts[1:], len(part)], strict=True):
+            rows = batch.slice(start, end - start)
+            if part[start] != now:
+                now, tops, found, ready = part[start], [], [], None
+            if kind[start] == 0:
+                tops.append([rows.column(c).to_numpy() for c in ("context", "node", "given", "left")])
+                continue
+            names = ("block", "size", "strings", "counts")
+            if isinstance(tops, list):
+                tops = _in_order(tops)
+            for block, size, strings, counts in zip(*(rows.column(c).to_pylist() for c in names), strict=True):
+                grams = _grams_of(strings, size)
+                if kind[start] == 1:
+                    found.append((grams, _values(grams, _unpacked(counts, size), *tops)))
+                    continue
+                if ready is None:
+                    ready = [np.concatenate(x) for x in zip(*found, strict=True)]
+                    order = np.argsort(ready[0], kind="stable")
+                    ready, found = [x[order] for x in ready], []
+                values = _packed(ready[1][np.searchsorted(ready[0], grams)])
+                yield _batch(ANSWER, block=[block], size=[size], strings=[strings], values=[values])
+
+
+def _in_order(tops: list) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    context, node, given, left = (np.concatenate(x) for x in zip(*tops, strict=True))
+    keys = context << 8 | node
+    order = np.argsort(keys)
+    return keys[order], given[order], left[order]
+
+
+def _values(grams: np.ndarray, n: np.ndarray, known: np.ndarray, given: np.ndarray, left: np.ndarray) -> np.ndarray:
+    """log10 of the probability of each string's last byte after the others; whole contexts only.
+
+    ``known`` are keys of contexts at TOP, with their mixtures so far and the weights left.
+    """
+    grams = _plain(grams)
+    keys, bits = _steps(grams)
+    one = (given + left * 0.5)[np.searchsorted(known, _short(keys, TOP))]
+    levels, (at_top, *_) = _deep(grams[n > 0], n[n > 0])
+    at = np.searchsorted(known, at_top)
+    given, left = given[at], left[at]
+    for depth, (held, up, zeros, ones, stop) in enumerate(levels, TOP + 1):
+        given, left = given[up], left[up]
+        given = given + left * stop * (ones + 0.5) / (zeros + ones + 1)
+        left = left * (1 - stop)
+        if len(held):
+            asked = _short(keys, depth)
+            at = np.minimum(np.searchsorted(held, asked), len(held) - 1)
+            one = np.where(held[at] == asked, (given + left * 0.5)[at], one)
+    return np.log10(np.where(bits == 1, one, 1 - one)).sum(axis=1)
+
+
+def _trees(summed: DataFrame) -> list[DataFrame]:
     """Per depth 0 to TOP: (context, node, sum, rest): a node's mixed probability of a one.
 
     ``sum`` is the part of the estimates up to this depth, ``rest`` the weight left for extensions;
     an extension that was never seen has probability one half.
     """
-    level = _by_context(counts.select(_context(), "gram", "n")).mapInArrow(_grown, GROWN)
+    level = summed.mapInArrow(_grown, GROWN)
     levels = []
     for depth in range(TOP, -1, -1):
         if levels:
@@ -263,14 +362,15 @@ def _trees(counts: DataFrame) -> list[DataFrame]:
         level = level.withColumn("weighted", both - math.log(2))
         level = level.withColumn("stop", F.exp(F.col("own") - math.log(2) - F.col("weighted")))
         levels.insert(0, staged(level.drop("own", "children"), f"level{depth}"))
-    mixed = []
+    mixtures = []
     for depth, level in enumerate(levels):
+        tree = level
         one = (F.col("ones") + 0.5) / (F.col("zeros") + F.col("ones") + 1.0)
         level = level.select("context", "node", one.alias("one"), "stop")
-        if not mixed:
+        if not mixtures:
             level = level.withColumns({"given": F.lit(0.0), "left": F.lit(1.0)})
         else:
-            parent = mixed[-1].select(
+            parent = mixtures[-1].select(
                 F.col("context").alias("parent"), "node", F.col("sum").alias("given"), F.col("rest").alias("left")
             )
             inner = F.col("context").bitwiseAND(F.lit((1 << 8 * (depth - 1)) - 1))
@@ -279,39 +379,41 @@ def _trees(counts: DataFrame) -> list[DataFrame]:
         above = level.select(
             "context", "node", total.alias("sum"), (F.col("left") * (1 - F.col("stop"))).alias("rest")
         )
-        mixed.append(staged(above, f"mixed{depth}"))
-    return mixed
-
-
-def _probabilities(strings: DataFrame) -> DataFrame:
-    """(gram, value): log10 of the probability of a string's last byte after the others.
-
-    ``strings`` has every string once with its training count ``n``, which may be zero.
-    """
-    trees = _trees(strings.filter("n > 0"))
-    short = F.col("gram").bitwiseAND(F.lit((1 << 8 * (TOP + 1)) - 1)).alias("gram")
-    wanted = _nodes(strings.select(short).distinct()).distinct()
-    known = wanted.join(trees[TOP], ["context", "node"], "left")
+        mixtures.append(staged(above, f"mixed{depth}"))
+        unstaged(tree)
+    return mixtures
+
+
+def _probabilities(asked: DataFrame) -> DataFrame:
+    """The lists of all blocks (block, part, size, strings, counts) with log10 of the probability of
+    each string's last byte after the others."""
+    lists = asked.select("part", "size", "strings", "counts").repartition("part").sortWithinPartitions("part")
+    summed = staged(lists.mapInArrow(_merged, SUMMED), "strings")
+    freed(asked.sparkSession)
+    trees = _trees(summed)
+    known = summed.mapInArrow(_wanted, WANTED).join(trees[TOP], ["context", "node"], "left")
     for depth in range(TOP - 1, -1, -1):
         one = (F.col("sum") + F.col("rest") * 0.5).alias("sum")
         shorter = trees[depth].select(F.col("context").alias("short"), "node", one, F.lit(0.0).alias("rest"))
         inner = F.col("context").bitwiseAND(F.lit((1 << 8 * depth) - 1))
         found = known.filter("sum IS NULL").drop("sum", "rest").withColumn("short", inner)
-        found = found.join(shorter, ["short", "node"], "left").select("context", "node", "sum", "rest")
-        known = staged(known.filter("sum IS NOT NULL").unionByName(found), "known")
-    known = known.select(
+        found = found.join(shorter, ["short", "node"], "left").select("part", "context", "node", "sum", "rest")
+        before, kept = known, known.filter("sum IS NOT NULL").select(*found.columns)
+        known = staged(kept.unionByName(found), "known")
+        if depth < TOP - 1:
+            unstaged(before)
+    tops = known.select(
+        "part",
+        F.lit(0).alias("kind"),
         "context",
         "node",
         F.coalesce("sum", F.lit(0.5)).alias("given"),
         F.coalesce("rest", F.lit(0.0)).alias("left"),
-        F.lit(-1).cast("long").alias("gram"),
-        F.lit(0).cast("long").alias("n"),
-    )
-    none = F.lit(0.0)
-    rows = strings.select(
-        _context(), F.lit(-1).alias("node"), none.alias("given"), none.alias("left"), "gram", "n"
     )
-    return _by_context(known.unionByName(rows)).mapInArrow(_answered, "gram long, value double")
+    sums = summed.withColumn("kind", F.lit(1))
+    rows = tops.unionByName(sums, True).unionByName(asked.withColumn("kind", F.lit(2)), True)
+    rows = rows.repartition("part").sortWithinPartitions("part", "kind")
+    return rows.mapInArrow(_answered, ANSWER)
 
 
 def _scored(docs: pa.Table, known: pa.Table) -> pa.Table:
@@ -319,10 +421,15 @@ def _scored(docs: pa.Table, known: pa.Table) -> pa.Table:
     is_word = known.column("word").is_valid()
     words = known.filter(is_word)
     value = dict(zip(words.column("word").to_pylist(), words.column("value").to_pylist(), strict=True))
-    rest = known.filter(known.column("gram").is_valid()).sort_by("gram")
-    grams, logs = rest.column("gram").to_numpy(), rest.column("value").to_numpy()
+    rest = known.filter(pc.invert(is_word)).select(["size", "strings", "values"])
+    rest = list(zip(*(c.to_pylist() for c in rest.columns), strict=True))
+    grams = np.concatenate([_grams_of(strings, size) for size, strings, _ in rest])
+    logs = np.concatenate([_unpacked(values, size, np.float64) for size, _, values in rest])
+    order = np.argsort(grams, kind="stable")
+    grams, logs = grams[order], logs[order]
     unknown = min(value.values(), default=0.0) if len(words) else 0.0
     floor = words.column("floor")[0].as_py() if len(words) else unknown
+    names = ["doc_id", "held_out", "n_tokens", "n_known", "base_score", "score", "bits_per_byte"]
     out = []
     for batch in docs.to_batches():
         for rows, texts in byte_chunks(batch, CHUNK):
@@ -337,6 +444,7 @@ def _scored(docs: pa.Table, known: pa.Table) -> pa.Table:
                 base.append(logs_of.sum())
                 sizes.append(len(tokens))
                 seen.append(int((logs_of > floor).sum()))
+            bits = -scores / math.log10(2) / counts
             out.append(
                 pa.RecordBatch.from_arrays(
                     [
@@ -346,12 +454,12 @@ def _scored(docs: pa.Table, known: pa.Table) -> pa.Table:
                         pa.array(seen, pa.int64()),
                         pa.array(base, pa.float64()),
                         pa.array(scores),
+                        pa.array(bits),
                     ],
-                    ["doc_id", "held_out", "n_tokens", "n_known", "base_score", "score"],
+                    names,
                 )
             )
-    names = ["doc_id", "held_out", "n_tokens", "n_known", "base_score", "score"]
-    kinds = [pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.float64()]
+    kinds = [pa.int64(), pa.bool_(), pa.int64(), pa.int64(), *[pa.float64()] * 3]
     return pa.Table.from_batches(out, pa.schema(list(zip(names, kinds, strict=True))))
 
 
@@ -360,7 +468,8 @@ def scored(docs: DataFrame) -> DataFrame:
 
     Held out is a document whose crc32 of the id as text leaves 1 modulo 5; a null id counts as the
     empty text. A null text is empty: it has the end alone. ``train_tokens`` is the number of
-    training tokens. Repeated rows each count and each get their row. Without training documents
+    training tokens; ``bits_per_byte`` the code length of the text's bytes and its end, per byte of both.
+    Strings that share their last ``TOP`` context bytes are looked at in one task. Repeated rows each count and each get their row. Without training documents
     every binary decision has probability one half. An empty table gives an empty result; other
     columns are left behind.
     """
@@ -370,8 +479,14 @@ def scored(docs: DataFrame) -> DataFrame:
     blocks = size // BLOCK_BYTES + 1
     spread = F.pmod(F.xxhash64("doc_id", F.crc32(text.cast("binary"))), F.lit(blocks)).cast("int")
     rows = docs.select("doc_id", text.alias("text"), (fold == HELD_OUT).alias("held_out"), spread.alias("block"))
-    rows = rows.repartition(blocks, "block").sortWithinPartitions("block")
-    asked = staged(rows.mapInArrow(_asked, ASKED), "asked", "zstd")
+    rows = rows.repartition(min(blocks, MOST_TASKS), "block").sortWithinPartitions("block")
+    parts = min(size // PART_BYTES + 1, MOST_PARTS)
+
+    def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return _asked(batches, parts)
+
+    asked = staged(rows.mapInArrow(listed, ASKED), "asked", "zstd")
+    freed(docs.sparkSession)
 
     words = asked.filter("word IS NOT NULL").select("block", "word", "n")
     counted = words.groupBy("word").agg(F.sum("n").alias("c"))
@@ -380,16 +495,11 @@ def scored(docs: DataFrame) -> DataFrame:
     base = words.select("block", "word").join(counted, "word").select(
         "block",
         "word",
-        F.lit(None).cast("long").alias("gram"),
         F.log10((F.col("c") + 0.5) / F.lit(scale)).alias("value"),
     )
-    strings = asked.filter("gram IS NOT NULL").select("block", "gram", "n")
-    sums = staged(strings.groupBy("gram").agg(F.sum("n").alias("n")), "strings")
-    values = _probabilities(sums)
-    model = strings.select("block", "gram").join(values, "gram").select(
-        "block", F.lit(None).cast("binary").alias("word"), "gram", "value"
-    )
+    lists = asked.filter("word IS NULL").select("block", "part", "size", "strings", "counts")
+    model = _probabilities(lists)
     floor = math.log10(0.5 / scale)
-    answers = base.unionByName(model).withColumn("floor", F.lit(floor * (1 - 1e-12)))
+    answers = base.unionByName(model, True).withColumn("floor", F.lit(floor * (1 - 1e-12)))
     done = rows.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(_scored, SCORED)
     return done.withColumn("train_tokens", F.lit(total).cast("long"))
