@@ -8,10 +8,10 @@ all depths with the weights that the training counts leave them.
 
 Texts are read in lower case (A-Z), after ``DEPTH`` zero bytes and with a zero byte at the end, which
 is predicted too. All learned tables are distributed. A block of documents lists its distinct strings
-of ``DEPTH`` bytes and the next, with their training counts, as sorted and compressed arrays, one or
+of ``DEPTH`` bytes and the next and its distinct words, with their training counts, as sorted and compressed arrays, one or
 more for each part; the ``TOP`` bytes before the predicted one decide a string's part. A part adds up
-the lists of all blocks, one after the other, and later answers each of them with the strings'
-probabilities, so a string is a table row nowhere. Trees are tables level by level up to ``TOP``
+the lists of all blocks, one after the other, and later answers each of them with the words' counts and
+the strings' probabilities, so neither is a table row anywhere. Words are told apart by 64-bit hashes. Trees are tables level by level up to ``TOP``
 bytes of context; what lies deeper is built from the strings that share those bytes, group by group,
 and is never written.
 """
@@ -19,8 +19,7 @@ and is never written.
 from __future__ import annotations
 
 import math
-from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -28,7 +27,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tillroll.llm.common import byte_chunks, freed, staged, unstaged
-from tillroll.llm.shingles import mixed
+from tillroll.llm.shingles import mixed, word_hashes
 
 DEPTH = 6
 TOP = 3  # contexts up to this depth are rows, deeper ones are arrays of one group
@@ -42,11 +41,14 @@ CHUNK = 1 << 20
 FOLDS, HELD_OUT = 5, 1
 
 LISTS = "size int, strings binary, counts binary"
-ASKED = f"block int, word binary, n long, part int, {LISTS}"
+ASKED = f"block int, kind int, part int, {LISTS}"
 SUMMED = f"part int, {LISTS}"
 WANTED = "part int, context long, node int"
 GROWN = "context long, node int, zeros double, ones double, children double"
-ANSWER = "block int, size int, strings binary, values binary"
+ANSWER = "block int, kind int, size int, strings binary, values binary"
+STRINGS, WORDS = 0, 1  # kinds of lists
+TOPS, SUMS, BLOCKS = 0, 1, 2  # what a part reads, in this order
+END = 0  # the number of the token that ends a text
 SCORED = (
     "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double, "
     "bits_per_byte double"
@@ -71,6 +73,12 @@ def _grams(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return grams[np.repeat(starts, counts) + at].view(np.int64), counts
 
 
+def _tokens(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """The words of texts, each text's with its end, as numbers, and how many each text has."""
+    words, counts = word_hashes(texts)
+    return np.insert(words.view(np.int64), np.cumsum(counts), END), counts + 1
+
+
 def _plain(grams: np.ndarray) -> np.ndarray:
     """The same strings with their bytes in the order of the text."""
     return (grams & ((1 << _FAR) - 1)) << _NEAR | grams >> _FAR
@@ -108,49 +116,51 @@ def _batch(schema: str, **columns) -> pa.RecordBatch:
 
 
 def _asked(batches: Iterator[pa.RecordBatch], parts: int) -> Iterator[pa.RecordBatch]:
-    """What each block holds: its distinct words, and lists of strings, with their training counts.
+    """Lists of the distinct words and strings that each block holds, with their training counts.
 
     The documents of a block follow each other, so one block is held at a time.
     """
-    now, words, grams = None, Counter(), []
+    now, held = None, {STRINGS: [], WORDS: []}
     for batch in batches:
         for rows, texts in byte_chunks(batch, CHUNK):
             blocks = rows.column("block").to_numpy()
             trained = ~np.array(rows.column("held_out").to_pylist(), bool)
             for block in np.unique(blocks):
                 if block != now and now is not None:
-                    yield from _block(now, words, grams, parts)
-                    words, grams = Counter(), []
+                    yield from _block(now, held, parts)
+                    held = {STRINGS: [], WORDS: []}
                 now = block
                 for train in (True, False):
                     at = np.flatnonzero((blocks == block) & (trained == train))
                     own = [texts[i].lower() for i in at]
                     if not own:
                         continue
-                    for text in own:
-                        found = text.split()
-                        found.append(b"")  # the end
-                        words.update(found if train else dict.fromkeys(found, 0))
-                    values, n = np.unique(_grams(own)[0], return_counts=True)
-                    grams.append((values, n if train else np.zeros_like(n)))
-                if sum(len(v) for v, _ in grams[1:]) > max(HELD_ROWS, len(grams[0][0])):
-                    grams = [_summed(grams)]
+                    for kind, numbers in ((STRINGS, _grams(own)[0]), (WORDS, _tokens(own)[0])):
+                        values, n = np.unique(numbers, return_counts=True)
+                        _add(held[kind], values, n if train else np.zeros_like(n))
     if now is not None:
-        yield from _block(now, words, grams, parts)
+        yield from _block(now, held, parts)
+
+
+def _add(held: list, values: np.ndarray, n: np.ndarray) -> None:
+    """One more list; those that wait are added to the first when they are as long as that one."""
+    held.append((values, n))
+    if sum(len(v) for v, _ in held[1:]) > max(HELD_ROWS, len(held[0][0])):
+        held[:] = [_summed(held)]
 
 
-def _block(block: int, words: Counter, grams: list, parts: int) -> Iterator[pa.RecordBatch]:
-    names = list(words)
-    yield _batch(ASKED, block=[block] * len(names), word=names, n=list(words.values()))
-    values, n = _summed(grams)
-    part = (mixed((values >> _FAR + 8).astype(U)) % U(parts)).astype(np.int32)
-    order = np.argsort(part, kind="stable")
-    values, n = values[order], n[order]
-    edges = np.searchsorted(part[order], np.arange(parts + 1))
-    for k in range(parts):
-        for start in range(edges[k], edges[k + 1], LIST_ROWS):
-            at = slice(start, min(start + LIST_ROWS, edges[k + 1]))
-            yield _lists(ASKED, values[at], n[at], block=[block], part=[k])
+def _block(block: int, held: dict[int, list], parts: int) -> Iterator[pa.RecordBatch]:
+    for kind, lists in held.items():
+        values, n = _summed(lists)
+        lists.clear()
+        part = (mixed((values >> _FAR + 8).astype(U)) % U(parts)).astype(np.int32)
+        order = np.argsort(part, kind="stable")
+        values, n = values[order], n[order]
+        edges = np.searchsorted(part[order], np.arange(parts + 1))
+        for k in range(parts):
+            for start in range(edges[k], edges[k + 1], LIST_ROWS):
+                at = slice(start, min(start + LIST_ROWS, edges[k + 1]))
+                yield _lists(ASKED, values[at], n[at], block=[block], kind=[kind], part=[k])
 
 
 def _lists(schema: str, grams: np.ndarray, n: np.ndarray, **others) -> pa.RecordBatch:
@@ -178,9 +188,7 @@ def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 yield from _cut(now, *_summed(held))
                 held = []
             now = part
-            held.append((_grams_of(strings, size), _unpacked(counts, size)))
-            if sum(len(v) for v, _ in held[1:]) > max(HELD_ROWS, len(held[0][0])):
-                held = [_summed(held)]
+            _add(held, _grams_of(strings, size), _unpacked(counts, size))
     if now is not None:
         yield from _cut(now, *_summed(held))
 
@@ -279,37 +287,50 @@ def _wanted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield _batch(WANTED, part=np.full(len(keys), part), context=keys >> 8, node=keys & 255)
 
 
-def _answered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The lists of all blocks with the values of their strings.
+def _totals(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for _, _, n in _held(batches):
+        yield _batch("total long, known long", total=[int(n.sum())], known=[int((n > 0).sum())])
+
+
+def _counts(words: np.ndarray, n: np.ndarray, _tops: None) -> np.ndarray:
+    return n.astype(np.float64)
+
+
+def _answered(batches: Iterator[pa.RecordBatch], kind: int, values_of: Callable) -> Iterator[pa.RecordBatch]:
+    """The lists of all blocks with the values of their strings or words.
 
     Rows come by part; within one first the mixtures of its contexts at TOP, then its summed lists,
     then those of the blocks, which are answered one by one.
     """
     now, tops, found, ready = None, [], [], None
     for batch in batches:
-        part, kind = (batch.column(c).to_numpy() for c in ("part", "kind"))
-        starts = np.flatnonzero((np.diff(part, prepend=-1) != 0) | (np.diff(kind, prepend=-1) != 0))
+        part, what = (batch.column(c).to_numpy() for c in ("part", "what"))
+        starts = np.flatnonzero((np.diff(part, prepend=-1) != 0) | (np.diff(what, prepend=-1) != 0))
         for start, end in zip(starts, [*starts[1:], len(part)], strict=True):
             rows = batch.slice(start, end - start)
             if part[start] != now:
                 now, tops, found, ready = part[start], [], [], None
-            if kind[start] == 0:
+            if what[start] == TOPS:
                 tops.append([rows.column(c).to_numpy() for c in ("context", "node", "given", "left")])
                 continue
-            names = ("block", "size", "strings", "counts")
             if isinstance(tops, list):
-                tops = _in_order(tops)
+                tops = _in_order(tops) if tops else None
+            names = ("block", "size", "strings", "counts")
             for block, size, strings, counts in zip(*(rows.column(c).to_pylist() for c in names), strict=True):
-                grams = _grams_of(strings, size)
-                if kind[start] == 1:
-                    found.append((grams, _values(grams, _unpacked(counts, size), *tops)))
+                numbers = _grams_of(strings, size)
+                if what[start] == SUMS:
+                    found.append((numbers, values_of(numbers, _unpacked(counts, size), tops)))
                     continue
                 if ready is None:
-                    ready = [np.concatenate(x) for x in zip(*found, strict=True)]
-                    order = np.argsort(ready[0], kind="stable")
-                    ready, found = [x[order] for x in ready], []
-                values = _packed(ready[1][np.searchsorted(ready[0], grams)])
-                yield _batch(ANSWER, block=[block], size=[size], strings=[strings], values=[values])
+                    ready, found = _sorted(found), []
+                values = _packed(ready[1][np.searchsorted(ready[0], numbers)])
+                yield _batch(ANSWER, block=[block], kind=[kind], size=[size], strings=[strings], values=[values])
+
+
+def _sorted(lists: list) -> tuple[np.ndarray, np.ndarray]:
+    numbers, values = (np.concatenate(x) for x in zip(*lists, strict=True))
+    order = np.argsort(numbers, kind="stable")
+    return numbers[order], values[order]
 
 
 def _in_order(tops: list) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -319,11 +340,12 @@ def _in_order(tops: list) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return keys[order], given[order], left[order]
 
 
-def _values(grams: np.ndarray, n: np.ndarray, known: np.ndarray, given: np.ndarray, left: np.ndarray) -> np.ndarray:
+def _values(grams: np.ndarray, n: np.ndarray, tops: tuple) -> np.ndarray:
     """log10 of the probability of each string's last byte after the others; whole contexts only.
 
-    ``known`` are keys of contexts at TOP, with their mixtures so far and the weights left.
+    ``tops`` are keys of contexts at TOP, with their mixtures so far and the weights left.
     """
+    known, given, left = tops
     grams = _plain(grams)
     keys, bits = _steps(grams)
     one = (given + left * 0.5)[np.searchsorted(known, _short(keys, TOP))]
@@ -384,12 +406,30 @@ def _trees(summed: DataFrame) -> list[DataFrame]:
     return mixtures
 
 
+def _added_up(asked: DataFrame, name: str) -> DataFrame:
+    lists = asked.select("part", "size", "strings", "counts").repartition("part").sortWithinPartitions("part")
+    summed = staged(lists.mapInArrow(_merged, SUMMED), name)
+    freed(asked.sparkSession)
+    return summed
+
+
+def _answers(parts: list[DataFrame], kind: int, values_of: Callable) -> DataFrame:
+    """Answers to the last table's lists; the tables are what a part reads, in order."""
+    rows = None
+    for what, table in enumerate(parts, TOPS + 3 - len(parts)):
+        table = table.withColumn("what", F.lit(what))
+        rows = table if rows is None else rows.unionByName(table, True)
+
+    def answered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return _answered(batches, kind, values_of)
+
+    return rows.repartition("part").sortWithinPartitions("part", "what").mapInArrow(answered, ANSWER)
+
+
 def _probabilities(asked: DataFrame) -> DataFrame:
     """The lists of all blocks (block, part, size, strings, counts) with log10 of the probability of
     each string's last byte after the others."""
-    lists = asked.select("part", "size", "strings", "counts").repartition("part").sortWithinPartitions("part")
-    summed = staged(lists.mapInArrow(_merged, SUMMED), "strings")
-    freed(asked.sparkSession)
+    summed = _added_up(asked, "strings")
     trees = _trees(summed)
     known = summed.mapInArrow(_wanted, WANTED).join(trees[TOP], ["context", "node"], "left")
     for depth in range(TOP - 1, -1, -1):
@@ -404,57 +444,50 @@ def _probabilities(asked: DataFrame) -> DataFrame:
             unstaged(before)
     tops = known.select(
         "part",
-        F.lit(0).alias("kind"),
         "context",
         "node",
         F.coalesce("sum", F.lit(0.5)).alias("given"),
         F.coalesce("rest", F.lit(0.0)).alias("left"),
     )
-    sums = summed.withColumn("kind", F.lit(1))
-    rows = tops.unionByName(sums, True).unionByName(asked.withColumn("kind", F.lit(2)), True)
-    rows = rows.repartition("part").sortWithinPartitions("part", "kind")
-    return rows.mapInArrow(_answered, ANSWER)
-
-
-def _scored(docs: pa.Table, known: pa.Table) -> pa.Table:
-    """The scores of one block's documents from the values of its words and strings."""
-    is_word = known.column("word").is_valid()
-    words = known.filter(is_word)
-    value = dict(zip(words.column("word").to_pylist(), words.column("value").to_pylist(), strict=True))
-    rest = known.filter(pc.invert(is_word)).select(["size", "strings", "values"])
-    rest = list(zip(*(c.to_pylist() for c in rest.columns), strict=True))
-    grams = np.concatenate([_grams_of(strings, size) for size, strings, _ in rest])
-    logs = np.concatenate([_unpacked(values, size, np.float64) for size, _, values in rest])
-    order = np.argsort(grams, kind="stable")
-    grams, logs = grams[order], logs[order]
-    unknown = min(value.values(), default=0.0) if len(words) else 0.0
-    floor = words.column("floor")[0].as_py() if len(words) else unknown
+    return _answers([tops, summed, asked], STRINGS, _values)
+
+
+def _known(known: pa.Table, kind: int) -> tuple[np.ndarray, np.ndarray]:
+    rows = known.filter(pc.equal(known.column("kind"), kind))
+    lists = zip(*(rows.column(c).to_pylist() for c in ("size", "strings", "values")), strict=True)
+    return _sorted([(_grams_of(s, size), _unpacked(v, size, np.float64)) for size, s, v in lists])
+
+
+def _looked_up(numbers: np.ndarray, known: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    """The values of numbers, looked up in ascending order, as places far apart are slow."""
+    order = np.argsort(numbers)
+    values = np.empty(len(numbers))
+    values[order] = known[1][np.searchsorted(known[0], numbers[order])]
+    return values
+
+
+def _scored(docs: pa.Table, known: pa.Table, scale: float) -> pa.Table:
+    """The scores of one block's documents from the values of its strings and the counts of its words."""
+    strings, words = _known(known, STRINGS), _known(known, WORDS)
     names = ["doc_id", "held_out", "n_tokens", "n_known", "base_score", "score", "bits_per_byte"]
     out = []
     for batch in docs.to_batches():
         for rows, texts in byte_chunks(batch, CHUNK):
             texts = [t.lower() for t in texts]
-            found, counts = _grams(texts)
-            order = np.argsort(found)
-            each = np.empty(len(found))
-            each[order] = logs[np.searchsorted(grams, found[order])]  # in order, as places far apart are slow
-            scores = np.add.reduceat(each, np.cumsum(counts) - counts)
-            base, sizes, seen = [], [], []
-            for text in texts:
-                tokens = text.split()
-                tokens.append(b"")
-                logs_of = np.fromiter(map(value.__getitem__, tokens), np.float64, len(tokens))
-                base.append(logs_of.sum())
-                sizes.append(len(tokens))
-                seen.append(int((logs_of > floor).sum()))
+            grams, counts = _grams(texts)
+            scores = np.add.reduceat(_looked_up(grams, strings), np.cumsum(counts) - counts)
             bits = -scores / math.log10(2) / counts
+            tokens, sizes = _tokens(texts)
+            seen, starts = _looked_up(tokens, words), np.cumsum(sizes) - sizes
+            base = np.add.reduceat(np.log10((seen + 0.5) / scale), starts)
+            n_known = np.add.reduceat((seen > 0).astype(np.int64), starts)
             out.append(
                 pa.RecordBatch.from_arrays(
                     [
                         rows.column("doc_id"),
                         rows.column("held_out"),
                         pa.array(sizes, pa.int64()),
-                        pa.array(seen, pa.int64()),
+                        pa.array(n_known, pa.int64()),
                         pa.array(base, pa.float64()),
                         pa.array(scores),
                         pa.array(bits),
@@ -472,9 +505,9 @@ def scored(docs: DataFrame) -> DataFrame:
     Held out is a document whose crc32 of the id as text leaves 1 modulo 5; a null id counts as the
     empty text. A null text is empty: it has the end alone. ``train_tokens`` is the number of
     training tokens; ``bits_per_byte`` the code length of the text's bytes and its end, per byte of both.
-    Strings that share their last ``TOP`` context bytes are looked at in one task. Repeated rows each count and each get their row. Without training documents
-    every binary decision has probability one half. An empty table gives an empty result; other
-    columns are left behind.
+    Strings that share their last ``TOP`` context bytes are looked at in one task. Repeated rows each
+    count and each get their row. Without training documents every binary decision has probability one
+    half. An empty table gives an empty result; other columns are left behind.
     """
     text = F.coalesce(F.col("text"), F.lit(""))
     fold = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % FOLDS
@@ -491,18 +524,17 @@ def scored(docs: DataFrame) -> DataFrame:
     asked = staged(rows.mapInArrow(listed, ASKED), "asked", "zstd")
     freed(docs.sparkSession)
 
-    words = asked.filter("word IS NOT NULL").select("block", "word", "n")
-    counted = words.groupBy("word").agg(F.sum("n").alias("c"))
-    total, known = counted.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count_if(F.col("c") > 0)).first()
+    lists = asked.select("block", "part", "size", "strings", "counts")
+    words = lists.filter(asked["kind"] == WORDS)
+    counted = _added_up(words, "words")
+    totals = counted.mapInArrow(_totals, "total long, known long")
+    total, known = (n or 0 for n in totals.agg(F.sum("total"), F.sum("known")).first())
+    answers = _answers([counted, words], WORDS, _counts)
+    answers = answers.unionByName(_probabilities(lists.filter(asked["kind"] == STRINGS)))
     scale = total + 0.5 * (known + 1)
-    base = words.select("block", "word").join(counted, "word").select(
-        "block",
-        "word",
-        F.log10((F.col("c") + 0.5) / F.lit(scale)).alias("value"),
-    )
-    lists = asked.filter("word IS NULL").select("block", "part", "size", "strings", "counts")
-    model = _probabilities(lists)
-    floor = math.log10(0.5 / scale)
-    answers = base.unionByName(model, True).withColumn("floor", F.lit(floor * (1 - 1e-12)))
-    done = rows.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(_scored, SCORED)
+
+    def scored_block(documents: pa.Table, values: pa.Table) -> pa.Table:
+        return _scored(documents, values, scale)
+
+    done = rows.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(scored_block, SCORED)
     return done.withColumn("train_tokens", F.lit(total).cast("long"))
