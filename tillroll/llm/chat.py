@@ -10,7 +10,9 @@ its parse is the source.
 
 A conversation may be larger than a row can be, so output stands in one row per turn:
 ``conv_id, part, segment, loss_start, loss_length``; the formatted conversation is its segments in
-the order of ``part``. The loss mask counts in code points from the segment's start.
+the order of ``part``. The loss mask counts in code points from the segment's start. As every segment
+holds one closing, at its end, and a closing ends in a character that none begins with, the joined
+segments close where the segments do; reading back joins them and takes no border from the rows.
 """
 
 from __future__ import annotations
@@ -102,16 +104,26 @@ def formatted(turns: DataFrame) -> DataFrame:
 
 
 def read_back(output: DataFrame) -> DataFrame:
-    """Turns (conv_id, part, role, text, loss, chars) parsed from output rows."""
-    segment = F.col("segment")
-    masked = F.substr(segment, (F.col("loss_start") + 1).cast("int"), F.col("loss_length").cast("int"))
-    return output.select(
+    """Turns (conv_id, part, role, text, loss, chars) parsed from output rows.
+
+    The segments of a conversation are joined in order, and the grammar alone tells where its turns
+    end: a closing ends a turn, and what follows the last closing would be one more, so a wrong border
+    shows as other turns. ``loss`` is what the mask with the turn's number covers.
+    """
+    rows = F.sort_array(F.collect_list(F.struct("part", "segment", "loss_start", "loss_length")))
+    whole = output.groupBy("conv_id").agg(rows.alias("rows")).select(
+        "conv_id", F.split(F.array_join("rows.segment", ""), CLOSE + END).alias("turn"), "rows"
+    )
+    found = whole.select("conv_id", F.posexplode(F.arrays_zip("turn", "rows")).alias("part", "met"))
+    turn, start, length = (F.col(f"met.{name}") for name in ("turn", "rows.loss_start", "rows.loss_length"))
+    masked = F.coalesce(F.substr(turn, (start + 1).cast("int"), length.cast("int")), F.lit(""))
+    return found.filter(turn != "").select(
         "conv_id",
-        "part",
-        parsed_role(segment).alias("role"),
-        parsed_text(segment).alias("text"),
+        F.col("part").cast("long").alias("part"),
+        parsed_role(turn).alias("role"),
+        parsed_text(turn).alias("text"),
         unescape(masked).alias("loss"),
-        F.length(segment).cast("long").alias("chars"),
+        (F.length(turn) + len(CLOSE + END)).cast("long").alias("chars"),
     )
 
 
