@@ -26,7 +26,7 @@ from tillroll.llm.tokens import lower_words
 from tillroll.storage import new_folder
 
 BLOCK_TOKENS = 256 << 10
-PARTITION_BYTES = 16 << 20
+PARTITION_BYTES, MOST_TASKS = 16 << 20, 8192  # a task takes its blocks one after the other
 CHUNK = 1 << 20
 
 PLAIN = "part int, block int, doc_ids array<long>, lengths array<long>, ids binary"
@@ -136,7 +136,7 @@ def write_ids(docs: DataFrame, vocabulary: str, end_id: int, folder: str) -> Non
     spark = docs.sparkSession
     rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    ordered = rows.repartitionByRange(size // PARTITION_BYTES + 1, "doc_id")
+    ordered = rows.repartitionByRange(min(size // PARTITION_BYTES + 1, MOST_TASKS), "doc_id")
     ordered = ordered.sortWithinPartitions("doc_id", "text")
     plain = f"{folder}/plain"
     made = ordered.mapInArrow(_tokenized(vocabulary, end_id), PLAIN)

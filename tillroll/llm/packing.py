@@ -4,7 +4,8 @@ The documents of a block follow each other as one stream of ids. Windows may end
 at sentence ends and, inside sentences longer than ``STRIDE`` ids, at every ``STRIDE`` ids. Of all
 ways to cut, the one of least padding plus penalties is taken. The cheapest start of a window that
 ends at a place is the least of a sliding range, which a monotone queue holds, so the work grows
-with the number of places. Blocks are cut independently, each of a range of document ids.
+with the number of places. Blocks are cut independently, each of a range of document ids that ends
+with the document that brings it to ``BLOCK_TOKENS`` ids, or with its task's last.
 """
 
 from __future__ import annotations
@@ -24,7 +25,7 @@ WINDOW = 2048
 STRIDE = 128
 SENTENCE_PENALTY, INSIDE_PENALTY = 8, 32
 BLOCK_TOKENS = 2 << 20
-PARTITION_BYTES = 16 << 20
+PARTITION_BYTES, MOST_TASKS = 16 << 20, 8192  # a task takes its blocks one after the other
 CHUNK = 1 << 20
 
 PIECES = (
@@ -106,14 +107,14 @@ def _packed(vocabulary: str, end_id: int) -> Callable:
         for batch in batches:
             for rows, data in byte_chunks(batch, CHUNK):
                 found = tokenizer.encode(t.decode() for t in data)
-                names += rows.column("doc_id").to_pylist()
-                for ids in found:
+                for name, ids in zip(rows.column("doc_id").to_pylist(), found, strict=True):
+                    names.append(name)
                     texts.append(np.append(np.frombuffer(ids, tokenizer.dtype), tokenizer.dtype.type(end_id)))
                     held += len(texts[-1])
-                if held >= BLOCK_TOKENS:
-                    out, number = _pieces(names, texts, marks, number)
-                    yield out
-                    names, texts, held = [], [], 0
+                    if held >= BLOCK_TOKENS:
+                        out, number = _pieces(names, texts, marks, number)
+                        yield out
+                        names, texts, held = [], [], 0
         if texts:
             yield _pieces(names, texts, marks, number)[0]
 
@@ -130,6 +131,6 @@ def packed(docs: DataFrame, vocabulary: str, end_id: int) -> DataFrame:
     """
     rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    ordered = rows.repartitionByRange(size // PARTITION_BYTES + 1, "doc_id")
+    ordered = rows.repartitionByRange(min(size // PARTITION_BYTES + 1, MOST_TASKS), "doc_id")
     ordered = ordered.sortWithinPartitions("doc_id", "text")
     return ordered.mapInArrow(_packed(vocabulary, end_id), PIECES)
