@@ -273,6 +273,16 @@ def test_idle_pieces_are_forgotten(monkeypatch):
     assert coder.encode(["One text, and more words."]) == before
 
 
+def test_few_remembered_pieces_give_the_same_ids(monkeypatch):
+    texts = [" ".join(words(60, k % 7)) + ", the end. Of it" for k in range(30)]
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    want = ByteLevel(path).encode(texts)
+    monkeypatch.setattr(tokens, "MOST", 50)
+    coder = ByteLevel(path)
+    assert coder.encode(texts) == want
+    assert max(len(p) + len(p.earlier) for p in (coder.first, coder.later)) <= 52
+
+
 def test_rank_bytes_round_trip():
     ranks = np.array([0, 255, 256, 65535, 65536, 1 << 24, 7] * 3, np.uint32)
     assert (binary.decode_ranks(*binary.encode_ranks(ranks), len(ranks)) == ranks).all()

@@ -24,7 +24,7 @@ from tillroll.llm.tokens import byte_level
 WINDOW = 2048
 STRIDE = 128
 SENTENCE_PENALTY, INSIDE_PENALTY = 8, 32
-BLOCK_TOKENS = 2 << 20
+BLOCK_TOKENS = 1 << 20
 PARTITION_BYTES, MOST_TASKS = 16 << 20, 8192  # a task takes its blocks one after the other
 CHUNK = 1 << 20
 

@@ -3,8 +3,9 @@
 Both kinds of vocabulary split a text before they merge, and never merge across the cuts made here,
 so the ids of a text are the ids of its pieces one after the other. A word of plain letters goes to
 the tokenizer's merge step at once, anything else through all of its steps. Up to ``MOST`` pieces
-are remembered. A worker outlives its tasks and runs those of other operators, too, so it forgets
-the pieces when it has encoded nothing for ``IDLE`` seconds.
+are remembered: half of them since the last half was full, and that half, of which a piece met again is
+taken over. A worker outlives its tasks and runs those of other operators, too, so it forgets the
+pieces when it has encoded nothing for ``IDLE`` seconds.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ from collections.abc import Iterable
 
 import numpy as np
 
-MOST = 1_200_000
+MOST = 600_000
 IDLE = 3
 LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
 
@@ -33,14 +34,13 @@ class Pieces(dict):
     # among them, as it may begin a suffix.
     PLAIN = re.compile(f"([{LETTERS}]+)([.,;:!?#*$%&|]{{0,4}})")
 
-    def __init__(self, path: str, before: str = "", lower: bool = False):
-        from tokenizers import Tokenizer, pre_tokenizers
+    def __init__(self, tokenizer, before: str = "", lower: bool = False):
+        from tokenizers import pre_tokenizers
 
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-        self.vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
-        self.dtype = np.dtype("<u2" if max(self.vocabulary.values()) < 1 << 16 else "<u4")
-        self.tokenizer.model._resize_cache(0)  # the ids of pieces are remembered here
+        self.tokenizer = tokenizer
+        self.vocabulary_size = 1 + max(tokenizer.get_vocab(with_added_tokens=True).values())
+        self.dtype = np.dtype("<u2" if self.vocabulary_size <= 1 << 16 else "<u4")
+        self.earlier: dict[str, bytes] = {}
         self.merge = self.tokenizer.model.tokenize
         self.before, self.lower = before, lower
         bytes_of = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
@@ -58,6 +58,7 @@ class Pieces(dict):
             time.sleep(IDLE)
             if self and time.monotonic() - self.used > IDLE:
                 self.clear()
+                self.earlier = {}
 
     def whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.dtype).tobytes()
@@ -69,8 +70,12 @@ class Pieces(dict):
         return array(self.code, [token.id for token in self.merge(shown)]).tobytes()
 
     def __missing__(self, piece: str) -> bytes:
-        if len(self) >= MOST:
+        if len(self) >= MOST // 2:
+            self.earlier = self.copy()
             self.clear()
+        if (known := self.earlier.get(piece)) is not None:
+            self[piece] = known
+            return known
         if piece.isascii() and piece.isalpha():
             found = self.word(piece)
         elif not (plain := self.PLAIN.fullmatch(piece)):
@@ -85,11 +90,21 @@ class Pieces(dict):
         return found
 
 
+def loaded(path: str):
+    """The tokenizer of a file, for several kinds of pieces."""
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(path)
+    tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+    tokenizer.model._resize_cache(0)  # the ids of pieces are remembered here
+    return tokenizer
+
+
 class LowerWords:
     """A vocabulary that drops white space and case: pieces stand between spaces and line feeds."""
 
     def __init__(self, path: str):
-        self.pieces = Pieces(path, lower=True)
+        self.pieces = Pieces(loaded(path), lower=True)
         self.dtype = self.pieces.dtype
 
     def encode(self, texts: Iterable[str]) -> list[bytes]:
@@ -108,7 +123,8 @@ class ByteLevel:
     RUN = re.compile(r"\s\s")
 
     def __init__(self, path: str):
-        self.first, self.later = Pieces(path), Pieces(path, before=" ")
+        tokenizer = loaded(path)
+        self.first, self.later = Pieces(tokenizer), Pieces(tokenizer, before=" ")
         self.dtype = self.first.dtype
 
     def encode(self, texts: Iterable[str]) -> list[bytes]:
@@ -129,8 +145,8 @@ class ByteLevel:
     @functools.cached_property
     def sentence_marks(self) -> tuple[np.ndarray, np.ndarray]:
         """For each id whether it may end a sentence, and whether it may follow one."""
-        vocabulary = self.first.vocabulary
-        ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        vocabulary = self.first.tokenizer.get_vocab(with_added_tokens=True)
+        ends = np.zeros(self.first.vocabulary_size, bool)
         opens = np.zeros_like(ends)
         for token, number in vocabulary.items():
             ends[number] = token[-1:] in (".", "!", "?", "Ċ")  # the last is a line feed
