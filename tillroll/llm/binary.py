@@ -17,17 +17,18 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.window import Window
 
-from tillroll.llm.common import byte_chunks
+from tillroll.llm.common import row_chunks
 from tillroll.llm.tokens import lower_words
 from tillroll.storage import new_folder
 
 BLOCK_TOKENS = 256 << 10
 PARTITION_BYTES, MOST_TASKS = 16 << 20, 8192  # a task takes its blocks one after the other
-CHUNK = 1 << 20
+CHUNK = 8 << 20  # of text, whose pieces are told apart at once
 
 PLAIN = "part int, block int, doc_ids array<long>, lengths array<long>, ids binary"
 CODED = "part int, block int, doc_ids array<long>, lengths array<long>, control binary, data binary"
@@ -39,12 +40,15 @@ LENGTHS = (np.arange(256)[:, None] >> (2 * np.arange(4)) & 3).astype(np.int64) +
 def encode_ranks(ranks: np.ndarray) -> tuple[bytes, bytes]:
     """Control bytes and data bytes of a run of ranks."""
     ranks = ranks.astype("<u4")
-    extra = (ranks > 0xFF).astype(np.uint8) + (ranks > 0xFFFF) + (ranks > 0xFFFFFF)
+    width = max(1, -(-int(ranks.max(initial=0)).bit_length() // 8))  # no rank here has more bytes
     padded = np.zeros(-(-len(ranks) // 4) * 4, np.uint8)
-    padded[: len(ranks)] = extra
-    control = (padded.reshape(-1, 4) << np.array([0, 2, 4, 6], np.uint8)).sum(1, dtype=np.uint8)
-    taken = np.arange(4) <= extra[:, None]
-    return control.tobytes(), ranks.view(np.uint8).reshape(-1, 4)[taken].tobytes()
+    extra = padded[: len(ranks)]
+    for k in range(1, width):
+        extra += ranks >= 1 << 8 * k
+    first, second, third, fourth = padded.reshape(-1, 4).T
+    control = first | second << 2 | third << 4 | fourth << 6
+    taken = np.arange(width) <= extra[:, None]
+    return control.tobytes(), ranks.view(np.uint8).reshape(-1, 4)[:, :width][taken].tobytes()
 
 
 def decode_ranks(control: bytes, data: bytes, n: int) -> np.ndarray:
@@ -54,6 +58,8 @@ def decode_ranks(control: bytes, data: bytes, n: int) -> np.ndarray:
     ranks = held[places].astype(np.uint32)
     for k in range(1, 4):
         more = np.flatnonzero(lengths > k)
+        if not len(more):
+            break
         ranks[more] |= held[places[more] + k].astype(np.uint32) << np.uint32(8 * k)
     return ranks
 
@@ -81,9 +87,9 @@ def _tokenized(vocabulary: str, end_id: int) -> Callable:
 
         size = 0
         for batch in batches:
-            for rows, texts in byte_chunks(batch, CHUNK):
+            for rows in row_chunks(batch, CHUNK):
                 # The vocabulary drops case; without A-Z there are fewer pieces to remember.
-                found = tokenizer.encode(t.lower().decode() for t in texts)
+                found = tokenizer.encode(pc.ascii_lower(rows.column("text")))
                 for name, ids in zip(rows.column("doc_id").to_pylist(), found, strict=True):
                     names.append(name)
                     held.append(ids + end)

@@ -6,7 +6,9 @@ import gc
 from collections.abc import Callable, Iterator, Sequence
 from contextvars import ContextVar
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tillroll.storage import new_folder, remove, remove_at_end
@@ -107,6 +109,18 @@ def same(left: Column, right: Column) -> Column:
     return left.eqNullSafe(right)
 
 
+def row_chunks(batch: pa.RecordBatch, limit: int) -> Iterator[pa.RecordBatch]:
+    """Slices of a batch whose ``text`` has ``limit`` bytes at most, or one row each."""
+    sizes = pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy()
+    ends = np.cumsum(sizes, dtype=np.int64)
+    start = 0
+    while start < len(ends):
+        before = ends[start] - sizes[start]
+        stop = max(start + 1, int(np.searchsorted(ends, before + limit, "right")))
+        yield batch.slice(start, stop - start)
+        start = stop
+
+
 def byte_chunks(batch: pa.RecordBatch, limit: int) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
     """Slices of a batch with the UTF-8 bytes of their ``text``, of ``limit`` bytes or one row each."""
     texts = batch.column("text").cast(pa.binary()).to_pylist()

@@ -11,6 +11,7 @@ pieces when it has encoded nothing for ``IDLE`` seconds.
 from __future__ import annotations
 
 import functools
+import itertools
 import os
 import re
 import threading
@@ -19,6 +20,8 @@ from array import array
 from collections.abc import Iterable
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 MOST = 600_000
 IDLE = 3
@@ -32,7 +35,8 @@ class Pieces(dict):
 
     # Letters, then up to four other signs, which the vocabularies split off; an apostrophe is not
     # among them, as it may begin a suffix.
-    PLAIN = re.compile(f"([{LETTERS}]+)([.,;:!?#*$%&|]{{0,4}})")
+    MARKS = ".,;:!?#*$%&|"
+    PLAIN = re.compile(f"([{LETTERS}]+)([{MARKS}]{{0,4}})")
 
     def __init__(self, tokenizer, before: str = "", lower: bool = False):
         from tokenizers import pre_tokenizers
@@ -69,6 +73,11 @@ class Pieces(dict):
         shown = self.start + (letters if letters.isascii() else letters.translate(self.written))
         return array(self.code, [token.id for token in self.merge(shown)]).tobytes()
 
+    def mark(self, signs: str) -> bytes:
+        if signs not in self.marks:
+            self.marks[signs] = self.whole(signs)
+        return self.marks[signs]
+
     def __missing__(self, piece: str) -> bytes:
         if len(self) >= MOST // 2:
             self.earlier = self.copy()
@@ -81,9 +90,7 @@ class Pieces(dict):
         elif not (plain := self.PLAIN.fullmatch(piece)):
             found = self.whole(self.before + piece) if piece or self.before else b""
         elif mark := plain[2]:
-            if mark not in self.marks:
-                self.marks[mark] = self.whole(mark)
-            found = self[plain[1]] + self.marks[mark]
+            found = self[plain[1]] + self.mark(mark)
         else:
             found = self.word(piece)
         self[piece] = found
@@ -101,16 +108,47 @@ def loaded(path: str):
 
 
 class LowerWords:
-    """A vocabulary that drops white space and case: pieces stand between spaces and line feeds."""
+    """A vocabulary that drops white space and case: pieces stand between spaces and line feeds.
+
+    A piece is looked up once for all texts of a call, however often they hold it, and its ids are
+    copied to each of its places by Arrow. Of a word with signs behind it the word alone is remembered.
+    """
 
     def __init__(self, path: str):
         self.pieces = Pieces(loaded(path), lower=True)
         self.dtype = self.pieces.dtype
 
-    def encode(self, texts: Iterable[str]) -> list[bytes]:
+    def known(self, pieces: pa.Array) -> pa.Array:
+        """The ids of distinct pieces as bytes, each word looked up once whatever signs stand behind it."""
+        words = pc.utf8_rtrim(pieces, Pieces.MARKS)
+        signs = pc.subtract(pc.binary_length(pieces), pc.binary_length(words))
+        ends = pc.match_substring_regex(words, f"[{LETTERS}]$")
+        cut = pc.and_(ends, pc.and_(pc.greater(signs, 0), pc.less_equal(signs, 4)))
+        held = pc.if_else(cut, words, pieces).dictionary_encode()
+        distinct = held.dictionary.to_numpy(zero_copy_only=False)
+        found = pa.array(map(self.pieces.__getitem__, distinct), pa.large_binary()).take(held.indices)
+        nothing = pa.scalar(b"", pa.large_binary())
+        for count in range(1, 5):
+            these = pc.and_(cut, pc.equal(signs, count))
+            marks = pc.utf8_slice_codeunits(pieces.filter(these), -count).dictionary_encode()
+            behind = pa.array(map(self.pieces.mark, marks.dictionary.to_pylist()), pa.large_binary())
+            whole = pc.binary_join_element_wise(found.filter(these), behind.take(marks.indices), nothing)
+            found = pc.replace_with_mask(found, these, whole)
+        return found
+
+    def encode(self, texts: Iterable[str] | pa.Array) -> list[bytes]:
         self.pieces.used = time.monotonic()
-        found = self.pieces.__getitem__
-        return [b"".join(map(found, t.replace("\n", " ").split(" "))) for t in texts]
+        column = texts if isinstance(texts, pa.Array) else pa.array(texts, pa.large_string())
+        spaced = pc.replace_substring(column.cast(pa.large_string()), "\n", " ")
+        pieces = pc.split_pattern(spaced, " ")
+        held = pieces.flatten().dictionary_encode()
+        ids = self.known(held.dictionary).take(held.indices)
+        # Where each text's pieces begin and end among all pieces, and so its bytes among all bytes.
+        places = np.concatenate([[0], np.cumsum(pc.list_value_length(pieces).to_numpy(), dtype=np.int64)])
+        sizes = pc.binary_length(ids).to_numpy()
+        ends = np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)])[places].tolist()
+        whole = memoryview(ids.buffers()[2] or b"")
+        return [bytes(whole[s:e]) for s, e in itertools.pairwise(ends)]
 
 
 class ByteLevel:
