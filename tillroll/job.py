@@ -18,9 +18,9 @@ from tillroll.storage import cached, working_copy
 
 
 def all_reports(
-    fact: DataFrame, stores: DataFrame, categories: DataFrame, months: DataFrame
+    seen: DataFrame, stores: DataFrame, categories: DataFrame, months: DataFrame
 ) -> dict[str, DataFrame]:
-    """Result table by name, from the cleaned fact, the two sales rollups and the monthly table."""
+    """Result table by name, from the values by month, the two sales rollups and the monthly table."""
     long = trends.monthly_long(months)
     return {
         "top_provinces": reports.top_provinces(stores),
@@ -30,7 +30,7 @@ def all_reports(
         "top10_categories": reports.top10_categories(categories),
         "top5_stores_by_province": reports.top5_stores_by_province(stores),
         "top10_cat_by_dept": reports.top10_cat_by_dept(categories),
-        "totals": reports.totals(fact),
+        "totals": reports.totals_of_seen(seen),
         "trends": trends.labelled(long),
         "top_stores_provinces": reports.top_stores_provinces(stores),
         "trends_yoy": trends.labelled(trends.year_over_year(long)),
@@ -51,8 +51,9 @@ def publish_all(
     """Publish every report of a conformed fact and its dimensions.
 
     The raw fact is read once: its cleaned rows, their months and what cleaning changed are kept as
-    Parquet in the shared folder, and each report family then reads only its columns. The small
-    tables that several reports share are kept by the executors. A ``write`` that has ``commit`` and
+    Parquet in the shared folder, and each report family then reads only its columns. Which transactions
+    and collectors a month has is found once, for totals, trends and trailing values alike. That table and
+    the small ones that several reports share are kept by the executors. A ``write`` that has ``commit`` and
     ``discard`` (see ``FileSet``) shows the tables as one set.
     """
     require_unique(profile({"store_location_key": location, "product_key": product}))
@@ -62,16 +63,18 @@ def publish_all(
         by_product = rollups.category_sales(kept, product, is_unique=True)
         by_category = sum_by(by_product, ["department", "category"], sales="sales", rows="rows")
         categories = stack.enter_context(cached(by_category))
-        months = stack.enter_context(cached(trends.monthly(kept)))
-        # Each is filled by one job, so that no two reports fill the same table. Reports of the fact itself
-        # need not wait for them.
-        with ThreadPoolExecutor(3) as pool:
-            by_store, by_group, by_month = (pool.submit(shared.count) for shared in (stores, categories, months))
-            tables = all_reports(kept, stores, categories, months)
-            tables["trends_trailing12"] = trends.labelled(trends.trailing(kept))
+        seen = stack.enter_context(cached(trends.seen_by_month(kept)))
+        months = stack.enter_context(cached(trends.monthly_of_seen(seen)))
+        # Each is filled by one job, so that no two reports fill the same table. The months are counted from
+        # the values, which are filled first; the two large reports of the values come before the small ones.
+        with ThreadPoolExecutor(4) as pool:
+            by_value, by_store, by_group = (pool.submit(shared.count) for shared in (seen, stores, categories))
+            by_month = pool.submit(lambda: (by_value.result(), months.count()))
+            tables = all_reports(seen, stores, categories, months)
+            tables["trends_trailing12"] = trends.labelled(trends.trailing_of_seen(seen))
             tables["quality"] = quality_of_rollups(stores, categories)
-            waits = {name: [by_month] if name.startswith("trends") else [by_store, by_group] for name in tables}
-            waits |= dict.fromkeys(("totals", "trends_trailing12"), [])
+            waits = {name: [by_value, by_month] if name.startswith("trends") else [by_store, by_group] for name in tables}
+            waits |= dict.fromkeys(("totals", "trends_trailing12"), [by_value])
             return publish(tables, write, waits_for=waits)
 
 

@@ -1,6 +1,6 @@
 """Relational operators: functions from DataFrames to DataFrames."""
 
-from tillroll.operators.distinct import count_distinct, distinct_by_type, per_value
+from tillroll.operators.distinct import by_type, count_distinct, distinct_by_type, fewer_keys, per_value
 from tillroll.operators.grouping import pivot_types, sum_by, to_long, with_overall
 from tillroll.operators.lookup import DuplicateKeys, lookup, profile, require_unique, with_spread
 from tillroll.operators.ordering import positioned, rank_whole
@@ -8,8 +8,10 @@ from tillroll.operators.ranking import ranked, top_n
 
 __all__ = [
     "DuplicateKeys",
+    "by_type",
     "count_distinct",
     "distinct_by_type",
+    "fewer_keys",
     "lookup",
     "per_value",
     "pivot_types",

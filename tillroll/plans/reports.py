@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from tillroll.functions import exact, percent_label, whole
-from tillroll.operators.distinct import distinct_by_type
+from tillroll.operators.distinct import by_type, fewer_keys, per_value
 from tillroll.operators.grouping import pivot_types, sum_by, to_long, with_overall
 from tillroll.operators.ranking import top_n
 from tillroll.schema import LOYALTY, MEASURE_LABELS, NON_LOYALTY
@@ -92,14 +92,17 @@ def top_stores_provinces(table: DataFrame) -> DataFrame:
     return best.select("customer_type", "province", "store_num", exact(F.col("total")).alias("total"))
 
 
+DISTINCT = {"transactions": "trans_key", "collectors": "collector_key"}
+ADDITIVE = ("sales", "units")
+
+
 def totals_wide(fact: DataFrame) -> DataFrame:
     """Sales, units, distinct transactions and distinct collectors, by customer type and overall."""
-    return distinct_by_type(
-        fact,
-        [],
-        {"transactions": "trans_key", "collectors": "collector_key"},
-        ["sales", "units"],
-    ).select(
+    return _totals_wide(per_value(fact, [], list(DISTINCT.values()), ADDITIVE))
+
+
+def _totals_wide(seen: DataFrame) -> DataFrame:
+    return by_type(seen, [], DISTINCT, ADDITIVE).select(
         "customer_type",
         exact(F.col("sales")).alias("sales"),
         exact(F.col("units")).alias("units"),
@@ -111,3 +114,9 @@ def totals_wide(fact: DataFrame) -> DataFrame:
 def totals(fact: DataFrame) -> DataFrame:
     """``totals_wide`` with one row per measure."""
     return to_long(totals_wide(fact), ["customer_type"], MEASURE_LABELS)
+
+
+def totals_of_seen(seen: DataFrame) -> DataFrame:
+    """``totals`` from ``per_value`` by month, rows without a month included."""
+    wide = _totals_wide(fewer_keys(seen, [], ADDITIVE))
+    return to_long(wide, ["customer_type"], MEASURE_LABELS)

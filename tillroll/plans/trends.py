@@ -11,19 +11,30 @@ from datetime import date
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tillroll.functions import date_label, exact, month_index, percent
-from tillroll.operators.distinct import distinct_by_type, per_value
+from tillroll.operators.distinct import by_type, per_value
 from tillroll.operators.grouping import to_long
 from tillroll.plans.prepare import dated
+from tillroll.plans.reports import ADDITIVE, DISTINCT
 from tillroll.schema import CUSTOMER_TYPES, MEASURE_LABELS, OVERALL
 
-DISTINCT = {"transactions": "trans_key", "collectors": "collector_key"}
-ADDITIVE = ("sales", "units")
 EPOCH = date(1970, 1, 1)
 
 
+def seen_by_month(fact: DataFrame) -> DataFrame:
+    """``per_value`` by month of a checked fact, rows without a month included: what ``totals_of_seen``,
+    ``monthly_of_seen`` and ``trailing_of_seen`` are taken from. All rows of a value are in one partition."""
+    seen = per_value(fact, ["month"], list(DISTINCT.values()), ADDITIVE, apart=True)
+    return seen.repartition("_column", "_value")
+
+
 def monthly(fact: DataFrame) -> DataFrame:
     """The four measures per month and customer type, of the rows whose month is known."""
-    return distinct_by_type(dated(fact), ["month"], DISTINCT, list(ADDITIVE)).select(
+    return monthly_of_seen(per_value(dated(fact), ["month"], list(DISTINCT.values()), ADDITIVE))
+
+
+def monthly_of_seen(seen: DataFrame) -> DataFrame:
+    """``monthly`` from ``per_value`` by month."""
+    return by_type(seen.filter(F.col("month").isNotNull()), ["month"], DISTINCT, list(ADDITIVE)).select(
         "customer_type",
         "month",
         *(exact(F.col(name)).alias(name) for name in ADDITIVE),
@@ -95,9 +106,13 @@ def trailing(fact: DataFrame, months: int = 12) -> DataFrame:
     month, and the running sum is the result. One pass over the fact, whose work does not grow
     with ``months``.
     """
+    return trailing_of_seen(per_value(dated(fact), ["month"], list(DISTINCT.values()), ADDITIVE), months)
+
+
+def trailing_of_seen(seen: DataFrame, months: int = 12) -> DataFrame:
+    """``trailing`` from ``per_value`` by month."""
     kinds = (*CUSTOMER_TYPES, OVERALL)
-    rows = dated(fact).withColumn("at", month_index(F.col("month")))
-    seen = per_value(rows, ["at"], list(DISTINCT.values()), ADDITIVE)
+    seen = seen.filter(F.col("month").isNotNull()).withColumn("at", month_index(F.col("month")))
 
     # A value has at most one row per month, so none makes a large window partition.
     earlier = (
